@@ -510,3 +510,433 @@ def q_rkfold(spark, d):
     """Repeated k-fold: one fold column per repeat."""
     o = frames.orders_labeled(spark, d).select("o_orderkey", "y")
     return sampling.repeated_kfold(o, "y", ["o_orderkey"], 5, 2, SEED)
+
+
+# =================================================================== models: closed forms and Newton twins
+
+from dichot.functions.stats import normal_ppf  # noqa: E402
+from dichot.operators import evaluate, glm, inference  # noqa: E402
+from dichot.plans.sqltext import chi2_sf, norm_sf2  # noqa: E402
+
+Z975 = repr(normal_ppf(0.975))
+TOL = 1e-10
+
+
+def _split_frames(spark, d):
+    """Labeled orders with price, split 80/20 by class (seed 1234): (all, train, test)."""
+    o = frames.orders_labeled(spark, d).withColumn("price", F.col("o_totalprice") / 1e5)
+    flagged = sampling.stratified_flag(o, "y", ["o_orderkey"], 0.8, SEED, "in_train")
+    return flagged, flagged.filter("in_train"), flagged.filter("NOT in_train")
+
+
+def _price_fit(df):
+    design = glm.build_design(df, numeric=["price"])
+    return glm.fit_logit(df, "y", design, tol=TOL)
+
+
+SPLIT = f"""split AS (
+  SELECT *, o_totalprice/1e5 AS price,
+    row_number() OVER (PARTITION BY y ORDER BY {uniform(SEED, 'o_orderkey')}, o_orderkey)
+      <= ceil(0.8 * count(*) OVER (PARTITION BY y)) AS in_train
+  FROM labeled)"""
+
+
+def _newton(src: str) -> str:
+    """Recursive-CTE Newton iterations of logit(y) ~ 1 + x over rows of ``src`` (x, y)."""
+    return f"""it(i, b0, b1) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, b0 + (s11*g0 - s01*g1) / (s00*s11 - s01*s01), b1 + (-s01*g0 + s00*g1) / (s00*s11 - s01*s01)
+  FROM (SELECT it.i, it.b0, it.b1, sum(m.mu*(1-m.mu)) s00, sum(m.mu*(1-m.mu)*d.x) s01,
+               sum(m.mu*(1-m.mu)*d.x*d.x) s11, sum(d.y - m.mu) g0, sum((d.y - m.mu)*d.x) g1
+        FROM it, {src} d, LATERAL (SELECT 1/(1+exp(-(it.b0 + it.b1*d.x))) AS mu) m
+        WHERE it.i < 30 GROUP BY it.i, it.b0, it.b1)),
+beta AS (SELECT b0, b1 FROM it WHERE i = 30)"""
+
+
+@register("glm_continuous", f"""
+WITH RECURSIVE {LABELED},
+d AS (SELECT o_totalprice/1e5 AS x, y FROM labeled),
+{_newton('d')},
+g AS (SELECT sum(w) s00, sum(w*x) s01, sum(w*x*x) s11 FROM
+      (SELECT d.x, (1/(1+exp(-(b0+b1*d.x))))*(1-1/(1+exp(-(b0+b1*d.x)))) AS w FROM d, beta)),
+t AS (SELECT '(Intercept)' AS term, b0 AS est, sqrt(s11/(s00*s11-s01*s01)) AS se FROM beta, g
+      UNION ALL SELECT 'price', b1, sqrt(s00/(s00*s11-s01*s01)) FROM beta, g)
+SELECT term, {r6('est')} AS estimate, {r6('se')} AS std_error, {r6('est/se')} AS z_value,
+       {r6(norm_sf2('est/se'))} AS p_value FROM t""")
+def q_glm_continuous(spark, d):
+    """glm(y ~ price, binomial): coefficient table (Newton twin in SQL)."""
+    o = frames.orders_labeled(spark, d).withColumn("price", F.col("o_totalprice") / 1e5)
+    return rnd(inference.coef_table(spark, _price_fit(o)))
+
+
+@register("glm_null", f"""
+WITH {LABELED}, s AS (SELECT count(*) AS n, sum(y) AS k, avg(y) AS p FROM labeled)
+SELECT {r6('ln(p/(1-p))')} AS intercept, {r6('-2*(k*ln(p) + (n-k)*ln(1-p))')} AS deviance,
+       {r6('-2*(k*ln(p) + (n-k)*ln(1-p)) + 2')} AS aic, CAST(n AS BIGINT) AS n FROM s""")
+def q_glm_null(spark, d):
+    """Intercept-only model in closed form."""
+    m = glm.null_model(frames.orders_labeled(spark, d), "y")
+    return rnd(spark.createDataFrame([(m["intercept"], m["deviance"], m["aic"], m["n"])],
+                                     "intercept double, deviance double, aic double, n long"))
+
+
+CAT = f"""{LABELED},
+grp AS (SELECT o_orderpriority AS lvl, count(*) AS n, sum(status_f) AS k, avg(status_f) AS p
+        FROM labeled GROUP BY 1),
+base AS (SELECT * FROM grp WHERE lvl = (SELECT min(lvl) FROM grp)),
+tot AS (SELECT sum(n) AS n, sum(k) AS k, sum(k)/sum(n) AS p, count(*) AS r FROM grp),
+fitstats AS (SELECT -2*sum(k*ln(p) + (n-k)*ln(1-p)) AS dev FROM grp),
+nullstats AS (SELECT -2*(k*ln(p) + (n-k)*ln(1-p)) AS ndev, n, r FROM tot),
+coef AS (
+  SELECT '(Intercept)' AS term, ln(p/(1-p)) AS est, sqrt(1/(n*p*(1-p))) AS se FROM base
+  UNION ALL
+  SELECT 'o_orderpriority' || g.lvl, ln(g.p/(1-g.p)) - ln(b.p/(1-b.p)),
+         sqrt(1/(g.n*g.p*(1-g.p)) + 1/(b.n*b.p*(1-b.p)))
+  FROM grp g, base b WHERE g.lvl <> b.lvl)"""
+
+
+def _cat_fit(spark, d):
+    o = frames.orders_labeled(spark, d)
+    design = glm.build_design(o, factors=["o_orderpriority"])
+    return o, glm.fit_logit(o, "status_f", design, tol=TOL)
+
+
+@register("glm_categorical", f"""
+WITH {CAT}
+SELECT term, {r6('est')} AS estimate, {r6('se')} AS std_error, {r6('est/se')} AS z_value,
+       {r6(norm_sf2('est/se'))} AS p_value FROM coef""")
+def q_glm_categorical(spark, d):
+    """glm(status ~ priority): treatment contrasts, first level base."""
+    _, fit = _cat_fit(spark, d)
+    return rnd(inference.coef_table(spark, fit))
+
+
+@register("odds_ratios", f"""
+WITH {CAT}
+SELECT term, {r6('exp(est)')} AS odds_ratio, {r6(f'exp(est - {Z975}*se)')} AS or_lower,
+       {r6(f'exp(est + {Z975}*se)')} AS or_upper FROM coef""")
+def q_odds(spark, d):
+    """Odds ratios with Wald 95% limits."""
+    _, fit = _cat_fit(spark, d)
+    return rnd(inference.odds_ratios(spark, fit))
+
+
+def _stats_row(spark, stats: dict, cols: list[tuple[str, str]]):
+    row = tuple(stats[c] for c, _ in cols)
+    return rnd(spark.createDataFrame([row], ", ".join(f"{c} {t}" for c, t in cols)))
+
+
+@register("deviance_stats", f"""
+WITH {CAT}
+SELECT {r6('ndev')} AS null_deviance, CAST(n - 1 AS BIGINT) AS df_null, {r6('dev')} AS deviance,
+       CAST(n - r AS BIGINT) AS df_residual, {r6('-dev/2')} AS loglik, {r6('dev + 2*r')} AS aic,
+       {r6('dev + r*ln(n)')} AS bic, {r6('ndev - dev')} AS chisq, CAST(r - 1 AS BIGINT) AS chisq_df,
+       {r6(chi2_sf('ndev - dev', 'r - 1'))} AS p_value, {r6('dev/(n - r)')} AS dispersion,
+       dev/(n - r) > 1.5 AS overdispersed
+FROM fitstats, nullstats""")
+def q_deviance(spark, d):
+    """Deviances, df, log-likelihood, model chi-square, dispersion."""
+    _, fit = _cat_fit(spark, d)
+    s = inference.deviance_stats(fit)
+    cols = [("null_deviance", "double"), ("df_null", "long"), ("deviance", "double"),
+            ("df_residual", "long"), ("loglik", "double"), ("aic", "double"), ("bic", "double"),
+            ("chisq", "double"), ("chisq_df", "long"), ("p_value", "double"),
+            ("dispersion", "double"), ("overdispersed", "boolean")]
+    return _stats_row(spark, s, cols)
+
+
+@register("pseudo_r2", f"""
+WITH {CAT}
+SELECT {r6('-dev/2')} AS llh, {r6('-ndev/2')} AS llh_null, {r6('ndev - dev')} AS g2,
+       {r6('1 - dev/ndev')} AS mcfadden, {r6('1 - exp(-(ndev - dev)/n)')} AS r2ml,
+       {r6('(1 - exp(-(ndev - dev)/n)) / (1 - exp(-ndev/n))')} AS r2cu
+FROM fitstats, nullstats""")
+def q_pseudo(spark, d):
+    """pR2 / Nagelkerke family from two log-likelihoods."""
+    _, fit = _cat_fit(spark, d)
+    s = inference.pseudo_r2(fit)
+    return _stats_row(spark, s, [("llh", "double"), ("llh_null", "double"), ("g2", "double"),
+                                 ("mcfadden", "double"), ("r2ml", "double"), ("r2cu", "double")])
+
+
+@register("wald_term", f"""
+WITH {CAT},
+w AS (SELECT n*p*(1-p) AS w, ln(p/(1-p)) AS eta FROM grp),
+m AS (SELECT sum(w*eta)/sum(w) AS etabar FROM w),
+s AS (SELECT sum(w*(eta - etabar)*(eta - etabar)) AS chisq, count(*) - 1 AS df FROM w, m)
+SELECT 'o_orderpriority' AS term, {r6('chisq')} AS chisq, CAST(df AS BIGINT) AS df,
+       {r6(chi2_sf('chisq', 'df'))} AS p_chisq, {r6('chisq/df')} AS f,
+       CAST((SELECT n - r FROM nullstats) AS BIGINT) AS ddf FROM s""")
+def q_wald(spark, d):
+    """Wald test of the whole priority term (regTermTest)."""
+    _, fit = _cat_fit(spark, d)
+    w = inference.wald_term(fit, "o_orderpriority")
+    return _stats_row(spark, w, [("term", "string"), ("chisq", "double"), ("df", "long"),
+                                 ("p_chisq", "double"), ("f", "double"), ("ddf", "long")])
+
+
+RESID = f"""{CAT},
+rows_ AS (SELECT l.o_orderkey, l.status_f AS y, g.p AS mu, g.n AS n_g FROM labeled l
+          JOIN grp g ON l.o_orderpriority = g.lvl),
+res AS (SELECT o_orderkey, mu, n_g,
+          sign(y - mu) * sqrt(greatest(-2*(CASE WHEN y > 0 THEN y*ln(mu) ELSE 0 END
+                                       + CASE WHEN y < 1 THEN (1-y)*ln(1-mu) ELSE 0 END), 0)) AS e
+        FROM rows_)"""
+
+
+@register("deviance_residuals", f"""
+WITH {RESID}
+SELECT o_orderkey, {r6('mu')} AS fitted, {r6('e')} AS dev_resid FROM res""")
+def q_devres(spark, d):
+    """I16: deviance residuals, row by row (key kept)."""
+    o, fit = _cat_fit(spark, d)
+    return rnd(inference.fitted_columns(o, fit, "status_f").select("o_orderkey", "fitted", "dev_resid"))
+
+
+@register("std_residuals", f"""
+WITH {RESID}
+SELECT o_orderkey, {r6('1.0/n_g')} AS leverage, {r6('e / sqrt(1 - 1.0/n_g)')} AS std_resid FROM res""")
+def q_stdres(spark, d):
+    """Leverage w x'Vx and standardised deviance residuals."""
+    o, fit = _cat_fit(spark, d)
+    return rnd(inference.standardized_residuals(o, fit, "status_f")
+               .select("o_orderkey", "leverage", "std_resid"))
+
+
+@register("durbin_watson", f"""
+WITH {RESID},
+l AS (SELECT e, lag(e) OVER (ORDER BY o_orderkey) AS e_prev FROM res),
+m AS (SELECT avg(e) AS m FROM res)
+SELECT {r6('sum((e - e_prev)*(e - e_prev)) / sum(e*e)')} AS dw,
+       {r6('sum((e - m)*(e_prev - m)) / sum((e - m)*(e - m))')} AS autocorrelation,
+       CAST(count(*) AS BIGINT) AS n
+FROM l, m""")
+def q_dw(spark, d):
+    """Durbin-Watson statistic and lag-1 autocorrelation along the key order."""
+    o, fit = _cat_fit(spark, d)
+    r = inference.fitted_columns(o, fit, "status_f").select("o_orderkey", "dev_resid")
+    s = evaluate.durbin_watson(r, ["o_orderkey"], "dev_resid")
+    return _stats_row(spark, s, [("dw", "double"), ("autocorrelation", "double"), ("n", "long")])
+
+
+def _cell_frame(spark, d):
+    return frames.orders_labeled(spark, d).withColumn(
+        "cell", F.concat_ws(":", "o_orderpriority", "o_orderstatus"))
+
+
+def _group_fit_sql(col: str) -> str:
+    return (f"(SELECT -2*sum(k*ln(p) + (n-k)*ln(1-p)) AS dev, count(*) AS r FROM "
+            f"(SELECT count(*) AS n, sum(y) AS k, avg(y) AS p FROM c GROUP BY {col}))")
+
+
+@register("lrt", f"""
+WITH {LABELED}, c AS (SELECT *, o_orderpriority || ':' || o_orderstatus AS cell FROM labeled),
+s AS {_group_fit_sql('o_orderpriority')}, b AS {_group_fit_sql('cell')}
+SELECT {r6('s.dev')} AS deviance_small, {r6('b.dev')} AS deviance_big, {r6('s.dev - b.dev')} AS statistic,
+       CAST(b.r - s.r AS BIGINT) AS df, {r6(chi2_sf('s.dev - b.dev', 'b.r - s.r'))} AS p_value FROM s, b""")
+def q_lrt(spark, d):
+    """Likelihood-ratio test, y ~ priority nested in y ~ priority:status cells."""
+    c = _cell_frame(spark, d)
+    design = glm.build_design(c, factors=["o_orderpriority", "cell"])
+    data = design.matrix(c, "y")
+    small, big = glm.fit_logit_many(data, design, [design.indices(["o_orderpriority"]),
+                                                   design.indices(["cell"])], tol=TOL)
+    s = inference.lr_test(small, big)
+    return _stats_row(spark, s, [("deviance_small", "double"), ("deviance_big", "double"),
+                                 ("statistic", "double"), ("df", "long"), ("p_value", "double")])
+
+
+@register("compare_models", f"""
+WITH {LABELED}, c AS (SELECT *, o_orderpriority || ':' || o_orderstatus AS cell FROM labeled),
+nl AS (SELECT count(*) AS n, -2*(sum(y)*ln(avg(y)) + (count(*)-sum(y))*ln(1-avg(y))) AS ndev FROM c),
+m AS (SELECT 'null' AS model, ndev AS dev, 1 AS k FROM nl
+      UNION ALL SELECT 'priority', dev, r FROM {_group_fit_sql('o_orderpriority')}
+      UNION ALL SELECT 'status', dev, r FROM {_group_fit_sql('o_orderstatus')}
+      UNION ALL SELECT 'cell', dev, r FROM {_group_fit_sql('cell')})
+SELECT model, CAST(k AS BIGINT) AS rank, CAST(n - k AS BIGINT) AS df_residual, {r6('dev + 2*k')} AS aic,
+       {r6('dev + 2*k + 2.0*k*(k+1)/(n-k-1)')} AS aicc, {r6('dev + k*ln(n)')} AS bic,
+       {r6('1 - dev/ndev')} AS mcfadden, {r6('1 - exp(-(ndev - dev)/n)')} AS cox_snell,
+       {r6('(1 - exp(-(ndev - dev)/n)) / (1 - exp(-ndev/n))')} AS nagelkerke,
+       CASE WHEN k > 1 THEN {r6(chi2_sf('ndev - dev', 'k - 1'))} END AS p_value
+FROM m, nl""")
+def q_compare(spark, d):
+    """compareGLM-style table over four nested/non-nested models."""
+    c = _cell_frame(spark, d)
+    design = glm.build_design(c, factors=["o_orderpriority", "o_orderstatus", "cell"])
+    data = design.matrix(c, "y")
+    specs = {"null": [], "priority": ["o_orderpriority"], "status": ["o_orderstatus"], "cell": ["cell"]}
+    fits = glm.fit_logit_many(data, design, [design.indices(v) for v in specs.values()], tol=TOL)
+    return rnd(inference.compare_models(spark, dict(zip(specs, fits))))
+
+
+# ----------------------------------------------------------- held-out evaluation (fit on train, score test)
+
+HOLDOUT = f"""{LABELED}, {SPLIT},
+tr AS (SELECT price AS x, y FROM split WHERE in_train),
+{_newton('tr')},
+te AS (SELECT s.o_orderkey, s.y, s.o_orderpriority, s.o_orderstatus,
+              1/(1+exp(-(b0 + b1*s.price))) AS p FROM split s, beta WHERE NOT s.in_train)"""
+
+
+def _holdout(spark, d):
+    _, train, test = _split_frames(spark, d)
+    fit = _price_fit(train)
+    return test.withColumn("p", fit.probability()), fit
+
+
+@register("confusion", f"""
+WITH RECURSIVE {HOLDOUT},
+c AS (SELECT sum(CASE WHEN y = 1 AND p > 0.5 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN y = 1 AND NOT p > 0.5 THEN 1 ELSE 0 END) AS fn,
+             sum(CASE WHEN y = 0 AND p > 0.5 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN y = 0 AND NOT p > 0.5 THEN 1 ELSE 0 END) AS tn FROM te),
+s AS (SELECT *, tp + fn + fp + tn AS n FROM c)
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fn AS BIGINT) AS fn, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn,
+  {r6('(tp + tn)/n')} AS accuracy,
+  {r6('((tp+tn)/n - ((tp+fp)*(tp+fn) + (fn+tn)*(fp+tn))/(n*n)) / (1 - ((tp+fp)*(tp+fn) + (fn+tn)*(fp+tn))/(n*n))')} AS kappa,
+  {r6(chi2_sf('(abs(fn - fp) - 1)*(abs(fn - fp) - 1)/(fn + fp)', '1'))} AS mcnemar_p,
+  {r6('tp/(tp+fn)')} AS sensitivity, {r6('tn/(tn+fp)')} AS specificity,
+  {r6('tp/(tp+fp)')} AS pos_pred_value, {r6('tn/(tn+fn)')} AS neg_pred_value,
+  {r6('(tp+fn)/n')} AS prevalence, {r6('greatest((tp+fn)/n, 1 - (tp+fn)/n)')} AS no_information_rate,
+  {r6('tp/n')} AS detection_rate, {r6('(tp+fp)/n')} AS detection_prevalence,
+  {r6('(tp/(tp+fn) + tn/(tn+fp))/2')} AS balanced_accuracy
+FROM s""")
+def q_confusion(spark, d):
+    """Confusion matrix statistics on the held-out part (positive class 1)."""
+    te, _ = _holdout(spark, d)
+    te = te.withColumn("pred", evaluate.predict_class(F.col("p")))
+    s = evaluate.confusion_stats(te, "y", "pred", positive=1.0)
+    cols = [("tp", "long"), ("fn", "long"), ("fp", "long"), ("tn", "long"), ("accuracy", "double"),
+            ("kappa", "double"), ("mcnemar_p", "double"), ("sensitivity", "double"),
+            ("specificity", "double"), ("pos_pred_value", "double"), ("neg_pred_value", "double"),
+            ("prevalence", "double"), ("no_information_rate", "double"), ("detection_rate", "double"),
+            ("detection_prevalence", "double"), ("balanced_accuracy", "double")]
+    return _stats_row(spark, s, cols)
+
+
+@register("threshold_sweep", f"""
+WITH RECURSIVE {HOLDOUT}, th AS (SELECT k / 10.0 AS t FROM range(1, 10) r(k))
+SELECT {r6('t')} AS threshold, {r6('avg(CASE WHEN (p > t) = (y = 1) THEN 1.0 ELSE 0.0 END)')} AS accuracy,
+       {r6('sum(CASE WHEN p > t AND y = 1 THEN 1.0 ELSE 0.0 END) / sum(y)')} AS sensitivity,
+       {r6('sum(CASE WHEN NOT p > t AND y = 0 THEN 1.0 ELSE 0.0 END) / sum(1 - y)')} AS specificity
+FROM te, th GROUP BY t""")
+def q_sweep(spark, d):
+    """Accuracy, sensitivity, specificity at thresholds 0.1..0.9 (one pass)."""
+    te, _ = _holdout(spark, d)
+    return rnd(evaluate.threshold_sweep(te, "y", "p"))
+
+
+@register("roc_points", f"""
+WITH RECURSIVE {HOLDOUT},
+lv AS (SELECT p AS score, sum(y) AS pos, sum(1 - y) AS neg FROM te GROUP BY p),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM lv)
+SELECT {r6('score')} AS threshold, {r6('sum(neg) OVER (ORDER BY score DESC) / N')} AS fpr,
+       {r6('sum(pos) OVER (ORDER BY score DESC) / P')} AS tpr FROM lv, tot""")
+def q_roc(spark, d):
+    """ROC points at every distinct held-out score (exact, distributed)."""
+    te, _ = _holdout(spark, d)
+    pts = evaluate.roc_points(te, "y", "p")
+    return rnd(pts.filter(~F.isnan("threshold") & (F.abs("threshold") != float("inf"))))
+
+
+def _auc_sql(table_: str, score: str) -> str:
+    return (f"(SELECT (sum(CASE WHEN y = 1 THEN rk ELSE 0 END) - sum(y)*(sum(y)+1)/2.0)"
+            f" / (sum(y) * sum(1 - y)) FROM (SELECT y, rank() OVER (ORDER BY {score})"
+            f" + (count(*) OVER (PARTITION BY {score}) - 1)/2.0 AS rk FROM {table_}))")
+
+
+@register("auc", f"""
+WITH RECURSIVE {HOLDOUT}
+SELECT {r6(_auc_sql('te', 'p'))} AS auc""")
+def q_auc(spark, d):
+    """Exact held-out AUC (ties count one half)."""
+    te, _ = _holdout(spark, d)
+    return rnd(spark.createDataFrame([(evaluate.auc(te, "y", "p"),)], "auc double"))
+
+
+@register("calibration", f"""
+WITH RECURSIVE {HOLDOUT}
+SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, {r6('avg(p)')} AS mean_pred,
+       {r6('avg(y)')} AS obs_rate, CAST(count(*) AS BIGINT) AS n FROM te GROUP BY 1""")
+def q_calibration(spark, d):
+    """Predicted vs observed rate by probability decile."""
+    te, _ = _holdout(spark, d)
+    return rnd(evaluate.calibration(te, "y", "p", 10))
+
+
+@register("hosmer_lemeshow", f"""
+WITH RECURSIVE {LABELED},
+d AS (SELECT o_totalprice/1e5 AS x, y FROM labeled),
+{_newton('d')},
+f AS (SELECT d.y, 1/(1+exp(-(b0 + b1*d.x))) AS p FROM d, beta),
+q AS (SELECT quantile_cont(p, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) AS cuts FROM f),
+g AS (SELECT len(list_filter(cuts[2:10], lambda c: c < p)) AS grp, count(*) AS n, sum(y) AS o1, sum(p) AS e1
+      FROM f, q GROUP BY 1),
+s AS (SELECT sum((o1 - e1)*(o1 - e1)/e1 + ((n - o1) - (n - e1))*((n - o1) - (n - e1))/(n - e1)) AS stat,
+             count(*) AS groups FROM g)
+SELECT {r6('stat')} AS statistic, CAST(8 AS BIGINT) AS df, {r6(chi2_sf('stat', '8'))} AS p_value,
+       CAST(groups AS BIGINT) AS groups FROM s""")
+def q_hl(spark, d):
+    """Hosmer-Lemeshow on exact decile groups of the fitted values."""
+    o = frames.orders_labeled(spark, d).withColumn("price", F.col("o_totalprice") / 1e5)
+    fit = _price_fit(o)
+    s = evaluate.hosmer_lemeshow(o.withColumn("p", fit.probability()), "y", "p", 10)
+    return _stats_row(spark, s, [("statistic", "double"), ("df", "long"), ("p_value", "double"),
+                                 ("groups", "long")])
+
+
+@register("leaderboard", f"""
+WITH RECURSIVE {HOLDOUT},
+pm AS (SELECT o_orderpriority, avg(y) AS s FROM split WHERE in_train GROUP BY 1),
+sm AS (SELECT o_orderstatus, avg(y) AS s FROM split WHERE in_train GROUP BY 1),
+sc AS (SELECT te.y, te.p AS glm_price, pm.s AS priority_means, sm.s AS status_means,
+              {uniform(42, 'te.o_orderkey')} AS random_probe
+       FROM te JOIN pm USING (o_orderpriority) JOIN sm USING (o_orderstatus)),
+a AS (SELECT 'glm_price' AS model, {_auc_sql('sc', 'glm_price')} AS auc
+      UNION ALL SELECT 'priority_means', {_auc_sql('sc', 'priority_means')}
+      UNION ALL SELECT 'random_probe', {_auc_sql('sc', 'random_probe')}
+      UNION ALL SELECT 'status_means', {_auc_sql('sc', 'status_means')})
+SELECT model, {r6('auc')} AS auc, CAST(row_number() OVER (ORDER BY auc DESC, model) AS INTEGER) AS rank FROM a""")
+def q_leaderboard(spark, d):
+    """Held-out AUC of four scorers, ranked."""
+    _, train, test = _split_frames(spark, d)
+    fit = _price_fit(train)
+    pm = train.groupBy("o_orderpriority").agg(F.avg("y").alias("priority_means"))
+    sm = train.groupBy("o_orderstatus").agg(F.avg("y").alias("status_means"))
+    sc = (test.withColumn("glm_price", fit.probability())
+              .withColumn("random_probe", sampling.uniform_column(["o_orderkey"], 42))
+              .join(F.broadcast(pm), "o_orderpriority").join(F.broadcast(sm), "o_orderstatus")
+              .persist())
+    rows = [(m, evaluate.auc(sc, "y", m)) for m in
+            ["glm_price", "priority_means", "status_means", "random_probe"]]
+    res = spark.createDataFrame(rows, "model string, auc double")
+    return evaluate.leaderboard(rnd(res), "auc")
+
+
+@register("auc_raw", f"""
+WITH {LABELED},
+c AS (SELECT l.y, cu.c_acctbal AS s FROM labeled l JOIN customer cu ON l.o_custkey = cu.c_custkey),
+md AS (SELECT quantile_cont(s, 0.5) FILTER (WHERE y = 0) AS m0, quantile_cont(s, 0.5) FILTER (WHERE y = 1) AS m1 FROM c),
+dir AS (SELECT CASE WHEN m0 <= m1 THEN '>' ELSE '<' END AS direction FROM md),
+c2 AS (SELECT y, CASE WHEN (SELECT direction FROM dir) = '>' THEN s ELSE -s END AS s FROM c)
+SELECT {r6(_auc_sql('c2', 's'))} AS auc, (SELECT direction FROM dir) AS direction""")
+def q_auc_raw(spark, d):
+    """ROC AUC of one raw predictor, direction picked by class medians."""
+    o = frames.orders_labeled(spark, d)
+    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    df = o.join(c, o.o_custkey == c.c_custkey)
+    a, direction = evaluate.auc_raw_predictor(df, "y", "c_acctbal")
+    return rnd(spark.createDataFrame([(a, direction)], "auc double, direction string"))
+
+
+@register("score_job", f"""
+WITH RECURSIVE {HOLDOUT}
+SELECT o_orderkey, {r6('p')} AS probability, CASE WHEN p > 0.5 THEN 'Spend' ELSE 'Reduce' END AS class FROM te""")
+def q_score(spark, d):
+    """Score the held-out file with the fitted model (map-only)."""
+    from dichot.plans.jobs import ScoringModel, score_job
+    _, train, test = _split_frames(spark, d)
+    fit = _price_fit(train)
+    model = ScoringModel.from_fit(fit, impute={})
+    return rnd(score_job(spark, model, test, keep=["o_orderkey"]))

@@ -43,8 +43,8 @@ def uniform(seed, key: str) -> str:
 def norm_sf2(z: str) -> str:
     """Two-sided normal p-value 2*(1 - Phi(|z|))."""
     a = f"abs({z})"
-    series = (f"list_sum([exp((2*k+1)*ln(greatest({a}, 1e-300)) - ((k+1)*ln(2.0) + lgamma(k+1.5)"
-              f" - 0.5*ln(pi()))) for k in range(0, 400)])")
+    series = (f"list_sum([exp((2*ii_+1)*ln(greatest({a}, 1e-300)) - ((ii_+1)*ln(2.0) + lgamma(ii_+1.5)"
+              f" - 0.5*ln(pi()))) for ii_ in range(0, 400)])")
     return (f"(CASE WHEN {a} > 8.5 THEN 0.0 ELSE greatest(0.0, 1.0 - 2.0*exp(-{a}*{a}/2.0)"
             f"/sqrt(2*pi())*{series}) END)")
 
@@ -53,8 +53,8 @@ def chi2_sf(x: str, df: str) -> str:
     """Upper tail of chi-square: 1 - P(df/2, x/2) by the power series of P."""
     a = f"(({df})/2.0)"
     y = f"(({x})/2.0)"
-    series = (f"list_sum([exp(({a}+k)*ln(greatest({y}, 1e-300)) - {y} - lgamma({a}+k+1))"
-              f" for k in range(0, 1500)])")
+    series = (f"list_sum([exp(({a}+ii_)*ln(greatest({y}, 1e-300)) - {y} - lgamma({a}+ii_+1))"
+              f" for ii_ in range(0, 1500)])")
     return f"(CASE WHEN {y} > 600 THEN 0.0 WHEN {y} <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - {series}) END)"
 
 
