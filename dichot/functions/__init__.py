@@ -1,0 +1 @@
+"""Scalar helpers: distributions (driver), md5 uniforms, Gram partials."""

@@ -940,3 +940,324 @@ def q_score(spark, d):
     fit = _price_fit(train)
     model = ScoringModel.from_fit(fit, impute={})
     return rnd(score_job(spark, model, test, keep=["o_orderkey"]))
+
+
+# =================================================================== selection and fitted models (rows-only)
+
+from dichot.operators import models, selection  # noqa: E402
+
+NUMERIC_TERMS = ["price", "acctbal", "randpred"]
+FACTOR_TERMS = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
+
+
+def _model_frame(spark, d):
+    df = frames.labeled_features(spark, d).withColumn(
+        "randpred", sampling.uniform_column(["o_orderkey"], 42))
+    return df
+
+
+def _full_design(df, extra_numeric=()):
+    return glm.build_design(df, numeric=NUMERIC_TERMS + list(extra_numeric), factors=FACTOR_TERMS,
+                            order=NUMERIC_TERMS + list(extra_numeric) + FACTOR_TERMS)
+
+
+def _stepwise(spark, d, direction):
+    df = _model_frame(spark, d)
+    design = _full_design(df)
+    data = design.matrix(df, "y")
+    _, path, _ = selection.stepwise(data, design, direction)
+    data.unpersist()
+    return rnd(selection.stepwise_table(spark, path))
+
+
+@register("stepwise_both")
+def q_step_both(spark, d):
+    """stepwise AIC, both directions, from the null model; whole terms."""
+    return _stepwise(spark, d, "both")
+
+
+@register("stepwise_forward")
+def q_step_fwd(spark, d):
+    """forward selection by AIC."""
+    return _stepwise(spark, d, "forward")
+
+
+@register("stepwise_backward")
+def q_step_bwd(spark, d):
+    """backward elimination by AIC."""
+    return _stepwise(spark, d, "backward")
+
+
+def _full_fit(spark, d, extra=()):
+    df = _model_frame(spark, d)
+    if "price2" in extra:
+        df = df.withColumn("price2", F.col("price") * 2)
+    design = _full_design(df, extra)
+    data = design.matrix(df, "y")
+    fit = glm.fit_logit_many(data, design, [list(range(len(design.columns)))])[0]
+    return df, design, data, fit
+
+
+@register("varimp_glm")
+def q_varimp_glm(spark, d):
+    """|z| importance of every coefficient of the full model."""
+    _, _, _, fit = _full_fit(spark, d)
+    return rnd(selection.varimp_glm(spark, fit))
+
+
+@register("anova_sequential")
+def q_anova(spark, d):
+    """Sequential analysis of deviance (nested fits share passes)."""
+    _, design, data, _ = _full_fit(spark, d)
+    return rnd(inference.anova_sequential(spark, data, design))
+
+
+@register("type2_wald")
+def q_type2(spark, d):
+    """Type-II Wald chi-square per term."""
+    _, _, _, fit = _full_fit(spark, d)
+    return rnd(inference.type2_wald(spark, fit))
+
+
+@register("gvif")
+def q_gvif(spark, d):
+    """generalised VIF per term from the coefficient covariance."""
+    _, _, _, fit = _full_fit(spark, d)
+    return rnd(selection.gvif_table(spark, fit))
+
+
+@register("vif_prune")
+def q_vif_prune(spark, d):
+    """drop the worst adjusted GVIF and refit until all are below sqrt(5)."""
+    df = _model_frame(spark, d).withColumn(
+        "price_dup", F.col("price") + 0.05 * sampling.uniform_column(["o_orderkey"], 7))
+    design = glm.build_design(df, numeric=["price", "price_dup", "acctbal"], factors=["o_orderpriority"])
+    data = design.matrix(df, "y")
+    kept, log = selection.vif_prune(data, design, design.sources)
+    return rnd(spark.createDataFrame(log, "step long, dropped string, worst_term string, worst_gvif_adj double"))
+
+
+@register("rank_deficiency")
+def q_rank(spark, d):
+    """An exactly collinear column is detected and reported as aliased (NA)."""
+    _, _, _, fit = _full_fit(spark, d, extra=("price2",))
+    return rnd(inference.coef_table(spark, fit))
+
+
+@register("effects")
+def q_effects(spark, d):
+    """Fitted response over the priority levels, other terms at their means."""
+    df, design, _, fit = _full_fit(spark, d)
+    return rnd(inference.effects(df, fit, "o_orderpriority"))
+
+
+@register("predict_grid")
+def q_predict_grid(spark, d):
+    """Prediction grid (priority levels x price quartiles) with SE and interval."""
+    df, design, _, fit = _full_fit(spark, d)
+    q = ordered.exact_quantiles(df, "price", [0.25, 0.5, 0.75]).select(F.col("quantile").alias("price"))
+    means = df.agg(F.avg("acctbal").alias("acctbal"), F.avg("randpred").alias("randpred"))
+    others = df.select("o_orderstatus", "c_mktsegment").groupBy("o_orderstatus", "c_mktsegment").count() \
+               .orderBy(F.col("count").desc(), "o_orderstatus", "c_mktsegment").limit(1).drop("count")
+    grid = relational.expand_grid(df.select("o_orderpriority").distinct(), q, means, others)
+    return rnd(inference.predict_grid(grid, fit).select(
+        "o_orderpriority", "price", "fit", "se_eta", "lower", "upper"))
+
+
+@register("logistic_curve")
+def q_curve(spark, d):
+    """One-variable logit and its fitted curve over the observed price range."""
+    df = _model_frame(spark, d)
+    design = glm.build_design(df, numeric=["price"])
+    fit = glm.fit_logit(df, "y", design)
+    rng = df.agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
+    grid = spark.range(21).crossJoin(F.broadcast(rng)) \
+                .select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("id") / 20).alias("price"))
+    return rnd(inference.predict_grid(grid, fit).select("price", "fit", "lower", "upper"))
+
+
+@register("component_residuals")
+def q_crplot(spark, d):
+    """Component + residual data for price, binned."""
+    df, _, _, fit = _full_fit(spark, d)
+    return rnd(inference.component_residuals(df, fit, "y", "price"))
+
+
+def _cv_frame(spark, d, k=3, repeats=1):
+    df = _model_frame(spark, d)
+    design = _full_design(df)
+    frame = models.assemble(df, design, "y", keep=["o_orderkey"])
+    frame = sampling.repeated_kfold(frame, "label", ["o_orderkey"], k, repeats, SEED)
+    return frame.persist(), design
+
+
+def _cv(spark, d, est, grid, k=3, repeats=1):
+    frame, _ = _cv_frame(spark, d, k, repeats)
+    res = models.resample(est, grid, frame, [f"fold_{r}" for r in range(1, repeats + 1)])
+    return rnd(models.tuning_table(spark, est, grid, res))
+
+
+@register("glm_cv")
+def q_glm_cv(spark, d):
+    """Resampled GLM, 5-fold x 2 repeats, ROC."""
+    return _cv(spark, d, models.glm_estimator(), [{}], k=5, repeats=2)
+
+
+@register("glmnet_cv")
+def q_glmnet_cv(spark, d):
+    """Elastic net over (lambda, alpha), 3-fold."""
+    est = models.glmnet_estimator()
+    return _cv(spark, d, est, models.param_grid(est, regParam=[0.001, 0.01], elasticNetParam=[0.0, 1.0]))
+
+
+@register("gbm_cv")
+def q_gbm_cv(spark, d):
+    """Boosted trees, depth 1 and 5, shrinkage 0.01, 3-fold."""
+    est = models.gbm_estimator().setMaxIter(20)
+    return _cv(spark, d, est, models.param_grid(est, maxDepth=[1, 5]))
+
+
+@register("rf_cv")
+def q_rf_cv(spark, d):
+    """Random forest (mtry = sqrt(p)), 3-fold."""
+    est = models.rf_estimator(num_trees=50)
+    return _cv(spark, d, est, [{}])
+
+
+@register("glmboost_cv")
+def q_glmboost_cv(spark, d):
+    """Component-wise boosted logit with centred covariates, mstop grid, 3-fold."""
+    est = models.GLMBoost(mstop=50)
+    return _cv(spark, d, est, models.param_grid(est, mstop=[25, 50]))
+
+
+def _holdout_models(spark, d):
+    df = _model_frame(spark, d)
+    design = _full_design(df)
+    frame = models.assemble(df, design, "y", keep=["o_orderkey"])
+    flagged = sampling.stratified_flag(frame, "label", ["o_orderkey"], 0.8, SEED, "in_train").persist()
+    return flagged.filter("in_train"), flagged.filter("NOT in_train"), design
+
+
+@register("model_zoo")
+def q_zoo(spark, d):
+    """Naive Bayes, linear SVM, CART, forest, logit, boosted logit
+    and their ensemble (mean probability, majority vote), held-out AUC ranked."""
+    train, test, _ = _holdout_models(spark, d)
+    fitted = {"glm": models.glm_estimator().fit(train),
+              "naive_bayes": models.naive_bayes_estimator().fit(train),
+              "cart": models.cart_estimator().fit(train),
+              "rf": models.rf_estimator(num_trees=50).fit(train),
+              "glmboost": models.GLMBoost(mstop=50).fit(train)}
+    svm = models.svm_estimator().fit(train)
+    preds = {n: models.p_positive(m.transform(test)).select("o_orderkey", "label", "p1")
+             for n, m in fitted.items()}
+    rows = [(n, evaluate.auc(p, "label", "p1")) for n, p in preds.items()]
+    svm_scored = svm.transform(test).withColumn("margin", vector_to_array_(F.col("rawPrediction"))[1])
+    rows.append(("linear_svc", evaluate.auc(svm_scored, "label", "margin")))
+    ens = models.ensemble({n: preds[n] for n in ["glm", "rf", "glmboost"]}, ["o_orderkey"], "label")
+    rows.append(("ensemble_mean", evaluate.auc(ens, "label", "p_mean")))
+    return evaluate.leaderboard(rnd(spark.createDataFrame(rows, "model string, auc double")), "auc")
+
+
+def vector_to_array_(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(c)
+
+
+@register("varimp_forest")
+def q_varimp_rf(spark, d):
+    """forest importance summed per term, scaled 0-100, against the random probe."""
+    train, _, design = _holdout_models(spark, d)
+    rf = models.rf_estimator(num_trees=50).fit(train)
+    imp = selection.varimp_model(spark, rf, design.columns, design=design)
+    return rnd(selection.random_probe_screen(imp, "randpred"))
+
+
+@register("boruta")
+def q_boruta(spark, d):
+    """Boruta decisions and importance statistics (shadow permutations)."""
+    df = _model_frame(spark, d).withColumn("nation", F.col("c_nationkey").cast("double"))
+    _, stats = selection.boruta(df, ["price", "acctbal", "randpred", "nation"], "y", ["o_orderkey"],
+                                max_runs=12, num_trees=30, runs_per_pass=12, seed=1)
+    return rnd(stats)
+
+
+@register("pca")
+def q_pca(spark, d):
+    """prcomp (centred, unscaled) of the embedding vectors: sdev and share."""
+    emb = table(spark, d, "embeddings").select(
+        "vec_id", array_to_vector_(F.col("embedding").cast("array<double>")).alias("v"))
+    _, sdev = selection.pca(emb, "v", 5)
+    return rnd(sdev)
+
+
+def array_to_vector_(c):
+    from pyspark.ml.functions import array_to_vector
+    return array_to_vector(c)
+
+
+@register("lasso_select")
+def q_lasso(spark, d):
+    """LASSO logit, non-zero coefficients."""
+    train, _, design = _holdout_models(spark, d)
+    rows = selection.lasso_select(train, design.columns, reg=0.01)
+    return rnd(spark.createDataFrame(rows, "variable string, coefficient double"))
+
+
+@register("mrmr")
+def q_mrmr(spark, d):
+    """greedy max-relevance min-redundancy on quantile bins."""
+    df = _model_frame(spark, d).withColumn("nation", F.col("c_nationkey").cast("double"))
+    rows = selection.mrmr(df, ["price", "acctbal", "randpred", "nation"], "y", k=3)
+    return rnd(spark.createDataFrame(rows, "rank long, feature string, score double"))
+
+
+@register("clean_job")
+def q_clean_job(spark, d):
+    """Section 3.1: merge two files on a composite key, sentinel, sniff, profile-driven
+    drops, zero fill, complete rows, 0/1 target."""
+    from dichot.plans.jobs import CleanConfig, clean_job
+    left = frames.orders_with_defects(spark, d).drop("c_nationkey")
+    right = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey",
+                                               "c_mktsegment")
+    cfg = CleanConfig(keys=["o_custkey"], label="o_orderstatus", positive="F",
+                      zero_fill=["nation_price"], categorical=["c_nationkey"], drop=["price2"])
+    out, _ = clean_job(left, right, cfg)
+    return out
+
+
+@register("column_classes")
+def q_classes(spark, d):
+    """Column classes from the schema (no data job)."""
+    return schema.column_classes(table(spark, d, "lineitem"))
+
+
+@register("factor_levels", """
+SELECT 'o_orderpriority' AS column_name, o_orderpriority AS level FROM (SELECT DISTINCT o_orderpriority FROM orders)
+UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM (SELECT DISTINCT o_orderstatus FROM orders)""")
+def q_levels(spark, d):
+    """Levels of several factors from one job."""
+    lv = schema.levels_many(table(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"])
+    return spark.createDataFrame([(c, v) for c, vs in lv.items() for v in vs],
+                                 "column_name string, level string")
+
+
+@register("column_drops", f"""
+WITH {DEFECTS}
+SELECT 'blank' AS rule, 'o_orderpriority' AS column_name FROM defects
+  GROUP BY ALL HAVING count(*) FILTER (WHERE o_orderpriority = '') > 100
+UNION ALL SELECT 'null', c FROM (
+  SELECT unnest(['o_totalprice', 'price_text', 'nation_price', 'price2']) AS c,
+         unnest([count(*) FILTER (WHERE o_totalprice IS NULL), count(*) FILTER (WHERE price_text IS NULL),
+                 count(*) FILTER (WHERE nation_price IS NULL), count(*) FILTER (WHERE price2 IS NULL)]) AS n
+  FROM defects) WHERE n > 500
+UNION ALL SELECT 'high_cardinality', 'price_text' FROM defects GROUP BY ALL HAVING count(DISTINCT price_text) > 1000""")
+def q_drops(spark, d):
+    """Columns dropped for blanks (>100), nulls (>500), distinct text values (>1000)."""
+    df = frames.orders_with_defects(spark, d)
+    _, blank = relational.drop_blank_columns(df, 100)
+    _, null = relational.drop_null_columns(df, 500)
+    _, high = relational.drop_high_cardinality(df, profile.string_columns(df), 1000)
+    rows = [("blank", c) for c in blank] + [("null", c) for c in null] + [("high_cardinality", c) for c in high]
+    return spark.createDataFrame(rows, "rule string, column_name string")
