@@ -45,6 +45,19 @@ def stack_rows(series: pd.Series, width: int) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64).reshape(len(series), width)
 
 
+def x_cols(p: int) -> list[str]:
+    """Names of the design columns of a model matrix frame (one double each,
+    so Arrow ships plain columns and no per-row array objects)."""
+    return [f"x_{i}" for i in range(p)]
+
+
+def design_block(pdf: pd.DataFrame, p: int) -> np.ndarray:
+    """(n, p) float matrix from the ``x_i`` columns of a pandas batch."""
+    if p == 0:
+        return np.zeros((len(pdf), 0))
+    return pdf[x_cols(p)].to_numpy(dtype=np.float64)
+
+
 def weighted_gram(df: DataFrame, x_col: str, p: int, weight_col: str | None = None,
                   intercept: bool = True) -> np.ndarray:
     """X'WX of an array column (intercept column first when asked)."""

@@ -28,7 +28,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dichot.functions.linalg import aliased_columns, stack_rows, sum_partials
+from dichot.functions.linalg import aliased_columns, design_block, sum_partials, x_cols
 from dichot.functions.stats import chi2_sf, logistic, normal_sf
 from dichot.operators.schema import levels_many
 
@@ -81,11 +81,12 @@ class Design:
 
     def matrix(self, df: DataFrame, label_col: str | None, keep_cols: Sequence[str] = (),
                weight_col: str | None = None, persist: bool = True) -> DataFrame:
-        """Complete cases of the used columns as ``(keep..., x array<double>, y)``."""
+        """Complete cases of the used columns as ``(keep..., x_0..x_{p-1}, y[, w])``."""
         used = list(dict.fromkeys(self.sources + ([label_col] if label_col else [])
                                   + ([weight_col] if weight_col else [])))
         cc = df.dropna(subset=used)
-        cols = list(keep_cols) + [F.array(*[e.cast("double") for e in self.exprs()]).alias("x")]
+        cols = list(keep_cols) + [e.cast("double").alias(n)
+                                  for e, n in zip(self.exprs(), x_cols(len(self.columns)))]
         if label_col:
             cols.append(F.col(label_col).cast("double").alias("y"))
         if weight_col:
@@ -248,7 +249,7 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
         length = 3 + sum(k * k + k + 1 for k in sizes)
 
         def partial(pdf, payload=payload, sizes=sizes, length=length):
-            x = stack_rows(pdf["x"], p)
+            x = design_block(pdf, p)
             y = pdf["y"].to_numpy(dtype=np.float64)
             w0 = pdf["w"].to_numpy(dtype=np.float64) if weighted else np.ones(len(y))
             out = np.empty(length)
@@ -330,7 +331,7 @@ def full_gram(data: DataFrame, p: int, weighted: bool = False) -> np.ndarray:
     k = p + 1
 
     def partial(pdf):
-        x = np.hstack([np.ones((len(pdf), 1)), stack_rows(pdf["x"], p)])
+        x = np.hstack([np.ones((len(pdf), 1)), design_block(pdf, p)])
         w = pdf["w"].to_numpy(dtype=np.float64) if weighted else np.ones(len(pdf))
         return ((x.T * w) @ x).ravel()
 

@@ -170,25 +170,30 @@ def fitted_columns(df: DataFrame, fit: LogitFit, label_col: str) -> DataFrame:
 
 
 def _quad_form_udf(cov: np.ndarray, kept_idx: list[int]):
-    """Vectorised x'Vx over an array column (Arrow batches, numpy)."""
+    """Vectorised x'Vx over the design columns (one struct of doubles per row,
+    Arrow batches, numpy; V is p x p and travels in the closure)."""
     v = cov.copy()
 
     @F.pandas_udf("double")
-    def quad(xs: pd.Series) -> pd.Series:
+    def quad(xs: pd.DataFrame) -> pd.Series:
         if len(xs) == 0:
             return pd.Series([], dtype="float64")
-        x = np.stack(xs.to_numpy()).astype(np.float64)
+        x = xs.to_numpy(dtype=np.float64)
         x = np.hstack([np.ones((len(x), 1)), x[:, kept_idx]])
         return pd.Series(np.einsum("ij,jk,ik->i", x, v, x))
 
     return quad
 
 
+def _design_struct(design: Design) -> Column:
+    return F.struct(*[e.cast("double").alias(f"x_{i}") for i, e in enumerate(design.exprs())])
+
+
 def standardized_residuals(df: DataFrame, fit: LogitFit, label_col: str) -> DataFrame:
     """Leverage h = w x'Vx and ``rstandard`` = dev_resid / sqrt(1 - h)."""
     kept = [fit.index[j - 1] for j in range(1, len(fit.coef)) if not np.isnan(fit.coef[j])]
     quad = _quad_form_udf(fit.cov, kept)
-    x = F.array(*[e.cast("double") for e in fit.design.exprs()])
+    x = _design_struct(fit.design)
     out = fitted_columns(df, fit, label_col)
     w = F.col("fitted") * (F.lit(1.0) - F.col("fitted"))
     return (out.withColumn("leverage", w * quad(x))
@@ -222,7 +227,7 @@ def predict_grid(grid: DataFrame, fit: LogitFit, level: float = 0.95) -> DataFra
     kept = [fit.index[j - 1] for j in range(1, len(fit.coef)) if not np.isnan(fit.coef[j])]
     quad = _quad_form_udf(fit.cov, kept)
     z = normal_ppf(0.5 + level / 2)
-    x = F.array(*[e.cast("double") for e in fit.design.exprs()])
+    x = _design_struct(fit.design)
     inv = lambda e: F.lit(1.0) / (F.lit(1.0) + F.exp(-e))
     return (grid.withColumn("eta", fit.eta())
                 .withColumn("se_eta", F.sqrt(quad(x)))
@@ -238,8 +243,7 @@ def effects(df: DataFrame, fit: LogitFit, term: str, level: float = 0.95) -> Dat
     t = design.term(term)
     used = design.matrix(df, None, persist=False)
     p = len(design.columns)
-    means_row = used.select(*[F.col("x")[i].alias(f"m{i}") for i in range(p)]) \
-                    .agg(*[F.avg(f"m{i}").alias(f"m{i}") for i in range(p)]).first()
+    means_row = used.agg(*[F.avg(f"x_{i}").alias(f"m{i}") for i in range(p)]).first()
     means = [means_row[f"m{i}"] for i in range(p)]
     if t.kind == "factor":
         values = [(v,) for v in t.levels]

@@ -279,44 +279,58 @@ def pearson_long(df: DataFrame, cols: Sequence[str], use: str = "everything") ->
     return _explode_single_row(one, structs)
 
 
-def mid_ranks(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
-    """Average rank with ties (``rank(x)``) of every value, per column.
+def rank_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Mid-rank (``rank(x)``, ties averaged) of every distinct value, per column.
 
-    Returns ``(key..., column_name, value, rank)``.  Ranks come from value
-    counts and distributed running sums, not from a window over a column.
+    ``(column_name, value, rank)`` from value counts and distributed running
+    sums -- no window over a whole column.
     """
-    long = melt(df, cols, "double", id_cols=key_cols).filter(F.col("value").isNotNull())
+    long = melt(df, cols, "double").filter(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sums(counts, ["value"], ["_n"], group_cols=["column_name"])
-    ranks = cum.select("column_name", "value",
-                       (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
-    return long.join(ranks, ["column_name", "value"])
+    return cum.select("column_name", "value",
+                      (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
+
+
+def mid_ranks(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
+    """Row-level mid-ranks in long form ``(key..., column_name, value, rank)``."""
+    long = melt(df, cols, "double", id_cols=key_cols).filter(F.col("value").isNotNull())
+    return long.join(rank_table(df, cols), ["column_name", "value"])
+
+
+def with_rank_columns(df: DataFrame, cols: Sequence[str], prefix: str = "r_") -> DataFrame:
+    """Add one mid-rank column per column by joining each column's value->rank
+    table on the value (small tables are broadcast by AQE); the wide frame is
+    never melted or pivoted."""
+    ranks = rank_table(df, cols).persist()
+    out = df
+    for c in cols:
+        t = ranks.filter(F.col("column_name") == c).select(
+            F.col("value").alias("_rv"), F.col("rank").alias(prefix + c))
+        out = out.join(t, F.col(c).cast("double") == F.col("_rv"), "left").drop("_rv")
+    return out
 
 
-def spearman_long(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
+def spearman_long(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str] = ()) -> DataFrame:
     """Spearman correlations with n, t and two-sided p (``corr.test``).
 
     Pairwise-complete: ranks are recomputed on the complete pairs of a pair
     of columns only when one of them has nulls.
     """
     cols = list(cols)
-    key_cols = list(key_cols)
     nulls = {r["column_name"]: r["n_null"] for r in missing_profile(df, cols).collect()}
     complete = [c for c in cols if nulls[c] == 0]
     rows = []
     if complete:
-        ranked = mid_ranks(df, complete, key_cols)
-        wide = ranked.groupBy(*key_cols).pivot("column_name", complete).agg(F.first("rank"))
-        rows += _pair_corr_rows(wide, complete, [(a, b) for i, a in enumerate(complete)
-                                                 for b in complete[i + 1:]])
+        ranked = with_rank_columns(df.select(*complete), complete)
+        rows += _pair_corr_rows(ranked, [(a, b) for i, a in enumerate(complete)
+                                         for b in complete[i + 1:]], prefix="r_")
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
             if nulls[a] == 0 and nulls[b] == 0:
                 continue
-            sub = df.select(*key_cols, a, b).dropna(subset=[a, b])
-            ranked = mid_ranks(sub, [a, b], key_cols)
-            wide = ranked.groupBy(*key_cols).pivot("column_name", [a, b]).agg(F.first("rank"))
-            rows += _pair_corr_rows(wide, [a, b], [(a, b)])
+            sub = df.select(a, b).dropna(subset=[a, b])
+            rows += _pair_corr_rows(with_rank_columns(sub, [a, b]), [(a, b)], prefix="r_")
     out = []
     for a, b, r, n in rows:
         df_ = n - 2
@@ -333,11 +347,12 @@ def spearman_long(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str]) -
     return df.sparkSession.createDataFrame(out, schema)
 
 
-def _pair_corr_rows(wide: DataFrame, cols, pairs):
+def _pair_corr_rows(wide: DataFrame, pairs, prefix: str = ""):
     aggs = []
     for k, (a, b) in enumerate(pairs):
-        aggs.append(F.corr(a, b).alias(f"r{k}"))
-        aggs.append(F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)).alias(f"n{k}"))
+        ra, rb = F.col(prefix + a), F.col(prefix + b)
+        aggs.append(F.corr(ra, rb).alias(f"r{k}"))
+        aggs.append(F.count(F.when(ra.isNotNull() & rb.isNotNull(), 1)).alias(f"n{k}"))
     if not aggs:
         return []
     row = wide.agg(*aggs).collect()[0]

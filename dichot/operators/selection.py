@@ -203,7 +203,14 @@ def shadow_frame(base: DataFrame, features: Sequence[str], n: int, runs: Sequenc
                            .alias("src_idx")))
     joined = targets.join(src, ["src_idx", "feature"]).select("row_idx", "shadow", "value")
     names = [m[1] for m in maps]
-    return joined.groupBy("row_idx").pivot("shadow", names).agg(F.first("value"))
+    pos = {n: i for i, n in enumerate(names)}
+    # gather each row's shadows into one sorted array (no k-way pivot)
+    pos_col = F.element_at(F.create_map(*[x for n in names for x in (F.lit(n), F.lit(pos[n]))]),
+                           F.col("shadow"))
+    packed = (joined.withColumn("_pos", pos_col)
+                    .groupBy("row_idx")
+                    .agg(F.sort_array(F.collect_list(F.struct("_pos", "value"))).alias("_s")))
+    return packed.select("row_idx", *[F.col("_s")[i]["value"].alias(n) for i, n in enumerate(names)])
 
 
 def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Sequence[str],

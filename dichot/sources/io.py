@@ -28,11 +28,18 @@ def read_csv_blank_null(spark: SparkSession, path: str, schema: T.StructType | s
 def read_csv_keep_blank(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                         sep: str = ",") -> DataFrame:
     """``read.csv(path, header=TRUE, stringsAsFactors=FALSE)``: only the text
-    ``NA`` is missing; blanks stay empty strings (counted by the profile)."""
-    r = spark.read.option("header", True).option("sep", sep).option("nullValue", "NA") \
+    ``NA`` is missing; blank text fields stay empty strings (the profile counts them).
+
+    The CSV parser reports an empty field as null, so text columns are read
+    with no null marker and mapped afterwards: null -> "" and "NA" -> null.
+    """
+    r = spark.read.option("header", True).option("sep", sep).option("nullValue", "\u0000") \
              .option("emptyValue", "")
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    df = r.csv(path)
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(c).isNull(), F.lit("")).when(F.col(c) == "NA", None)
+                           .otherwise(F.col(c)) for c in strings})
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t",
