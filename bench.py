@@ -39,8 +39,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, app="dichot-bench")
+    # untimed warm-up: JVM code paths, Arrow and the Python workers of mapInPandas
     spark.range(1000).selectExpr("sum(id)").collect()
     spark.read.parquet(f"{sf_dir}/orders.parquet").limit(1).toPandas()
+    spark.range(100000, numPartitions=cpus).mapInPandas(lambda it: it, "id long") \
+         .write.mode("overwrite").format("noop").save()
 
     times = {}
     for name in names:

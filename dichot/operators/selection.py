@@ -2,8 +2,8 @@
 
 Stepwise search fits all candidate models of a step in the same passes
 over one cached design matrix (:func:`fit_logit_many`); Boruta builds its
-shadow columns as a distributed permutation (melt, one join on a permuted
-row index, one pivot) and fits forests on them; GVIF works on the fitted
+shadow columns by permuting features inside random hash blocks (one
+shuffle) and fits forests on them; GVIF works on the fitted
 coefficient covariance.  Selections return their log as a DataFrame instead
 of being typed in by hand after reading printed output.
 """
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -22,11 +23,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dichot.functions.linalg import cov_to_corr, logdet
 from dichot.functions.stats import binom_cdf, binom_sf
 from dichot.operators.glm import Design, LogitFit, fit_logit_many
-from dichot.operators.ordered import row_index
 
 # ------------------------------------------------------------------ F01-F03
 
@@ -166,51 +167,43 @@ def vif_prune(data: DataFrame, design: Design, terms: Sequence[str], limit: floa
 
 # ------------------------------------------------------------------ F06/F07 Boruta
 
-def _coprime_multiplier(n: int, salt: int) -> int:
-    a = 1_000_003 + 2 * salt
-    # kept small (not reduced mod n) so a * (t - 1) fits in a long for n up to ~3e12
-    while n > 1 and math.gcd(a, n) != 1:
-        a += 2
-    return a if n > 1 else 1
-
-
-def shadow_frame(base: DataFrame, features: Sequence[str], n: int, runs: Sequence[int],
-                 seed: int) -> DataFrame:
-    """Shadow copies of ``features`` for several runs, as one permutation job.
-
-    ``base`` has a dense ``row_idx`` 1..n.  For run r and feature j the
-    shadow value at row t is the value at row ``(a*(t-1) + b) mod n + 1``
-    with ``gcd(a, n) = 1`` (an affine permutation, different per column and
-    run).  Done as melt -> one join on (source row, feature) -> pivot.
+def shadow_frame(df: DataFrame, features: Sequence[str], key_cols: Sequence[str],
+                 runs: Sequence[int], seed: int, num_partitions: int | None = None) -> DataFrame:
+    """Shadow copies of ``features`` for several runs in one shuffle.
+
+    Rows are hash-partitioned on (seed, key) -- so every partition is a
+    random block of rows, independent of the label -- and sorted by key.
+    Inside each block every feature is permuted with a generator seeded by
+    (seed, run, feature, partition), giving ``shadow_<run>_<feature>``: an
+    exchangeable copy of the feature with its link to the label broken.
+    No join, no regrouping, and the result is the same on recomputation.
+    A block is one partition, so ``num_partitions`` must keep it in memory.
     """
-    features = list(features)
-    src = base.select("row_idx", *features).unpivot(["row_idx"], features, "feature", "value") \
-              .withColumnRenamed("row_idx", "src_idx")
-    maps = []
-    for r in runs:
-        for j, f in enumerate(features):
-            salt = (seed * 7919 + r * 104729 + j * 1299709) % 1_000_000
-            a = _coprime_multiplier(n, salt)
-            b = (salt * 2654435761) % n
-            maps.append((f, f"shadow_{r}_{f}", a, b))
-    # one struct per (feature, run): a bounded literal list, exploded per row
-    maps_col = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(sh).alias("shadow"),
-                                  F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-                         for f, sh, a, b in maps])
-    targets = (base.select("row_idx", F.explode(maps_col).alias("m"))
-                   .select("row_idx", "m.feature", "m.shadow",
-                           (((F.col("m.a") * (F.col("row_idx") - 1) + F.col("m.b")) % n) + 1)
-                           .alias("src_idx")))
-    joined = targets.join(src, ["src_idx", "feature"]).select("row_idx", "shadow", "value")
-    names = [m[1] for m in maps]
-    pos = {n: i for i, n in enumerate(names)}
-    # gather each row's shadows into one sorted array (no k-way pivot)
-    pos_col = F.element_at(F.create_map(*[x for n in names for x in (F.lit(n), F.lit(pos[n]))]),
-                           F.col("shadow"))
-    packed = (joined.withColumn("_pos", pos_col)
-                    .groupBy("row_idx")
-                    .agg(F.sort_array(F.collect_list(F.struct("_pos", "value"))).alias("_s")))
-    return packed.select("row_idx", *[F.col("_s")[i]["value"].alias(n) for i, n in enumerate(names)])
+    features, key_cols, runs = list(features), list(key_cols), list(runs)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = (df.repartition(n, F.xxhash64(F.lit(seed), *[F.col(k) for k in key_cols]))
+                .sortWithinPartitions(*key_cols)
+                .withColumn("_block", F.spark_partition_id()))
+    names = [f"shadow_{r}_{f}" for r in runs for f in features]
+    in_fields = [f for f in blocks.schema.fields if f.name != "_block"]
+    out_schema = T.StructType(in_fields + [T.StructField(nm, T.DoubleType()) for nm in names])
+    cols = [f.name for f in in_fields]
+
+    def permute(batches):
+        parts = [b for b in batches if not b.empty]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        block = int(pdf["_block"].iloc[0])
+        out = pdf[cols].copy()
+        for r in runs:
+            for j, f in enumerate(features):
+                rng = np.random.default_rng([seed, r, j, block])
+                vals = pdf[f].to_numpy(dtype=np.float64)
+                out[f"shadow_{r}_{f}"] = vals[rng.permutation(len(vals))]
+        yield out
+
+    return blocks.mapInPandas(permute, out_schema)
 
 
 def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Sequence[str],
@@ -219,19 +212,19 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     """Boruta all-relevant selection.
 
     Each run fits a random forest on the real features plus freshly permuted
-    shadows; a feature scores a hit when its importance beats the best
-    shadow.  After each pass, undecided features are tested with a binomial
-    test (p = 0.5, Bonferroni over the features): Confirmed / Rejected, the
-    rest Tentative.  Importance is Spark's impurity importance, not the
-    permutation Z-score of the Boruta package (documented difference).
+    shadows (:func:`shadow_frame`); a feature scores a hit when its
+    importance beats the best shadow.  After each pass, undecided features
+    are tested with a binomial test (p = 0.5, Bonferroni over the features):
+    Confirmed / Rejected, the rest Tentative; rejected features get no
+    shadows in later passes.  Importance is Spark's impurity importance, not
+    the permutation Z-score of the Boruta package (documented difference).
     Returns (history (run, variable, importance, shadow_max), statistics).
     """
     spark = df.sparkSession
     features = list(features)
-    data = df.dropna(subset=features + [label_col]).select(*key_cols, *features,
-                                                            F.col(label_col).cast("double").alias("label"))
-    base = row_index(data, list(key_cols)).persist(StorageLevel.MEMORY_AND_DISK)
-    n = base.count()
+    data = df.dropna(subset=features + [label_col]).select(
+        *key_cols, *[F.col(f).cast("double").alias(f) for f in features],
+        F.col(label_col).cast("double").alias("label"))
     hits = {f: 0 for f in features}
     decision = {f: "Tentative" for f in features}
     history = []
@@ -240,8 +233,7 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     while run < max_runs:
         live = [f for f in features if decision[f] != "Rejected"]
         chunk = list(range(run + 1, min(max_runs, run + runs_per_pass) + 1))
-        shadows = shadow_frame(base, live, n, chunk, seed)
-        wide = base.join(shadows, "row_idx").persist(StorageLevel.MEMORY_AND_DISK)
+        wide = shadow_frame(data, live, key_cols, chunk, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
         def fit_run(r, live=live, wide=wide):
             cols = live + [f"shadow_{r}_{f}" for f in live]
@@ -270,7 +262,6 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
                 decision[f] = "Rejected"
         if all(d != "Tentative" for d in decision.values()):
             break
-    base.unpersist()
     hist = spark.createDataFrame(history, "run long, variable string, importance double, shadow_max double")
     stats = (hist.groupBy("variable")
                  .agg(F.avg("importance").alias("mean_imp"),
