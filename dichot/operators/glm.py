@@ -228,17 +228,14 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
     does) and get NA coefficients.
     """
     p = len(design.columns)
-    if gram is None:
-        gram = full_gram(data, p, weighted)
-    base = gram[0, 0]
     states = []
     for idx in models:
         idx = list(idx)
-        sub = [0] + [i + 1 for i in idx]
-        drop = aliased_columns(gram[np.ix_(sub, sub)])
-        kept = [idx[j - 1] for j in range(1, len(sub)) if j not in drop]
-        states.append({"idx": idx, "kept": kept, "beta": None, "dev": None, "done": False,
-                       "iter": 0, "gram": None, "dev_hist": []})
+        # aliasing is decided from the first pass's weighted Gram (positive
+        # weights: same rank structure as X'X), so no separate pass is needed
+        states.append({"idx": idx, "kept": idx if gram is None else _kept(gram, idx),
+                       "beta": None, "dev": None, "done": False, "iter": 0, "gram": None,
+                       "dev_hist": [], "checked": gram is not None})
     totals = None
     for it in range(max_iter + 1):
         active = [s for s in states if not s["done"]]
@@ -299,6 +296,15 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
             if it == max_iter:
                 s["done"] = True
                 continue
+            if not s["checked"]:
+                s["checked"] = True
+                sub = [0] + [1 + j for j in range(len(s["kept"]))]
+                drop = aliased_columns(g[np.ix_(sub, sub)])
+                if drop:
+                    keep_pos = [j for j in range(1, len(sub)) if j not in drop]
+                    s["kept"] = [s["kept"][j - 1] for j in keep_pos]
+                    sel = [0] + keep_pos
+                    g, b = g[np.ix_(sel, sel)], b[sel]
             try:
                 s["beta"] = np.linalg.solve(g, b)
             except np.linalg.LinAlgError:
@@ -326,6 +332,12 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
     return fits
 
 
+def _kept(gram: np.ndarray, idx: list[int]) -> list[int]:
+    sub = [0] + [i + 1 for i in idx]
+    drop = aliased_columns(gram[np.ix_(sub, sub)])
+    return [idx[j - 1] for j in range(1, len(sub)) if j not in drop]
+
+
 def full_gram(data: DataFrame, p: int, weighted: bool = False) -> np.ndarray:
     """Unweighted (or prior-weighted) X'X with the intercept first."""
     k = p + 1

@@ -25,6 +25,7 @@ from dichot.functions.hashing import hash_bucket16, hash_uniform
 
 _U, _B = "_dichot_u", "_dichot_b"
 MAX_CLASSES = 1000
+BROADCAST_ROWS = 1_000_000
 
 
 def uniform_column(key_cols: Sequence[str], seed: int) -> Column:
@@ -168,10 +169,12 @@ def kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int, seed:
     spark = df.sparkSession
     label_type = df.schema[label_col].dataType.simpleString()
     offsets = spark.createDataFrame(rows, f"_cls {label_type}, {_B} int, _before long")
+    # at most 65,536 rows per class; broadcast only while that stays small
+    side = F.broadcast(offsets) if len(rows) <= BROADCAST_ROWS else offsets
     w = Window.partitionBy(label_col, _B).orderBy(_U, *key_cols)
     out = (hashed.withColumn("_rn", F.row_number().over(w))
-                 .join(F.broadcast(offsets),
-                       F.col(label_col).eqNullSafe(F.col("_cls")) & (hashed[_B] == offsets[_B]))
+                 .join(side,
+                       F.col(label_col).eqNullSafe(F.col("_cls")) & (hashed[_B] == side[_B]))
                  .withColumn(name, ((F.col("_before") + F.col("_rn") - 1) % k).cast("int")))
     return out.drop("_rn", "_cls", "_before", _U, _B)
 

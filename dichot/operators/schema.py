@@ -134,13 +134,14 @@ def levels_many(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
               .unpivot([], cols, "column_name", "value")
               .filter(F.col("value").isNotNull()).distinct())
-    sizes = {r[0]: r[1] for r in long.groupBy("column_name").count().collect()}
-    too_many = [c for c, n in sizes.items() if n > max_levels]
-    if too_many:
-        raise ValueError(f"too many levels in {too_many}")
+    bound = max_levels * len(cols)
+    rows = long.limit(bound + 1).collect()  # one job; never more than the bound reaches the driver
     out = {c: [] for c in cols}
-    for r in long.collect():
+    for r in rows:
         out[r["column_name"]].append(r["value"])
+    too_many = [c for c, v in out.items() if len(v) > max_levels]
+    if too_many or len(rows) > bound:
+        raise ValueError(f"too many levels in {too_many or cols}")
     for c in cols:
         t = df.schema[c].dataType
         vals = out[c]
