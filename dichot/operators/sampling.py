@@ -18,6 +18,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,15 +64,22 @@ def class_counts(df: DataFrame, label_col: str) -> dict:
     return {r[label_col]: r["count"] for r in rows}
 
 
+def _bucket_counts(hashed: DataFrame, label_col: str):
+    """Rows per (class, 16-bit bucket): at most 65,536 rows per class, as pandas (Arrow)."""
+    pdf = hashed.groupBy(F.col(label_col).alias("_cls"), _B).count().toPandas()
+    if pdf["_cls"].nunique(dropna=False) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
+    return pdf.sort_values(["_cls", _B], na_position="first")
+
+
 def _bucket_table(hashed: DataFrame, label_col: str) -> dict:
-    rows = hashed.groupBy(label_col, _B).count().collect()
+    pdf = _bucket_counts(hashed, label_col)
     table: dict = {}
-    for r in rows:
-        table.setdefault(r[label_col], []).append((r[_B], r["count"]))
-    if len(table) > MAX_CLASSES:
-        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
-    for v in table.values():
-        v.sort()
+    for cls, g in pdf.groupby("_cls", dropna=False, sort=False):
+        key = None if (isinstance(cls, float) and cls != cls) else cls
+        if hasattr(key, "item"):
+            key = key.item()
+        table[key] = (g[_B].to_numpy(), g["count"].to_numpy())
     return table
 
 
@@ -83,8 +92,8 @@ def select_flag(df: DataFrame, label_col: str, key_cols: Sequence[str], quota, s
     hashed = _with_hash(df, key_cols, seed)
     table = _bucket_table(hashed, label_col)
     plan = {}  # class -> ("all"|"none"|(bucket, need))
-    for cls, buckets in table.items():
-        n_c = sum(c for _, c in buckets)
+    for cls, (buckets, counts) in table.items():
+        n_c = int(counts.sum())
         k = int(quota(cls, n_c))
         if k <= 0:
             plan[cls] = "none"
@@ -92,12 +101,10 @@ def select_flag(df: DataFrame, label_col: str, key_cols: Sequence[str], quota, s
         if k >= n_c:
             plan[cls] = "all"
             continue
-        cum = 0
-        for b, c in buckets:
-            if cum + c >= k:
-                plan[cls] = (b, k - cum)
-                break
-            cum += c
+        cum = np.cumsum(counts)
+        i = int(np.searchsorted(cum, k, side="left"))   # first bucket reaching k rows
+        before = int(cum[i - 1]) if i > 0 else 0
+        plan[cls] = (int(buckets[i]), k - before)
     boundary_classes = [c for c, p in plan.items() if isinstance(p, tuple)]
     cuts = {}
     if boundary_classes:
@@ -159,18 +166,17 @@ def kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int, seed:
     """
     key_cols = list(key_cols)
     hashed = _with_hash(df, key_cols, seed)
-    table = _bucket_table(hashed, label_col)
-    rows = []
-    for cls, buckets in table.items():
-        cum = 0
-        for b, c in buckets:
-            rows.append((cls, b, cum))
-            cum += c
-    spark = df.sparkSession
-    label_type = df.schema[label_col].dataType.simpleString()
-    offsets = spark.createDataFrame(rows, f"_cls {label_type}, {_B} int, _before long")
-    # at most 65,536 rows per class; broadcast only while that stays small
-    side = F.broadcast(offsets) if len(rows) <= BROADCAST_ROWS else offsets
+    # rows before each (class, bucket): a window over the bucket counts, which
+    # hold at most 65,536 rows per class
+    counts = hashed.groupBy(F.col(label_col).alias("_cls"), _B).count()
+    before = Window.partitionBy("_cls").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_cls", _B, F.coalesce(F.sum("count").over(before), F.lit(0))
+                            .cast("long").alias("_before"))
+    n_classes = counts.select("_cls").distinct().count()
+    if n_classes > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
+    # broadcast only while classes x 65,536 stays small
+    side = F.broadcast(offsets) if n_classes * 65536 <= BROADCAST_ROWS else offsets
     w = Window.partitionBy(label_col, _B).orderBy(_U, *key_cols)
     out = (hashed.withColumn("_rn", F.row_number().over(w))
                  .join(side,
