@@ -113,6 +113,12 @@ def reindex(df: DataFrame, order_cols: Sequence[str], name: str = "row_idx") ->
     return row_index(df, order_cols, name=name)
 
 
+def column_bind(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``cbind(a, b)`` done safely: columns of two frames put side by side by
+    joining on the row key, never by position."""
+    return left.join(right, list(key), "inner")
+
+
 def nonzero(df: DataFrame, col: str) -> DataFrame:
     """``results[results$Weight != 0, ]``."""
     return df.filter(F.col(col) != 0)

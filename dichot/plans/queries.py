@@ -1261,3 +1261,104 @@ def q_drops(spark, d):
     _, high = relational.drop_high_cardinality(df, profile.string_columns(df), 1000)
     rows = [("blank", c) for c in blank] + [("null", c) for c in null] + [("high_cardinality", c) for c in high]
     return spark.createDataFrame(rows, "rule string, column_name string")
+
+
+# =================================================================== remaining inventory rows
+
+@register("linear_model", f"""
+WITH s AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b1, regr_intercept(l_extendedprice, l_quantity) AS b0,
+                  regr_sxx(l_extendedprice, l_quantity) AS sxx, avg(l_quantity) AS xbar, count(*) AS n FROM lineitem),
+e AS (SELECT sum((l.l_extendedprice - (s.b0 + s.b1*l.l_quantity))^2) / (s.n - 2) AS s2
+      FROM lineitem l, s GROUP BY s.n)
+SELECT '(Intercept)' AS term, {r6('b0')} AS estimate, {r6('sqrt(s2*(1.0/n + xbar*xbar/sxx))')} AS std_error FROM s, e
+UNION ALL SELECT 'l_quantity', {r6('b1')}, {r6('sqrt(s2/sxx)')} FROM s, e""")
+def q_lm(spark, d):
+    """lm(y ~ x) as a Gaussian GLM with its summary standard errors."""
+    li = table(spark, d, "lineitem")
+    design = glm.build_design(li, numeric=["l_quantity"])
+    m = glm.fit_linear(li, "l_extendedprice", design)
+    se = m.summary.coefficientStandardErrors  # intercept last
+    rows = [("(Intercept)", float(m.intercept), float(se[-1])),
+            ("l_quantity", float(m.coefficients[0]), float(se[0]))]
+    return rnd(spark.createDataFrame(rows, "term string, estimate double, std_error double"))
+
+
+@register("post_resample", f"""
+WITH RECURSIVE {HOLDOUT}
+SELECT {r6('sqrt(avg((p - y)*(p - y)))')} AS rmse, {r6('corr(p, y)*corr(p, y)')} AS rsquared,
+       {r6('avg(abs(p - y))')} AS mae FROM te""")
+def q_post_resample(spark, d):
+    """RMSE, R-squared and MAE of held-out predictions."""
+    te, _ = _holdout(spark, d)
+    return rnd(evaluate.post_resample(te, "y", "p"))
+
+
+@register("post_clean_check", f"""
+WITH {DEFECTS},
+c AS (SELECT o_orderkey, coalesce(nation_price, 0) AS nation_price,
+             CASE WHEN o_orderpriority = 'NULL' THEN '' ELSE o_orderpriority END AS o_orderpriority
+      FROM defects WHERE o_totalprice IS NOT NULL)
+SELECT CAST(greatest(count(*) FILTER (WHERE o_orderkey IS NULL), count(*) FILTER (WHERE nation_price IS NULL),
+                     count(*) FILTER (WHERE o_orderpriority IS NULL)) AS BIGINT) AS max_null,
+       CAST(count(*) FILTER (WHERE o_orderpriority = '') AS BIGINT) AS max_blank FROM c""")
+def q_post_clean(spark, d):
+    """After sentinel replacement, zero fill and dropping null prices, the
+    largest null and blank counts over the kept columns."""
+    df = clean.replace_sentinel(frames.orders_with_defects(spark, d))
+    df = clean.fill_constant(relational.not_null(df, "o_totalprice"), ["nation_price"], 0)
+    prof = profile.missing_profile(df, ["o_orderkey", "nation_price", "o_orderpriority"])
+    return profile.max_missing(prof)
+
+
+@register("column_bind", f"""
+WITH {LABELED}
+SELECT o_orderkey, {r6(uniform(42, 'o_orderkey'))} AS randpred, y FROM labeled""")
+def q_cbind(spark, d):
+    """Two derived frames bound column-wise by joining on the key."""
+    o = frames.orders_labeled(spark, d)
+    a = o.select("o_orderkey", sampling.uniform_column(["o_orderkey"], 42).alias("randpred"))
+    b = o.select("o_orderkey", "y")
+    return rnd(relational.column_bind(a, b, ["o_orderkey"]))
+
+
+@register("structure")
+def q_structure(spark, d):
+    """str(df): column, type and first values in key order."""
+    return schema.structure(table(spark, d, "orders"), ["o_orderkey"], 3)
+
+
+@register("scaled_glmnet_cv")
+def q_scaled_cv(spark, d):
+    """Centre-and-scale fitted inside each fold, then elastic net, 3-fold."""
+    est = models.glmnet_estimator().setStandardization(False)
+    pipe = models.with_scaling(est)
+    grid = [{pipe.getStages()[1].regParam: v} for v in (0.001, 0.01)]
+    frame, _ = _cv_frame(spark, d, 3, 1)
+    res = models.resample(pipe, grid, frame, ["fold_1"])
+    return rnd(models.tuning_table(spark, pipe, grid, res))
+
+
+@register("two_class_summary")
+def q_two_class(spark, d):
+    """twoClassSummary (ROC, Sens, Spec) through a pluggable Evaluator."""
+    train, test, _ = _holdout_models(spark, d)
+    scored = models.glm_estimator().fit(train).transform(test).persist()
+    rows = [(m, evaluate.TwoClassSummary(metric=m).evaluate(scored)) for m in ("ROC", "Sens", "Spec")]
+    return rnd(spark.createDataFrame(rows, "metric string, value double"))
+
+
+@register("model_job")
+def q_model_job(spark, d):
+    """Section 3.2: split, downsample, stepwise, Boruta, GVIF pruning, held-out
+    AUC and a resampled leaderboard, as one job; returns its log as rows."""
+    from dichot.plans.jobs import model_job
+    df = _model_frame(spark, d)
+    out = model_job(spark, df, "y", ["o_orderkey"], ["price", "acctbal", "randpred"],
+                    ["o_orderpriority"], boruta_runs=10)
+    rows = [("stepwise_terms", ",".join(out["stepwise_terms"]), None),
+            ("boruta_confirmed", ",".join(out["boruta_confirmed"]), None),
+            ("selected", ",".join(out["selected"]), None),
+            ("holdout_auc", None, out["auc"]),
+            ("holdout_accuracy", None, out["confusion"]["accuracy"])]
+    rows += [(f"cv_auc_{name}", None, v) for name, v in out["leaderboard"]]
+    return rnd(spark.createDataFrame(rows, "item string, text string, value double"))
