@@ -182,6 +182,15 @@ class LogitFit:
     def coef_dict(self) -> dict:
         return dict(zip(self.names, self.coef.tolist()))
 
+    def start_values(self) -> dict:
+        """Coefficients keyed by design column (-1 = intercept), for warm starts."""
+        out = {-1: float(self.coef[0])}
+        for j, i in enumerate(self.index):
+            b = self.coef[1 + j]
+            if not np.isnan(b):
+                out[i] = float(b)
+        return out
+
     def std_errors(self) -> np.ndarray:
         se = np.full(len(self.coef), np.nan)
         ok = ~np.isnan(self.coef)
@@ -219,11 +228,14 @@ def _deviance_terms(y, mu, w):
 
 def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[int]],
                    max_iter: int = 25, tol: float = 1e-8, weighted: bool = False,
-                   gram: np.ndarray | None = None) -> list[LogitFit]:
+                   gram: np.ndarray | None = None,
+                   start: Sequence[dict | None] | None = None) -> list[LogitFit]:
     """Fit several logistic models over one cached ``Design.matrix`` frame.
 
     ``models`` are lists of design-column positions.  All unconverged models
-    advance together: one Spark pass per IRLS iteration.  Aliased columns are
+    advance together: one Spark pass per IRLS iteration.  ``start`` may give,
+    per model, starting coefficients ``{design column or -1 (intercept): value}``
+    (a neighbouring model's fit), which saves passes in stepwise search.  Aliased columns are
     found per model from the unweighted Gram (sequential pivoting, as R
     does) and get NA coefficients.
     """
@@ -233,9 +245,13 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
         idx = list(idx)
         # aliasing is decided from the first pass's weighted Gram (positive
         # weights: same rank structure as X'X), so no separate pass is needed
-        states.append({"idx": idx, "kept": idx if gram is None else _kept(gram, idx),
-                       "beta": None, "dev": None, "done": False, "iter": 0, "gram": None,
-                       "dev_hist": [], "checked": gram is not None})
+        st = {"idx": idx, "kept": idx if gram is None else _kept(gram, idx),
+              "beta": None, "dev": None, "done": False, "iter": 0, "gram": None,
+              "dev_hist": [], "checked": gram is not None}
+        init = start[len(states)] if start is not None else None
+        if init is not None and gram is not None:
+            st["beta"] = np.array([init.get(-1, 0.0)] + [init.get(i, 0.0) for i in st["kept"]])
+        states.append(st)
     totals = None
     for it in range(max_iter + 1):
         active = [s for s in states if not s["done"]]
@@ -286,6 +302,14 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
             pos += 1
             if s["beta"] is not None:
                 s["dev_hist"].append(dev)
+                prev = s.get("prev_beta")
+                if (prev is not None and s["dev"] is not None and s.get("halvings", 0) < 10
+                        and (not np.isfinite(dev) or dev > s["dev"] + 1e-9 * (abs(s["dev"]) + 1))):
+                    # deviance rose: halve the step back towards the last iterate (as glm.fit)
+                    s["beta"] = (s["beta"] + prev) / 2.0
+                    s["halvings"] = s.get("halvings", 0) + 1
+                    continue
+                s["halvings"] = 0
                 if s["dev"] is not None and abs(dev - s["dev"]) / (abs(dev) + 0.1) < tol:
                     s["done"] = True
                     s["gram"] = g
@@ -305,6 +329,7 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
                     s["kept"] = [s["kept"][j - 1] for j in keep_pos]
                     sel = [0] + keep_pos
                     g, b = g[np.ix_(sel, sel)], b[sel]
+            s["prev_beta"] = None if s["beta"] is None else s["beta"].copy()
             try:
                 s["beta"] = np.linalg.solve(g, b)
             except np.linalg.LinAlgError:

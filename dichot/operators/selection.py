@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from dichot.functions.linalg import cov_to_corr, logdet
 from dichot.functions.stats import binom_cdf, binom_sf
-from dichot.operators.glm import Design, LogitFit, fit_logit_many
+from dichot.operators.glm import Design, LogitFit, fit_logit_many, full_gram
 
 # ------------------------------------------------------------------ F01-F03
 
@@ -49,7 +49,9 @@ def stepwise(data: DataFrame, design: Design, direction: str = "both",
     def crit(f: LogitFit) -> float:
         return f.deviance + k * f.rank
 
-    fit = fit_logit_many(data, design, [design.indices(current)])[0]
+    p = len(design.columns)
+    gram = full_gram(data, p)  # one pass; lets every candidate start from the current fit
+    fit = fit_logit_many(data, design, [design.indices(current)], gram=gram)[0]
     best = crit(fit)
     path = [(0, "start", None, fit.rank, fit.deviance, best)]
     for step in range(1, max_steps + 1):
@@ -60,8 +62,19 @@ def stepwise(data: DataFrame, design: Design, direction: str = "both",
             cands += [("-", t, [c for c in current if c != t]) for t in current]
         if not cands:
             break
+        # every candidate starts from the current fit: an added term at 0; for a
+        # dropped term its mean contribution moves into the intercept
+        warm = fit.start_values()
+        means = gram[0, 1:] / gram[0, 0]
+        starts = []
+        for action, term, _ in cands:
+            st = dict(warm)
+            if action == "-":
+                for i in design.indices([term]):
+                    st[-1] = st.get(-1, 0.0) + st.pop(i, 0.0) * means[i]
+            starts.append(st)
         fits = fit_logit_many(data, design, [design.indices([t for t in terms if t in set(c[2])])
-                                             for c in cands])
+                                             for c in cands], gram=gram, start=starts)
         scores = [crit(f) for f in fits]
         i = int(np.argmin(scores))
         if scores[i] >= best - 1e-10:
