@@ -325,8 +325,8 @@ def lasso_select(frame: DataFrame, feature_names: Sequence[str], reg: float = 0.
     return [(n, float(c)) for n, c in zip(feature_names, coef) if c != 0.0]
 
 
-def mrmr(df: DataFrame, features: Sequence[str], label_col: str, k: int = 3,
-         n_bins: int = 10) -> list[tuple]:
+def mrmr(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Sequence[str],
+         k: int = 3, n_bins: int = 10) -> list[tuple]:
     """greedy max-relevance min-redundancy on equal-frequency bins.
 
     Relevance I(x; y) for all features comes from one grouped count over the
@@ -335,9 +335,10 @@ def mrmr(df: DataFrame, features: Sequence[str], label_col: str, k: int = 3,
     """
     features = list(features)
     from pyspark.ml.feature import QuantileDiscretizer
+    # rows are matched by their own key, so a recomputed block cannot renumber them
+    rid = F.struct(*[F.col(c) for c in key_cols]).alias("_rid")
     data = df.dropna(subset=features + [label_col]).select(
-        F.monotonically_increasing_id().alias("_rid"), *features,
-        F.col(label_col).cast("double").alias("_y"))
+        rid, *features, F.col(label_col).cast("double").alias("_y"))
     disc = QuantileDiscretizer(numBuckets=n_bins, inputCols=features,
                                outputCols=[f + "_b" for f in features], relativeError=0.001)
     binned = disc.fit(data).transform(data).select("_rid", "_y", *[F.col(f + "_b").alias(f) for f in features])

@@ -1209,7 +1209,7 @@ def q_lasso(spark, d):
 def q_mrmr(spark, d):
     """greedy max-relevance min-redundancy on quantile bins."""
     df = _model_frame(spark, d).withColumn("nation", F.col("c_nationkey").cast("double"))
-    rows = selection.mrmr(df, ["price", "acctbal", "randpred", "nation"], "y", k=3)
+    rows = selection.mrmr(df, ["price", "acctbal", "randpred", "nation"], "y", ["o_orderkey"], k=3)
     return rnd(spark.createDataFrame(rows, "rank long, feature string, score double"))
 
 
