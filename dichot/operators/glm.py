@@ -221,6 +221,78 @@ class LogitFit:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.eta()))
 
 
+# literal coefficients are compiled into the generated code of every pass, so the
+# JVM path pays off only for very small models; larger ones use numpy partials
+SQL_MAX_TERMS = 12
+
+
+def _sql_terms(sizes) -> int:
+    return sum(k * (k + 1) // 2 + k + 1 for k in sizes)
+
+
+def _sql_partials(data: DataFrame, payload, p: int, weighted: bool, length: int) -> np.ndarray:
+    """The IRLS sums of every model as JVM expressions (small models: no Python
+    in the tasks).  A projection computes each model's weight, working
+    response and deviance once per row; one aggregate then forms the sums.
+    Same layout as the numpy partials."""
+    x = [F.col(c) for c in x_cols(p)]
+    y = F.col("y")
+    w0 = F.col("w") if weighted else F.lit(1.0)
+    proj = [y.alias("_y"), w0.alias("_w0")] + [c.alias(f"_x{i}") for i, c in enumerate(x)]
+    for m, (kept, beta) in enumerate(payload):
+        if beta is None:
+            mu = (w0 * y + 0.5) / (w0 + 1.0)
+            eta = F.log(mu / (F.lit(1.0) - mu))
+        else:
+            eta = F.lit(float(beta[0]))
+            for b, i in zip(beta[1:], kept):
+                eta = eta + F.lit(float(b)) * x[i]
+            mu = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+        mu = F.least(F.greatest(mu, F.lit(1e-15)), F.lit(1 - 1e-15))
+        var = mu * (F.lit(1.0) - mu)
+        proj.append((w0 * var).alias(f"_wt{m}"))
+        proj.append((w0 * var * (eta + (y - mu) / var)).alias(f"_wz{m}"))
+        proj.append((-2.0 * w0 * (F.when(y > 0, y * F.log(mu)).otherwise(F.lit(0.0))
+                                  + F.when(y < 1, (F.lit(1.0) - y) * F.log(F.lit(1.0) - mu))
+                                  .otherwise(F.lit(0.0)))).alias(f"_dv{m}"))
+    rows = data.select(*proj)
+    xc = [F.col(f"_x{i}") for i in range(p)]
+    aggs = [F.count(F.lit(1)).cast("double"), F.sum(F.col("_w0") * F.col("_y")), F.sum("_w0")]
+    layout = []
+    for m, (kept, _) in enumerate(payload):
+        cols = [F.lit(1.0)] + [xc[i] for i in kept]
+        wt, wz = F.col(f"_wt{m}"), F.col(f"_wz{m}")
+        k = len(cols)
+        for i in range(k):
+            for j in range(i, k):
+                aggs.append(F.sum(wt * cols[i] * cols[j]))
+                layout.append((m, "g", i, j))
+        for i in range(k):
+            aggs.append(F.sum(wz * cols[i]))
+            layout.append((m, "b", i, 0))
+        aggs.append(F.sum(f"_dv{m}"))
+        layout.append((m, "d", 0, 0))
+    row = rows.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
+    vals = [row[f"a{i}"] or 0.0 for i in range(len(aggs))]
+    out = np.zeros(length)
+    out[:3] = vals[:3]
+    sizes = [len(kept) + 1 for kept, _ in payload]
+    starts, pos = [], 3
+    for k in sizes:
+        starts.append(pos)
+        pos += k * k + k + 1
+    for (m, kind, i, j), v in zip(layout, vals[3:]):
+        k, base = sizes[m], starts[m]
+        if kind == "g":
+            out[base + i * k + j] = v
+            out[base + j * k + i] = v
+        elif kind == "b":
+            out[base + k * k + i] = v
+        else:
+            out[base + k * k + k] = v
+    return out
+
+
 def _deviance_terms(y, mu, w):
     eps = 1e-300
     return -2.0 * np.sum(w * (y * np.log(np.maximum(mu, eps)) + (1 - y) * np.log(np.maximum(1 - mu, eps))))
@@ -290,7 +362,10 @@ def fit_logit_many(data: DataFrame, design: Design, models: Sequence[Sequence[in
                 pos += 1
             return out
 
-        sums = sum_partials(data, partial, length)
+        if _sql_terms(sizes) <= SQL_MAX_TERMS:
+            sums = _sql_partials(data, payload, p, weighted, length)
+        else:
+            sums = sum_partials(data, partial, length)
         totals = sums[:3]
         pos = 3
         for s, k in zip(active, sizes):
