@@ -453,9 +453,14 @@ def full_gram(data: DataFrame, p: int, weighted: bool = False) -> np.ndarray:
 def fit_logit(df: DataFrame, label_col: str, design: Design, terms: Sequence[str] | None = None,
               weight_col: str | None = None, data: DataFrame | None = None, **kw) -> LogitFit:
     """``glm(y ~ terms, family = binomial(link = "logit"))``."""
+    own = data is None
     data = data if data is not None else design.matrix(df, label_col, weight_col=weight_col)
     idx = design.indices(terms if terms is not None else design.sources)
-    return fit_logit_many(data, design, [idx], weighted=weight_col is not None, **kw)[0]
+    try:
+        return fit_logit_many(data, design, [idx], weighted=weight_col is not None, **kw)[0]
+    finally:
+        if own:
+            data.unpersist()
 
 
 def null_model(df: DataFrame, label_col: str) -> dict:

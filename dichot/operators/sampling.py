@@ -186,11 +186,18 @@ def kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int, seed:
 
 
 def repeated_kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int,
-                   repeats: int, seed: int) -> DataFrame:
-    """One fold column per repeat (``fold_1`` ... ``fold_r``), seed + r."""
+                   repeats: int, seed: int, checkpoint_every: int = 4) -> DataFrame:
+    """One fold column per repeat (``fold_1`` ... ``fold_r``), seed + r.
+
+    Every repeat adds a window and a join to the plan; every
+    ``checkpoint_every`` repeats the frame is checkpointed to the session's
+    reliable checkpoint folder so the lineage stays short.
+    """
     out = df
     for r in range(1, repeats + 1):
         out = kfold(out, label_col, key_cols, k, seed + r, name=f"fold_{r}")
+        if checkpoint_every and r % checkpoint_every == 0 and r < repeats:
+            out = out.checkpoint(eager=True)
     return out
 
 
