@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from dichot.operators import ordered, sampling
@@ -11,6 +12,12 @@ from dichot.plans import frames
 from conftest import SF_MID, SF_SMALL
 
 
+@pytest.fixture(autouse=True)
+def small_buckets(monkeypatch):
+    """Force many buckets on the small fixtures so the offset logic is exercised."""
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 50)
+
+
 def _lineitem(spark, sf=SF_SMALL):
     return spark.read.parquet(f"{sf}/lineitem.parquet")
 
@@ -94,3 +101,13 @@ def test_split_parts_disjoint_and_exhaustive(spark):
     b = set(r[0] for r in test.select("o_orderkey").collect())
     assert not (a & b)
     assert len(a | b) == o.count()
+
+
+def test_bucket_count_adapts_to_size(spark, monkeypatch):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 10**9)
+    _, nb = ordered._bucketed(o, ["o_orderkey"], False, 16)
+    assert nb == 1
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 100)
+    _, nb = ordered._bucketed(o, ["o_orderkey"], False, 16)
+    assert nb == 15  # ceil(1500 rows / 100), below the 16 partitions
