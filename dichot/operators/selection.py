@@ -180,6 +180,10 @@ def vif_prune(data: DataFrame, design: Design, terms: Sequence[str], limit: floa
 
 # ------------------------------------------------------------------ F06/F07 Boruta
 
+BLOCK_ROWS = 200_000
+MIN_BLOCK_ROWS = 1_000
+
+
 def shadow_frame(df: DataFrame, features: Sequence[str], key_cols: Sequence[str],
                  runs: Sequence[int], seed: int, num_partitions: int | None = None) -> DataFrame:
     """Shadow copies of ``features`` for several runs in one shuffle.
@@ -243,10 +247,19 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     history = []
     run = 0
     m = len(features)
+    # blocks of at most BLOCK_ROWS rows (one task's memory) and at least
+    # MIN_BLOCK_ROWS (a meaningful permutation), one per core when data is small,
+    # so the forests still train in parallel
+    n_rows = data.count()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    n_blocks = max(math.ceil(n_rows / BLOCK_ROWS), min(cores, n_rows // MIN_BLOCK_ROWS))
+    n_blocks = max(1, min(max(parts, cores), n_blocks))
     while run < max_runs:
         live = [f for f in features if decision[f] != "Rejected"]
         chunk = list(range(run + 1, min(max_runs, run + runs_per_pass) + 1))
-        wide = shadow_frame(data, live, key_cols, chunk, seed).persist(StorageLevel.MEMORY_AND_DISK)
+        wide = shadow_frame(data, live, key_cols, chunk, seed, n_blocks).persist(
+            StorageLevel.MEMORY_AND_DISK)
 
         def fit_run(r, live=live, wide=wide):
             cols = live + [f"shadow_{r}_{f}" for f in live]
