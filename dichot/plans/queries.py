@@ -451,14 +451,14 @@ def q_to_numeric(spark, d):
 
 @register("dummy_full", """
 SELECT o_orderkey,
-  CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS "o_orderstatus.F",
-  CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END AS "o_orderstatus.O",
-  CASE WHEN o_orderstatus = 'P' THEN 1.0 ELSE 0.0 END AS "o_orderstatus.P",
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END AS "o_orderpriority.1-URGENT",
-  CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END AS "o_orderpriority.2-HIGH",
-  CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS "o_orderpriority.3-MEDIUM",
-  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS "o_orderpriority.4-NOT SPECIFIED",
-  CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END AS "o_orderpriority.5-LOW"
+  CAST(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderstatus.F",
+  CAST(CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderstatus.O",
+  CAST(CASE WHEN o_orderstatus = 'P' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderstatus.P",
+  CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderpriority.1-URGENT",
+  CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderpriority.2-HIGH",
+  CAST(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderpriority.3-MEDIUM",
+  CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderpriority.4-NOT SPECIFIED",
+  CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS "o_orderpriority.5-LOW"
 FROM orders""")
 def q_dummy(spark, d):
     """Full dummy expansion (no base level dropped), levels found by one job."""

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 LABELED = """labeled AS (
   SELECT *,
-    CASE WHEN 0.5*(o_totalprice/5e5)
+    CAST(CASE WHEN 0.5*(o_totalprice/5e5)
               + 0.5*(('0x'||substr(md5(CAST(o_orderkey AS VARCHAR)),1,8))::BIGINT/4294967296.0) > 0.5
-         THEN 1.0 ELSE 0.0 END AS y,
-    CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS status_f
+         THEN 1.0 ELSE 0.0 END AS DOUBLE) AS y,
+    CAST(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS status_f
   FROM orders)"""
 
 _PRICE = "(CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE o.o_totalprice END)"
