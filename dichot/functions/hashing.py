@@ -33,9 +33,3 @@ def hash_uniform(seed, key_cols) -> Column:
 def hash_bucket16(seed, key_cols) -> Column:
     """Top 16 bits of the same digest: a bucket monotone in ``hash_uniform``."""
     return F.conv(F.substring(_digest(seed, key_cols), 1, 4), 16, 10).cast("int")
-
-
-def sql_uniform(seed, key_sql: str) -> str:
-    """DuckDB text of ``hash_uniform`` for a single key expression."""
-    return (f"(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 8))::BIGINT"
-            f" / 4294967296.0)")

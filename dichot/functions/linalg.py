@@ -113,7 +113,3 @@ def cov_to_corr(v: np.ndarray) -> np.ndarray:
 def logdet(m: np.ndarray) -> float:
     sign, val = np.linalg.slogdet(m)
     return float(val) if sign > 0 else float("nan")
-
-
-def array_literal(values) -> F.Column:
-    return F.array(*[F.lit(float(v)) for v in values])

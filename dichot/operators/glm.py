@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dichot.functions.linalg import aliased_columns, design_block, sum_partials, x_cols
-from dichot.functions.stats import chi2_sf, logistic, normal_sf
+from dichot.functions.stats import chi2_sf, normal_sf
 from dichot.operators.schema import levels_many
 
 INTERCEPT = "(Intercept)"
@@ -497,7 +497,3 @@ def fit_linear(df: DataFrame, label_col: str, design: Design):
     """``lm(y ~ .)`` as a Gaussian GLM; returns the fitted pyspark model."""
     model, _ = spark_glr(df, label_col, design, family="gaussian", link="identity")
     return model
-
-
-def logistic_value(x: float) -> float:
-    return logistic(x)

@@ -199,8 +199,3 @@ def repeated_kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: in
         if checkpoint_every and r % checkpoint_every == 0 and r < repeats:
             out = out.checkpoint(eager=True)
     return out
-
-
-def sql_rank_expr(label_sql: str, u_sql: str, key_sql: str) -> str:
-    """DuckDB text of the in-class rank used by the oracle queries."""
-    return f"row_number() OVER (PARTITION BY {label_sql} ORDER BY {u_sql}, {key_sql})"
