@@ -1362,3 +1362,18 @@ def q_model_job(spark, d):
             ("holdout_accuracy", None, out["confusion"]["accuracy"])]
     rows += [(f"cv_auc_{name}", None, v) for name, v in out["leaderboard"]]
     return rnd(spark.createDataFrame(rows, "item string, text string, value double"))
+
+
+@register("confint_profile")
+def q_confint_profile(spark, d):
+    """Profile-likelihood confidence intervals (R's ``confint`` on a glm)
+    next to the Wald ones, for glm(y ~ price + o_orderpriority)."""
+    o = frames.labeled_features(spark, d)
+    design = glm.build_design(o, numeric=["price"], factors=["o_orderpriority"])
+    data = design.matrix(o, "y")
+    fit = glm.fit_logit_many(data, design, [design.indices(design.sources)], tol=TOL)[0]
+    prof = inference.confint_profile(data, fit)
+    wald = {n: (lo, hi) for n, lo, hi in inference.confint_wald(fit)}
+    rows = [(n, lo, hi, wald[n][0], wald[n][1]) for n, lo, hi in prof]
+    return rnd(spark.createDataFrame(rows, "term string, lower double, upper double, "
+                                           "wald_lower double, wald_upper double"))

@@ -86,3 +86,18 @@ def test_wald_and_lrt_agree_in_large_sample(spark):
     w = inference.wald_term(fit, "o_orderpriority")
     lr = fit.null_deviance - fit.deviance
     assert abs(w["chisq"] - lr) < 0.05 * max(1.0, lr) + 0.05
+
+
+def test_profile_interval_hits_the_chi_square_cut(spark):
+    df = _frame(spark, SF_SMALL)
+    d = glm.build_design(df, numeric=["price"], factors=["o_orderstatus"])
+    data = d.matrix(df, "y")
+    fit = glm.fit_logit_many(data, d, [d.indices(d.sources)], tol=1e-10)[0]
+    prof = {n: (lo, hi) for n, lo, hi in inference.confint_profile(data, fit)}
+    lo, hi = prof["price"]
+    devs = inference._constrained_deviances(data, fit, [(1, lo), (1, hi)])
+    for dv in devs:
+        assert abs(dv - fit.deviance - 3.841458820694124) < 1e-4
+    wald = {n: (a, b) for n, a, b in inference.confint_wald(fit)}
+    assert lo < fit.coef[1] < hi
+    assert abs(lo - wald["price"][0]) < 0.2 * (hi - lo)
