@@ -1127,8 +1127,9 @@ def q_rf_cv(spark, d):
 @register("glmboost_cv")
 def q_glmboost_cv(spark, d):
     """Component-wise boosted logit with centred covariates, mstop grid, 3-fold."""
-    est = models.GLMBoost(mstop=50)
-    return _cv(spark, d, est, models.param_grid(est, mstop=[25, 50]))
+    frame, _ = _cv_frame(spark, d, 3, 1)
+    grid, res = models.resample_glmboost([25, 50], frame, ["fold_1"])
+    return rnd(models.tuning_table(spark, None, grid, res))
 
 
 def _holdout_models(spark, d):

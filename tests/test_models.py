@@ -65,3 +65,12 @@ def test_ensemble_joins_on_key(spark):
     e = {r["k"]: r for r in models.ensemble({"a": a, "b": b}, ["k"], "label").collect()}
     assert abs(e[1]["p_mean"] - 0.8) < 1e-12 and e[1]["vote"] == 1.0
     assert abs(e[2]["p_mean"] - 0.4) < 1e-12 and e[2]["vote"] == 0.0
+
+
+def test_glmboost_path_equals_refit(spark):
+    _, _, frame = _frame(spark, SF_SMALL)
+    full = models.GLMBoost(mstop=30).fit(frame)
+    short = models.GLMBoost(mstop=12).fit(frame)
+    cut = full.at(12)
+    assert np.allclose(cut.coefficients, short.coefficients, atol=1e-12)
+    assert abs(cut.intercept - short.intercept) < 1e-12
