@@ -86,3 +86,18 @@ def test_durbin_watson_brute_force(spark):
     m = e.mean()
     ac = ((e[1:] - m) * (e[:-1] - m)).sum() / ((e - m) ** 2).sum()
     assert math.isclose(s["autocorrelation"], ac, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_spearman_pairwise_complete_matches_pandas(spark):
+    from dichot.operators import profile
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        "l_quantity", "l_discount",
+        F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_extendedprice")).alias("price"))
+    got = {(r["var1"], r["var2"]): r for r in
+           profile.spearman_long(li, ["l_quantity", "l_discount", "price"]).collect()}
+    pdf = li.toPandas()
+    for a, b in [("l_quantity", "price"), ("l_quantity", "l_discount")]:
+        sub = pdf[[a, b]].dropna()
+        ref = sub.rank().corr().iloc[0, 1]  # ranks on the complete pairs, ties averaged
+        assert math.isclose(got[(a, b)]["rho"], ref, rel_tol=1e-9, abs_tol=1e-12)
+        assert got[(a, b)]["n"] == len(sub)
