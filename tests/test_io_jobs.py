@@ -63,3 +63,24 @@ def test_clean_job_log(spark):
     assert "nation_price" in out.columns
     assert out.filter(F.col("nation_price").isNull()).count() == 0
     assert set(r[0] for r in out.select("o_orderstatus").distinct().collect()) <= {0.0, 1.0}
+
+
+def test_tab_delimited_named_table_and_prediction_sink(spark):
+    d = tempfile.mkdtemp(prefix="dichot-io-")
+    path = os.path.join(d, "t.tsv")
+    with open(path, "w") as fh:
+        fh.write("id\tx\n1\t0.5\n2\t\n")
+    tsv = {r["id"]: r["x"] for r in io.read_delimited(spark, path, schema="id int, x double").collect()}
+    assert tsv == {1: 0.5, 2: None}
+    pq = os.path.join(d, "orders_pq")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.parquet(pq)
+    assert io.read_table(spark, pq).count() == 1500
+    df = frames.labeled_features(spark, SF_SMALL)
+    fit = glm.fit_logit(df, "y", glm.build_design(df, numeric=["price"]))
+    model = ScoringModel.from_fit(fit, impute={})
+    scored = score_job(spark, model, df, keep=["o_orderkey"])
+    out = os.path.join(d, "pred")
+    io.write_predictions(scored, out, keep=["o_orderkey"], fmt="csv")
+    back = io.read_csv_blank_null(spark, out, "o_orderkey long, class string, probability double")
+    assert back.count() == df.count()
+    assert set(r[0] for r in back.select("class").distinct().collect()) <= {"Reduce", "Spend"}
