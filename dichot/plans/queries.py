@@ -1378,3 +1378,15 @@ def q_confint_profile(spark, d):
     rows = [(n, lo, hi, wald[n][0], wald[n][1]) for n, lo, hi in prof]
     return rnd(spark.createDataFrame(rows, "term string, lower double, upper double, "
                                            "wald_lower double, wald_upper double"))
+
+
+@register("impute_mode", f"""
+WITH {DEFECTS},
+m AS (SELECT price_text AS v FROM defects WHERE price_text IS NOT NULL
+      GROUP BY price_text ORDER BY count(*) DESC, price_text LIMIT 1)
+SELECT o_orderkey, coalesce(price_text, (SELECT v FROM m)) AS price_text FROM defects""")
+def q_impute_mode(spark, d):
+    """Mode imputation of a text column (most frequent value, ties to the smallest)."""
+    df = frames.orders_with_defects(spark, d)
+    filled, _ = clean.impute(df, ["price_text"], "mode")
+    return filled.select("o_orderkey", "price_text")
