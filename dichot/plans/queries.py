@@ -1390,3 +1390,46 @@ def q_impute_mode(spark, d):
     df = frames.orders_with_defects(spark, d)
     filled, _ = clean.impute(df, ["price_text"], "mode")
     return filled.select("o_orderkey", "price_text")
+
+
+@register("low_cardinality", """
+SELECT column_name, n_distinct FROM (
+  SELECT 'l_quantity' AS column_name, CAST(count(DISTINCT l_quantity) AS BIGINT) AS n_distinct FROM lineitem
+  UNION ALL SELECT 'l_extendedprice', CAST(count(DISTINCT l_extendedprice) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'l_discount', CAST(count(DISTINCT l_discount) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'l_tax', CAST(count(DISTINCT l_tax) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'l_linenumber', CAST(count(DISTINCT l_linenumber) AS BIGINT) FROM lineitem)
+WHERE n_distinct < 60""")
+def q_low_card(spark, d):
+    """Numeric columns with fewer than 60 distinct values (category candidates)."""
+    prof = profile.distinct_profile(table(spark, d, "lineitem"), LINEITEM_NUMERIC)
+    return prof.filter(F.col("n_distinct") < 60)
+
+
+@register("filter_rows", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount FROM lineitem
+WHERE l_returnflag = 'R' AND l_discount <> 0 AND l_quantity > 45""")
+def q_filter_rows(spark, d):
+    """Equality filter, non-zero filter and threshold filter."""
+    li = table(spark, d, "lineitem")
+    out = relational.above(relational.nonzero(relational.filter_equal(li, "l_returnflag", "R"),
+                                              "l_discount"), "l_quantity", 45)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                      "l_discount")
+
+
+@register("head_rows", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 6""")
+def q_head(spark, d):
+    """head(df[order(x), ], 6) -- the limit is the operator."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return relational.head(relational.sort_asc(o, "o_totalprice", "o_orderkey"),
+                           ["o_totalprice", "o_orderkey"], 6)
+
+
+@register("select_positions", """
+SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM orders""")
+def q_positions(spark, d):
+    """Columns 1, 3, 4 by position, then renamed."""
+    o = relational.select_by_position(table(spark, d, "orders"), [1, 3, 4])
+    return schema.rename(o, {"o_orderkey": "id", "o_orderstatus": "status", "o_totalprice": "price"})
