@@ -39,6 +39,7 @@ def local_session(cpus: int | None = None, app: str = "dichot") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -76,3 +77,27 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict:
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``dichot`` importable in the Python workers (``mapInPandas``, pandas
+    UDFs) wherever the driver was started: zip the package once and hand it to
+    ``SparkContext.addPyFile``, which distributes it with the job, as
+    ``spark-submit --py-files`` does."""
+    sc = spark.sparkContext
+    if getattr(sc, "_dichot_shipped", False):
+        return
+    import zipfile
+
+    import dichot
+    pkg_dir = os.path.dirname(os.path.abspath(dichot.__file__))
+    root = os.path.dirname(pkg_dir)
+    path = os.path.join(tempfile.mkdtemp(prefix="dichot-pyfiles-"), "dichot.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._dichot_shipped = True

@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from dichot.session import ensure_checkpoint_dir
+    from dichot.session import ensure_checkpoint_dir, ship_package
     s = (SparkSession.builder.master("local[*]")
          .appName("dichot-tests")
          .config("spark.sql.shuffle.partitions", "8")
@@ -26,6 +26,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
+    ship_package(s)
     yield s
     s.stop()
 
