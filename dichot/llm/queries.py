@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dichot.llm import decontam, near_dup, packing, quality, substring
+from dichot.llm import decontam, html, langid, near_dup, packing, quality, rollups, substring
+from dichot.llm.spark import scratch
 from dichot.session import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,6 +96,41 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _held_out(modulus: int, remainder: int) -> F.Column:
+    """Rows whose crc32 of the id as text has this remainder."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version after four commits:
+    all documents, their revision with white space made single, the deletion of
+    those labelled low in quality, and the revision once more (a repeated id)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").withColumn("op", F.lit("upsert"))
+    revised = docs.withColumn("text", F.regexp_replace("text", r"\s+", " "))
+    low = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id", F.lit("delete").alias("op"), *(
+        F.lit(None).cast("string").alias(c) for c in ("text", "source", "lang")))
+    store = rollups.TokenRollup(spark, scratch(spark, "rollup"))
+    for name, batch in (("load", docs), ("revise", revised), ("delete", low), ("revise", revised)):
+        store.commit(name, batch, "byte_bpe_50k", TOKENIZER, RANKS)
+    return store.totals()
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by a model of the documents not held out."""
+    docs = table(spark, sf_dir, "documents")
+    told = docs.withColumn("held_out", _held_out(4, 2))
+    model = langid.train(told.where("not held_out"))
+    return langid.identify(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by the winning path of its host."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of every document in as few sequences of 2048 as possible."""

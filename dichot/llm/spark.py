@@ -18,13 +18,17 @@ def ready(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder as Parquet
     and read it back.  The files survive the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
