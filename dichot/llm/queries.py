@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dichot.llm import decontam, html, langid, near_dup, packing, quality, rollups, substring
+from dichot.llm import decontam, html, langid, licenses, near_dup, packing, quality, rollups, substring, toxicity
 from dichot.llm.spark import scratch
 from dichot.session import table
 
@@ -79,6 +79,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of ``documents`` that states a licence, with its family."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs)).drop("row")
+
+
 def _shingles(of: str, key: str) -> str:
     return rf"""SELECT DISTINCT {key}, array_to_string(ws[p:p + 4], ' ') AS g
   FROM (SELECT {key}, ws, unnest(range(1, len(ws) - 3)) AS p FROM
@@ -101,6 +108,15 @@ def _held_out(modulus: int, remainder: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document by a network of the labels not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    told = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").where(~_held_out(3, 1)), "doc_id")
+    return toxicity.score(docs, toxicity.train(told)).select(
+        "doc_id", _held_out(3, 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query()
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals by source, language and tokenizer version after four commits:
