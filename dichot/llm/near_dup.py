@@ -16,7 +16,7 @@ as one shingle).  Two documents are linked when ``100 * |A and B| >= percent *
    coordinates) and set sizes; pairs at or above the match threshold are
    confirmed on the full sets.
 4. A list is never expanded into all its pairs at once.  Its members become
-   hubs in rounds (first the smallest member, then growing shares of the list
+   hubs in rounds (first the most central member, then growing shares of the list
    by a fixed hash), and a hub only meets members that are not yet connected
    with it and that are outside the largest component of the list or have been
    hubs before.  A pair that stays unconnected has therefore been tested when
@@ -43,12 +43,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dichot.llm.components import components
-from dichot.llm.spark import checked_broadcast, parts, ready, shuffle_partitions, written
+from dichot.llm.spark import checked_broadcast, ready, written
 from dichot.llm.text import Words, binary, mix, slices
 
 COORDINATES = 64
 MATCH = 32
-LOW_BITS_MATCH = 36
+LOW_BITS_MATCH = 38
 BROADCAST_IDS = 1 << 21
 _U = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)) | _U(1)
@@ -151,7 +151,8 @@ def _equal_coordinates() -> F.Column:
 
 
 def _postings(reps: DataFrame) -> DataFrame:
-    """``key, rep, n, s1, s2``: the prefix lists with two members or more."""
+    """``key, rep, n, s1, s2, weight``: the prefix lists; ``weight`` is how many
+    postings share a pair with the member, so an original outweighs its copies."""
     tokens = reps.select("rep", F.posexplode("signature").alias("coordinate", "value")).select(
         F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(
             F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("key"), "rep")
@@ -160,9 +161,10 @@ def _postings(reps: DataFrame) -> DataFrame:
     mine = Window.partitionBy("rep")
     prefix = (shared.withColumn("place", F.row_number().over(mine.orderBy("held", "key")))
               .withColumn("alone", F.lit(COORDINATES) - F.count("*").over(mine))
-              .where(F.col("place") + F.col("alone") <= COORDINATES - MATCH + 1).select("key", "rep"))
+              .withColumn("weight", F.sum("held").over(mine))
+              .where(F.col("place") + F.col("alone") <= COORDINATES - MATCH + 1).select("key", "rep", "weight"))
     facts = reps.select("rep", "n", _two_bits(0).alias("s1"), _two_bits(1).alias("s2"))
-    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2")
+    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", "weight")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -205,20 +207,20 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
         now = lists if roots is None else (
             lists.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
         now = now if roots is not None else now.withColumn("root", F.col("rep"))
-        share = now.groupBy("key", "root").agg(F.count("*").alias("c"), F.min("rep").alias("least"))
-        # the largest component of each list, its size, its smallest member
+        share = now.groupBy("key", "root").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("rep")).alias("less"))).alias("head"))
+        # the largest component of each list, its size, its most central member
         heads = share.groupBy("key").agg(
             F.sum("c").alias("size"), F.count("*").alias("parts"), F.max(F.struct("c", "root")).alias("top"),
-            F.min("least").alias("least")).where((F.col("parts") > 1) & (F.col("size") > low))
+            F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > low))
         open_lists = now.join(heads, "key").select(
-            "key", "rep", "n", "s1", "s2", "root", "size", "least", F.col("top.root").alias("giant"),
+            "key", "rep", "n", "s1", "s2", "root", "size", (-F.col("head.less")).alias("centre"), F.col("top.root").alias("giant"),
             F.col("top.c").alias("giant_size"))
         open_lists = written(open_lists, "near-open")
         if open_lists.isEmpty():
             break
         place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) * F.col("size") / F.lit(float(1 << 30))
         if rounds == 0:
-            hubs = open_lists.where("rep = least")
+            hubs = open_lists.where("rep = centre")
         else:
             hubs = open_lists.where((place >= low) & (place < high))
         # members of the largest component wait until they have been hubs themselves; while
