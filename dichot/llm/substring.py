@@ -43,8 +43,8 @@ from dichot.llm.spark import parts, per_group, per_pair, ready, text_bytes
 from dichot.llm.text import Words, binary, pack_deltas, slices, spread, unpack_deltas
 
 WIDTH = 20
-BATCH_BYTES = 8 << 20
-RANGE_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
 _CHECK = 0xA0761D6478BD642F | 1
 
 
