@@ -208,7 +208,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = _below(found, path)
                 if not mine and found:
                     own = scores(found)
-                    mine = _below(found, min(own, key=lambda k: (-own[k], k))) if own else found
+                    mine = _below(found, min(own, key=lambda k: (-own[k], k))) if own else [block for _, block, _ in found]
                 texts.append("\n".join(mine))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
