@@ -119,7 +119,8 @@ def train(docs: DataFrame, negatives: int = NEGATIVES, miss: float = MISS) -> Li
     sample = written(sample.select("line"), "licence-sample").where(
         ~F.arrays_overlap(_bound(_words(F.col("line")), lambda w: _run(w, 3)), F.array(*map(F.lit, known)))).limit(negatives)
     plain = sample.select(F.lit(0.0).alias("label"), F.lit(-1).alias("t"), F.lit(0).alias("i"), "line")
-    rows = written(notices.unionByName(plain).select("label", "t", "i", features(F.col("line")).alias("grams")), "licence-rows")
+    # at most the notices and ``negatives`` rows: one partition, so that an iteration is one short task
+    rows = written(notices.unionByName(plain).select("label", "t", "i", features(F.col("line")).alias("grams")).coalesce(1), "licence-rows")
     ordinary = max(1, rows.where("label = 0").count())
     common = [r["g"] for r in rows.where("label = 0").select(F.explode("grams").alias("g")).groupBy("g").count()
               .where(F.col("count") > COMMON * ordinary).collect()]
