@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEQ = 0xD1B54A32D192ED03 | 1
