@@ -13,8 +13,12 @@ as one shingle).  Two documents are linked when ``100 * |A and B| >= percent *
    their ``coordinates - match + 1`` rarest pairs, so only this prefix of each
    signature is kept in the lists.
 3. Members of one list are compared by two-bit signatures (a count of equal
-   coordinates) and set sizes; pairs at or above the match threshold are
-   confirmed on the full sets.
+   coordinates), set sizes and parity bitmaps; pairs at or above the match
+   threshold are confirmed on the full sets.  A parity bitmap has one bit per
+   hash bin, set when an odd number of shingles falls there.  Bins where two
+   bitmaps differ each hold a shingle that only one of the sets has, so their
+   count never exceeds the symmetric difference, and a pair whose count is
+   beyond what the similarity allows is not linked: no link is lost to it.
 4. A list is never expanded into all its pairs at once.  Its members become
    hubs in rounds (first the most central member, then growing shares of the list
    by a fixed hash), and a hub only meets members that are not yet connected
@@ -49,6 +53,8 @@ from dichot.llm.text import Words, binary, mix, slices
 COORDINATES = 64
 MATCH = 32
 LOW_BITS_MATCH = 38
+BITMAP_WORDS = 8
+_BITMAP = [f"b{k}" for k in range(BITMAP_WORDS)]
 BROADCAST_IDS = 1 << 21
 _U = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)) | _U(1)
@@ -79,7 +85,8 @@ def _sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(n: int):
-    """Per document: set size, a 128-bit digest of the set, and the signature."""
+    """Per document: set size, a 128-bit digest of the set, the signature, and
+    the parity bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
@@ -89,9 +96,14 @@ def _signatures(n: int):
                 begin = first[:-1][full]
                 one, two = np.zeros(len(size), dtype=np.uint64), np.zeros(len(size), dtype=np.uint64)
                 sig = np.zeros((len(size), COORDINATES), dtype=np.uint32)
+                bitmap = np.zeros((BITMAP_WORDS, len(size)), dtype=np.uint64)
                 if len(full):
                     one[full] = np.add.reduceat(mix(value), begin)
-                    two[full] = np.add.reduceat(mix(value ^ _U(0x5851F42D4C957F2D)), begin)
+                    mixed = mix(value ^ _U(0x5851F42D4C957F2D))
+                    two[full] = np.add.reduceat(mixed, begin)
+                    bit, word = _U(1) << (mixed & _U(63)), (mixed >> _U(6)) % _U(BITMAP_WORDS)
+                    for k in range(BITMAP_WORDS):
+                        bitmap[k, full] = np.bitwise_xor.reduceat(np.where(word == _U(k), bit, _U(0)), begin)
                     for k in range(COORDINATES):
                         x = value * _FACTORS[k]
                         x ^= x >> _U(29)
@@ -99,8 +111,9 @@ def _signatures(n: int):
                         sig[full, k] = np.minimum.reduceat((x >> _U(32)).astype(np.uint32), begin)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                     pa.FixedSizeListArray.from_arrays(pa.array(sig.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32()))],
-                    names=["doc_id", "n_shingles", "one", "two", "signature"])
+                     pa.FixedSizeListArray.from_arrays(pa.array(sig.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32())),
+                     *(pa.array(row.view(np.int64)) for row in bitmap)],
+                    names=["doc_id", "n_shingles", "one", "two", "signature", *_BITMAP])
     return run
 
 
@@ -150,8 +163,17 @@ def _equal_coordinates() -> F.Column:
     return out
 
 
+def _near_enough(percent: int) -> F.Column:
+    """Whether the parity bitmaps of two postings allow the similarity: linked
+    sets differ in at most ``(100 - percent) / (100 + percent)`` of their summed sizes."""
+    apart = F.lit(0)
+    for b in _BITMAP:
+        apart = apart + F.bit_count(F.col(f"h.{b}").bitwiseXOR(F.col(f"m.{b}")))
+    return apart * (100 + percent) <= (F.col("h.n") + F.col("m.n")) * (100 - percent)
+
+
 def _postings(reps: DataFrame) -> DataFrame:
-    """``key, rep, n, s1, s2, weight``: the prefix lists; ``weight`` is how many
+    """``key, rep, n, s1, s2, b0.., weight``: the prefix lists; ``weight`` is how many
     postings share a pair with the member, so an original outweighs its copies."""
     tokens = reps.select("rep", F.posexplode("signature").alias("coordinate", "value")).select(
         F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(
@@ -163,8 +185,8 @@ def _postings(reps: DataFrame) -> DataFrame:
               .withColumn("alone", F.lit(COORDINATES) - F.count("*").over(mine))
               .withColumn("weight", F.sum("held").over(mine))
               .where(F.col("place") + F.col("alone") <= COORDINATES - MATCH + 1).select("key", "rep", "weight"))
-    facts = reps.select("rep", "n", _two_bits(0).alias("s1"), _two_bits(1).alias("s2"))
-    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", "weight")
+    facts = reps.select("rep", "n", _two_bits(0).alias("s1"), _two_bits(1).alias("s2"), *_BITMAP)
+    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", *_BITMAP, "weight")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -187,14 +209,15 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
     spark = ready(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(docs.mapInArrow(
-        _signatures(n), "doc_id long, n_shingles long, one long, two long, signature array<int>"), "near-signatures")
+        _signatures(n), "doc_id long, n_shingles long, one long, two long, signature array<int>"
+        + "".join(f", {b} long" for b in _BITMAP)), "near-signatures")
     real = signed.where("n_shingles > 0 and doc_id is not null")
     classes = (real.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep")))
     member = real.select("doc_id", "one", "two", "n_shingles").join(classes, ["one", "two", "n_shingles"]) \
                  .select("doc_id", "rep").distinct()
     member = written(member, "near-members")
     first = member.groupBy("rep").agg(F.lit(1).alias("any"))
-    reps = (real.join(first, real.doc_id == first.rep).select("rep", F.col("n_shingles").alias("n"), "signature")
+    reps = (real.join(first, real.doc_id == first.rep).select("rep", F.col("n_shingles").alias("n"), "signature", *_BITMAP)
             .dropDuplicates(["rep"]))
     lists = written(_postings(written(reps, "near-reps")), "near-lists")
     texts = docs.where("doc_id is not null")
@@ -213,7 +236,7 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
             F.sum("c").alias("size"), F.count("*").alias("parts"), F.max(F.struct("c", "root")).alias("top"),
             F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > low))
         open_lists = now.join(heads, "key").select(
-            "key", "rep", "n", "s1", "s2", "root", "size", (-F.col("head.less")).alias("centre"), F.col("top.root").alias("giant"),
+            "key", "rep", "n", "s1", "s2", *_BITMAP, "root", "size", (-F.col("head.less")).alias("centre"), F.col("top.root").alias("giant"),
             F.col("top.c").alias("giant_size"))
         open_lists = written(open_lists, "near-open")
         if open_lists.isEmpty():
@@ -229,7 +252,7 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
         pair = hubs.alias("h").join(rest.alias("m"), (F.col("h.key") == F.col("m.key")) & (F.col("h.root") != F.col("m.root"))
                                     & (F.col("h.n") * 100 >= F.col("m.n") * percent)
                                     & (F.col("m.n") * 100 >= F.col("h.n") * percent)
-                                    & (_equal_coordinates() >= LOW_BITS_MATCH))
+                                    & (_equal_coordinates() >= LOW_BITS_MATCH) & _near_enough(percent))
         pairs = written(pair.select(F.least("h.rep", "m.rep").alias("a"), F.greatest("h.rep", "m.rep").alias("b")).distinct(),
                         "near-pairs")
         if not pairs.isEmpty():
