@@ -13,23 +13,24 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dichot.operators.ordered import exact_quantiles
-from dichot.operators.profile import column_stats, melt, string_columns
+from dichot.operators.profile import column_stats, melt, nan_to_null, quoted, string_columns
 
 
 def replace_sentinel(df: DataFrame, sentinel: str = "NULL", replacement: str = "",
                      cols: Sequence[str] | None = None) -> DataFrame:
     """``x[which(x == "NULL")] <- ""`` over every text column, one projection."""
     cols = list(cols or string_columns(df))
-    return df.withColumns({c: F.when(F.col(c) == sentinel, F.lit(replacement)).otherwise(F.col(c))
+    return df.withColumns({c: F.when(F.col(quoted(c)) == sentinel, F.lit(replacement)).otherwise(F.col(quoted(c)))
                            for c in cols})
 
 
 def blank_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Blank text to NA, as ``read.csv(na.strings=c(""))`` does."""
     cols = list(cols or string_columns(df))
-    return df.withColumns({c: F.when(F.trim(F.col(c)) == "", F.lit(None)).otherwise(F.col(c))
+    return df.withColumns({c: F.when(F.trim(F.col(quoted(c))) == "", F.lit(None)).otherwise(F.col(quoted(c)))
                            for c in cols})
 
 
@@ -53,7 +54,7 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
     """
     cols = list(cols)
     if strategy == "mean":
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).collect()[0]
+        row = df.agg(*[F.avg(nan_to_null(F.col(quoted(c)))).alias(c) for c in cols]).collect()[0]
         return {c: row[c] for c in cols}
     if strategy == "median":
         long = melt(df, cols, "double")
@@ -79,8 +80,13 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
 
 
 def apply_imputer(df: DataFrame, values: dict) -> DataFrame:
-    """Fill nulls with fitted values (one projection)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()
+    """Fill nulls and NaN with fitted values (one projection)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def known(c):
+        x = F.col(quoted(c))
+        return nan_to_null(x) if isinstance(types[c], (T.FloatType, T.DoubleType)) else x
+    return df.withColumns({c: F.coalesce(known(c), F.lit(v)) for c, v in values.items()
                            if v is not None})
 
 
@@ -103,8 +109,9 @@ def imputer_stage(cols: Sequence[str], strategy: str = "mean") -> Imputer:
 def recode_binary(df: DataFrame, col: str, positive, name: str | None = None) -> DataFrame:
     """Two-valued target to 0/1 (1 = ``positive``); NA stays NA."""
     name = name or col
-    return df.withColumn(name, F.when(F.col(col).isNull(), F.lit(None).cast("double"))
-                         .when(F.col(col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0)))
+    x = F.col(quoted(col))
+    return df.withColumn(name, F.when(x.isNull(), F.lit(None).cast("double"))
+                         .when(x == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
 def label_names(df: DataFrame, col: str, names=("Reduce", "Spend"), name: str | None = None) -> DataFrame:

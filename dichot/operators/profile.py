@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,16 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark parses it, dots and back-ticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def nan_to_null(x: Column) -> Column:
+    """``x`` as a double with NaN missing, as ``is.na`` sees it."""
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+
+
 def _explode_single_row(row_df: DataFrame, structs) -> DataFrame:
     return row_df.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
@@ -39,12 +49,15 @@ def melt(df: DataFrame, cols: Sequence[str], value_type: str = "string",
     """Wide to long: ``(id..., column_name, value)``; one row per cell."""
     cols = list(cols)
     def norm(c):
-        v = F.col(c)
-        if value_type == "string" and isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            v = v + F.lit(0.0)  # -0.0 and 0.0 are one value
+        v = F.col(quoted(c))
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            v = nan_to_null(v)
+            if value_type == "string":
+                v = v + F.lit(0.0)  # -0.0 and 0.0 are one value
         return v.cast(value_type)
-    return (df.select(*id_cols, *[norm(c).alias(c) for c in cols])
-              .unpivot(list(id_cols) or [], cols, "column_name", "value"))
+    ids = [quoted(c) for c in id_cols]
+    return (df.select(*ids, *[norm(c).alias(c) for c in cols])
+              .unpivot(ids, [quoted(c) for c in cols], "column_name", "value"))
 
 
 # ----------------------------------------------------------------- A01-A03, A07
@@ -132,16 +145,19 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = nan_to_null(F.col(quoted(c)))
         aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__na"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__sd")]
     one = df.agg(*aggs)
+
+    def stat(c, name):
+        return F.col(quoted(f"{c}__{name}"))
     moments = _explode_single_row(one, [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").cast("long").alias("n"),
-                 F.col(f"{c}__na").cast("long").alias("n_na"), F.col(f"{c}__min").alias("min"),
-                 F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__sd").alias("sd")) for c in cols])
+        F.struct(F.lit(c).alias("column_name"), stat(c, "n").cast("long").alias("n"),
+                 stat(c, "na").cast("long").alias("n_na"), stat(c, "min").alias("min"),
+                 stat(c, "max").alias("max"), stat(c, "mean").alias("mean"),
+                 stat(c, "sd").alias("sd")) for c in cols])
     probs = [0.25, 0.5, 0.75]
     long = melt(df, cols, "double")
     if approx:
@@ -163,9 +179,9 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
 def column_stats(df: DataFrame, cols: Sequence[str], stat: str = "min") -> DataFrame:
     """One statistic per column, e.g. minima before a zero fill."""
     fn = {"min": F.min, "max": F.max, "mean": F.avg, "sd": F.stddev_samp}[stat]
-    one = df.agg(*[fn(F.col(c).cast("double")).alias(c) for c in cols])
+    one = df.agg(*[fn(nan_to_null(F.col(quoted(c)))).alias(c) for c in cols])
     return _explode_single_row(one, [F.struct(F.lit(c).alias("column_name"),
-                                              F.col(c).alias(stat)) for c in cols])
+                                              F.col(quoted(c)).alias(stat)) for c in cols])
 
 
 # ------------------------------------------------------------------ A09-A13
@@ -195,22 +211,21 @@ def crosstab(df: DataFrame, a: str, b: str, zero_fill: bool = True,
              max_cells: int = 1_000_000) -> DataFrame:
     """Two-way table in long form ``(a, b, n)`` with empty cells kept.
 
-    Built as a pivot over the levels of ``b`` (their count is checked), so
-    zero cells appear without a cross join of the two level lists.
+    Every level of ``a`` is paired with the levels of ``b`` (their count is
+    checked first) and the counts are joined to the cells, so any level text or
+    column type will do.
     """
-    lv_b = [r[0] for r in df.filter(F.col(b).isNotNull()).select(b).distinct()
-            .orderBy(b).limit(max_cells + 1).collect()]
-    counts = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b) \
-               .agg(F.count(F.lit(1)).alias("n"))
-    if not zero_fill:
-        return counts
-    if len(lv_b) > max_cells:
-        raise ValueError("too many levels for a zero-filled crosstab")
-    wide = counts.groupBy(a).pivot(b, lv_b).agg(F.first("n")).fillna(0, subset=[str(v) for v in lv_b])
-    ids = [a]
-    long = wide.unpivot(ids, [str(v) for v in lv_b], b, "n")
-    btype = df.schema[b].dataType
-    return long.select(a, F.col(b).cast(btype).alias(b), F.col("n").cast("long").alias("n"))
+    counts = (df.select(F.col(quoted(a)).alias("_a"), F.col(quoted(b)).alias("_b")).dropna()
+                .groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n")))
+    if zero_fill:
+        lv_b = [r[0] for r in df.filter(F.col(quoted(b)).isNotNull()).select(F.col(quoted(b)).alias("_b"))
+                .distinct().limit(max_cells + 1).collect()]
+        if len(lv_b) > max_cells:
+            raise ValueError("too many levels for a zero-filled crosstab")
+        levels = F.array(*[F.lit(v) for v in lv_b]).cast(T.ArrayType(df.schema[b].dataType))
+        cells = counts.select("_a").distinct().withColumn("_b", F.explode(levels))
+        counts = cells.join(counts, ["_a", "_b"], "left").fillna(0, subset=["n"])
+    return counts.select(F.col("_a").alias(a), F.col("_b").alias(b), "n")
 
 
 def small_cells(table: DataFrame, min_count: int = 5) -> DataFrame:

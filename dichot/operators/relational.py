@@ -94,8 +94,10 @@ def if_else(cond: Column, yes, no) -> Column:
 
 
 def threshold_class(prob: Column, threshold: float = 0.5, yes=1.0, no=0.0) -> Column:
-    """Class from probability with a strict ``>``."""
-    return F.when(prob > F.lit(threshold), F.lit(yes)).otherwise(F.lit(no))
+    """Class from probability with a strict ``>``; a null or NaN
+    probability gives no class, as R's ``ifelse`` does."""
+    known = prob.isNotNull() & ~F.isnan(prob.cast("double"))
+    return F.when(known & (prob > F.lit(threshold)), F.lit(yes)).when(known, F.lit(no))
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int = 6) -> DataFrame:

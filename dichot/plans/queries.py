@@ -706,12 +706,11 @@ def q_stdres(spark, d):
 
 @register("durbin_watson", f"""
 WITH {RESID},
-l AS (SELECT e, lag(e) OVER (ORDER BY o_orderkey) AS e_prev FROM res),
-m AS (SELECT avg(e) AS m FROM res)
+l AS (SELECT e, lag(e) OVER (ORDER BY o_orderkey) AS e_prev FROM res)
 SELECT {r6('sum((e - e_prev)*(e - e_prev)) / sum(e*e)')} AS dw,
-       {r6('sum((e - m)*(e_prev - m)) / sum((e - m)*(e - m))')} AS autocorrelation,
+       {r6('sum(e*e_prev) / sum(e*e)')} AS autocorrelation,
        CAST(count(*) AS BIGINT) AS n
-FROM l, m""")
+FROM l""")
 def q_dw(spark, d):
     """Durbin-Watson statistic and lag-1 autocorrelation along the key order."""
     o, fit = _cat_fit(spark, d)

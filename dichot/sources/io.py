@@ -33,10 +33,10 @@ def read_csv_keep_blank(spark: SparkSession, path: str, schema: T.StructType | s
     The CSV parser reports an empty field as null, so text columns are read
     with no null marker and mapped afterwards: null -> "" and "NA" -> null.
     """
-    r = spark.read.option("header", True).option("sep", sep).option("nullValue", "\u0000") \
-             .option("emptyValue", "")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
+    r = spark.read.option("header", True).option("sep", sep).option("emptyValue", "")
+    if schema is None:  # types are inferred with NA missing, so that it does not turn numbers into text
+        schema = r.option("inferSchema", True).option("nullValue", "NA").csv(path).schema
+    df = r.option("nullValue", "\u0000").schema(schema).csv(path)
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: F.when(F.col(c).isNull(), F.lit("")).when(F.col(c) == "NA", None)
                            .otherwise(F.col(c)) for c in strings})
@@ -57,16 +57,18 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
+                partition_by: list[str] | None = None, na: str = "") -> None:
     """``write.csv(df, path)``; never writes row names (defect D6).
 
-    CSV keeps a header and writes nulls as empty fields so S01 reads them back.
+    CSV keeps a header.  Nulls are written as ``na``: empty fields, which S01 reads
+    back, or ``"NA"`` as ``write.csv`` does, which S02 reads back and which keeps
+    them apart from blank text.
     """
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+        w.option("header", True).option("nullValue", na).option("emptyValue", "").csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -2,6 +2,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dichot.functions import stats
@@ -83,11 +84,29 @@ def test_durbin_watson_brute_force(spark):
     s = evaluate.durbin_watson(o, ["o_orderkey"], "e")
     e = o.toPandas().sort_values("o_orderkey").e.to_numpy()
     assert math.isclose(s["dw"], ((e[1:] - e[:-1]) ** 2).sum() / (e ** 2).sum(), rel_tol=1e-10)
-    m = e.mean()
-    ac = ((e[1:] - m) * (e[:-1] - m)).sum() / ((e - m) ** 2).sum()
+    ac = (e[1:] * e[:-1]).sum() / (e ** 2).sum()
     assert math.isclose(s["autocorrelation"], ac, rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_durbin_watson_hand_numbers(spark):
+    df = spark.createDataFrame(list(enumerate([1.0, 2.0, 4.0, 3.0, 5.0, 6.0])), "k long, e double")
+    s = evaluate.durbin_watson(df, ["k"], "e")
+    assert math.isclose(s["dw"], 11 / 91) and math.isclose(s["autocorrelation"], 67 / 91) and s["n"] == 6
+
+
+def test_missing_scores_have_no_class_and_no_rank(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (1.0, None), (0.0, nan), (1.0, 0.1)], "y double, p double")
+    got = [r["c"] for r in df.select(evaluate.predict_class(F.col("p")).alias("c")).collect()]
+    assert got == [1.0, 0.0, None, None, 0.0]
+    s = evaluate.confusion_stats(df.withColumn("c", evaluate.predict_class(F.col("p"))), "y", "c")
+    assert (s["tp"], s["fn"], s["fp"], s["tn"]) == (1, 1, 0, 1)
+    # pairs (0.9 > 0.2) and (0.1 < 0.2): one of two in order
+    assert evaluate.auc(df, "y", "p") == 0.5 and evaluate.auc_many(df, "y", ["p"]) == {"p": 0.5}
+    with pytest.raises(ValueError):
+        evaluate.confusion_stats(spark.createDataFrame([(1.0, 2.0), (0.0, 1.0)], "y double, c double"), "y", "c")
+
+
 def test_spearman_pairwise_complete_matches_pandas(spark):
     from dichot.operators import profile
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(

@@ -24,6 +24,24 @@ def test_csv_blank_handling(spark):
     assert s02[2]["txt"] == "" and s02[4]["txt"] is None
 
 
+def test_csv_keeps_missing_and_blank_apart(spark):
+    d = tempfile.mkdtemp(prefix="dichot-io-")
+    df = spark.createDataFrame([(1, "a", 1.5), (2, None, None), (3, "", 2.0)], "id int, txt string, num double")
+    io.write_table(df, os.path.join(d, "na"), fmt="csv", na="NA")
+    for schema in (df.schema, None):
+        back = {r["id"]: (r["txt"], r["num"]) for r in io.read_csv_keep_blank(spark, os.path.join(d, "na"), schema).collect()}
+        assert back == {1: ("a", 1.5), 2: (None, None), 3: ("", 2.0)}
+
+
+def test_unscorable_rows_have_no_class(spark):
+    model = ScoringModel(["x"], {"f": ["a", "b"]}, ["x", "f"], {"(Intercept)": 0.0, "x": 1.0, "fb": 0.5}, {})
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "a"), (3, 1.0, "zzz"), (4, 1.0, None), (5, float("nan"), "b"),
+                                (6, -2.0, "b")], "k int, x double, f string")
+    got = {r["k"]: (r["probability"] is None, r["class"]) for r in score_job(spark, model, df).collect()}
+    assert got == {1: (False, "Spend"), 2: (True, None), 3: (True, None), 4: (True, None), 5: (True, None),
+                   6: (False, "Reduce")}
+
+
 def test_write_read_round_trip(spark):
     d = tempfile.mkdtemp(prefix="dichot-io-")
     df = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
@@ -84,3 +102,15 @@ def test_tab_delimited_named_table_and_prediction_sink(spark):
     back = io.read_csv_blank_null(spark, out, "o_orderkey long, class string, probability double")
     assert back.count() == df.count()
     assert set(r[0] for r in back.select("class").distinct().collect()) <= {"Reduce", "Spend"}
+
+
+def test_dotted_names_and_nan(spark):
+    from dichot.operators import clean, profile
+    df = spark.createDataFrame([("Mr. X", 1.0, 2.0), ("Mr. X", 1.5, None), ("b", 1.0, float("nan"))],
+                               "`g.x` string, `d.y` double, `v.x` double")
+    cells = {tuple(r) for r in profile.crosstab(df, "d.y", "g.x").collect()}
+    assert cells == {(1.0, "Mr. X", 1), (1.0, "b", 1), (1.5, "Mr. X", 1), (1.5, "b", 0)}
+    filled, values = clean.impute(df, ["v.x"])
+    assert values == {"v.x": 2.0} and [r["v.x"] for r in filled.collect()] == [2.0] * 3
+    row = profile.numeric_summary(df, ["v.x"]).first()
+    assert (row["column_name"], row["n"], row["n_na"], row["mean"], row["q3"]) == ("v.x", 1, 2, 2.0, 2.0)
