@@ -6,6 +6,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -229,3 +230,19 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
     clean = {1, 40, *range(10, 30)}
     assert seen == [clean | {2, 41}, clean | {41}, clean | {41}, clean]
     assert [len(r["text"].split()) for r in docs.where("doc_id = 40").collect()] == [80]
+
+
+def test_parity_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 2, 30, 200, 900)]
+    texts += [t.replace("w7", "other") for t in texts] + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(near_dup._signatures(2)([batch]))).to_pandas()
+    value, first = near_dup._sets(pa.array(texts), 2)
+    sets = [set(value[first[i]:first[i + 1]].tolist()) for i in range(len(texts))]
+    bits = out[near_dup._BITMAP].to_numpy()
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            apart = sum(int(x).bit_count() for x in (bits[i] ^ bits[j]).view(np.uint64))
+            assert apart <= len(sets[i] ^ sets[j]) and (apart - len(sets[i] ^ sets[j])) % 2 == 0
