@@ -163,13 +163,16 @@ def anti(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys.select(*on), list(on), "left_anti")
 
 
-def expand_grid(*frames: DataFrame) -> DataFrame:
+def expand_grid(*frames: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """``expand.grid`` of small value lists (tuning or prediction grids).
 
-    Every input must be a bounded list of values; each is broadcast.
+    Every list but the first is broadcast, so each is counted first; one of more
+    than ``max_rows`` rows is an error.
     """
     out = frames[0]
     for f in frames[1:]:
+        if f.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"a list of the grid has more than {max_rows} rows")
         out = out.crossJoin(F.broadcast(f))
     return out
 
