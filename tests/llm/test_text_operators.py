@@ -143,6 +143,19 @@ def test_language(spark, docs):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.train(docs.limit(0))).collect()} == {"und"}
 
 
+def test_language_keeps_every_word(spark):
+    """Words beyond the cache count in full, and little text does not raise unseen words."""
+    big = [(i, " ".join(words(i, 300)), "en", "a") for i in range(40)] + [(40, "solitaire", "en", "a")]
+    small = [(50, "sjelden ord her", "no", "a"), (51, "noe annet sjelden", "no", "a")]
+    told = frame(spark, [(1, "sjelden", None, None), (2, "annet annet noe", None, None), (3, "solitaire", None, None), (4, "ordsj", None, None),
+                         (5, "w17 w18 sjelden", None, None), (6, None, None, None)])
+    table = frame(spark, big + small)
+    got = [{r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(told, langid.train(table, *size)).collect()}
+           for size in ((100_000, 50_000), (1, 1))]
+    assert got[0] == got[1]
+    assert [got[0][i][0] for i in (1, 2, 3, 4, 6)] == ["no", "no", "en", "no", "und"]
+
+
 def test_html(spark):
     page = ("<html><head><title>t</title></head><body><nav><a href=x>Menu</a></nav><div class='ad'>Buy</div><article><h1>Head &amp; more</h1>"
             "<p>One  two<br>three<script>var t='</p>';</script> <b>four</b><p>Five<!-- no --></article><div id=comments>me too</div>"
