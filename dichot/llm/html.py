@@ -5,20 +5,21 @@ references decoded and white space turned into single spaces.  A block belongs
 to the chain of its open containers, written as a path of tags and classes
 with digits generalised (``html/body/div.post-#``).
 
-1. Each page scores its containers: the block characters below a container,
-   times the share of them outside links, less a share per level above it, so
-   that the deepest container with nearly all of the text wins.  Boilerplate
-   containers (by tag, role, class or id) and what is below them score
-   nothing.
-2. The pages of a host vote in Spark: the scores of equal paths are summed.
-   Votes are combined map-side, so a hot host is a few rows per task.
+1. Each page scores its containers: the characters of the blocks below a
+   container, less those in links twice.  Boilerplate containers (by tag, role,
+   class or id) and what is below them score nothing.
+2. The pages of a host vote in Spark: the scores of equal paths, as shares of
+   the page, are summed, and the deepest path with the largest sum wins.  So a
+   container wins over the one around it only if no page of the host has text
+   between the two.  Votes are combined map-side, so a hot host is a few rows
+   per task.
 3. Every page is extracted again with the winning path of its host.  A page
    that lacks the path uses its own best container.
 
 Defined results: a null or empty html, or one without text, gives an empty
 text; a null url is a host of its own (no name); rows that repeat a
-``page_id`` vote and are extracted one by one; ties go to the first path by
-name; no rows give no rows; further columns are ignored.
+``page_id`` vote and are extracted one by one; ties go to the deepest path, then
+to the first by name; no rows give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,18 +36,18 @@ from dichot.llm.spark import checked_broadcast, ready, written
 from dichot.llm.text import slices
 
 BROADCAST_HOSTS = 1 << 17
-LEVEL_COST = 0.1
-#: paths that a page votes for
-VOTES = 3
+#: the votes of a page for a path that holds all of its text
+FULL = 10**9
 
 # fixed values: HTML elements
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math select option".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr mspace".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-                    "strike strong sub sup time tt u var wbr br".split())
+                    "strike strong sub sup time tt u var wbr br math semantics annotation annotation-xml mi mo mn ms mtext mrow mfrac "
+                    "msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd mstyle mpadded menclose".split())
 _CONTAINER = frozenset("html body main article section div td table tbody tr center blockquote".split())
-_SKIP = frozenset("nav header footer aside form script style noscript template iframe svg math head button select option textarea "
-                  "title menu dialog object canvas figcaption".split()) - {"figcaption"}
+_SKIP = frozenset("nav header footer aside form script style noscript template iframe svg head button select datalist textarea "
+                  "title menu dialog object canvas annotation annotation-xml figcaption".split()) - {"figcaption"}
 _BOILER = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|"
                      r"footer|sidebar|side-?bar|aside|related|recommend\w*|share|sharing|social|comments?|reply|replies|disqus|cookies?|"
                      r"consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|search|widget|pagination|pager|legal|"
@@ -55,7 +56,7 @@ _ROLES = frozenset("navigation banner contentinfo complementary search alert dia
 _CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                       "main menu nav ol p pre section table ul".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
-           "option": ("option",)}
+           "option": ("option",), "optgroup": ("option", "optgroup")}
 _TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|"
                     r"!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*>)", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -129,12 +130,12 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if tag in _VOID:
             if tag == "hr":
                 flush()
-            elif tag == "br" and not stack[-1].skip:
+            elif tag in ("br", "mspace") and not stack[-1].skip:
                 text.append(" ")
             continue
         ends = _CLOSES.get(tag, ())
         if tag in _CLOSES_P:
-            ends = ("p", *ends)
+            ends = ("p", "option", *ends)
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in ends:
                 pop(i)
@@ -144,6 +145,8 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if tag not in _INLINE and tag not in _SILENT and text:
             flush()
         top = stack[-1]
+        if tag == "mtd" and not top.skip:
+            text.append(" ")
         more = m.group(3)
         if top.skip:
             if tag in _RAW and not m.group(0).endswith("/>"):
@@ -171,18 +174,17 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def scores(found: list[tuple[str, str, int]]) -> dict[str, float]:
-    """The score of every container that holds a block."""
-    held: dict[str, float] = {}
+def scores(found: list[tuple[str, str, int]]) -> dict[str, int]:
+    """The score of every container that holds a block with text outside links."""
+    held: dict[str, int] = {}
     for path, block, linked in found:
-        good = max(0, len(block) - 2 * linked)
-        steps = path.split("/")
-        for i in range(1, len(steps)):
-            name = "/".join(steps[:i + 1])
-            held[name] = held.get(name, 0.0) + good
-    total = sum(max(0, len(block) - 2 * linked) for _, block, linked in found)
-    # a deeper container is better while it holds nearly the same text
-    return {k: v * (1 - LEVEL_COST) + LEVEL_COST * total * min(1.0, 0.05 * k.count("/")) for k, v in held.items() if v > 0}
+        good = len(block) - 2 * linked
+        if good > 0:
+            steps = path.split("/")
+            for i in range(1, len(steps)):
+                name = "/".join(steps[:i + 1])
+                held[name] = held.get(name, 0) + good
+    return held
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,11 +192,11 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, path, score = [], [], []
         for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             found = scores(blocks(html)) if html else {}
-            best = max(found.values(), default=0.0)
-            for k, v in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:VOTES]:
+            best = max(found.values(), default=0)
+            for k, v in found.items():
                 host.append(name)
                 path.append(k)
-                score.append(round(1_000_000 * v / best))
+                score.append(FULL * v // best)
         yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(score, pa.int64())],
                                          names=["host", "path", "score"])
 
@@ -208,7 +210,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = _below(found, path)
                 if not mine and found:
                     own = scores(found)
-                    mine = _below(found, min(own, key=lambda k: (-own[k], k))) if own else [block for _, block, _ in found]
+                    mine = _below(found, min(own, key=lambda k: (-own[k], -k.count("/"), k))) if own else [block for _, block, _ in found]
                 texts.append("\n".join(mine))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
@@ -230,7 +232,8 @@ def consensus(pages: DataFrame) -> DataFrame:
     votes = pages.select(host_of("url").alias("host"), "html").mapInArrow(_votes, "host string, path string, score long")
     sums = votes.groupBy("host", "path").agg(F.sum("score").alias("score"))
     best = sums.groupBy("host").agg(F.max("score").alias("score"))
-    return sums.join(best, ["host", "score"]).groupBy("host").agg(F.min("path").alias("path"))
+    first = F.struct(F.expr("length(replace(path, '/')) - length(path)").alias("above"), "path")
+    return sums.join(best, ["host", "score"]).groupBy("host").agg(F.min(first)["path"].alias("path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -169,6 +169,20 @@ def test_html(spark):
     assert html.extract(pages).count() == 5 and html.extract(pages.limit(0)).count() == 0
 
 
+def test_html_keeps_all_article_text(spark):
+    lists = "<datalist id=l><option value=a><option value=b></datalist>"
+    body = "x" * 6000
+    told = {1: f"<body>{lists}<p>After the list</p></body>",
+            2: "<body><form><select><option>A<optgroup><option>B</select></form><p>After the form</p></body>",
+            3: "<body><p>Where <math><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></math> is a square</p></body>",
+            4: f"<body><article><h1>Head</h1><div class=body>{body}</div><p>Last words</p></article></body>",
+            5: "<body><article><div class=body>all the text is here</div></article><div><a href=x>a link</a></div></body>"}
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", x) for i, x in told.items()], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert got == {1: "After the list", 2: "After the form", 3: "Where x2 is a square", 4: f"Head\n{body}\nLast words",
+                   5: "all the text is here"}
+
+
 def test_rollups(spark, docs, tmp_path):
     tk = Tokenizer.from_file(PATH)
     rows = [(1, "one two", "en", "a"), (2, "three", None, "a"), (3, None, "en", "a"), (None, "no id", "en", "a")]
