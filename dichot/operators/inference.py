@@ -351,13 +351,15 @@ def _constrained_deviances(data: DataFrame, fit: LogitFit, specs: list[tuple[int
 
 
 def confint_profile(data: DataFrame, fit: LogitFit, level: float = 0.95,
-                    iterations: int = 5) -> list[tuple]:
+                    iterations: int = 50) -> list[tuple]:
     """Profile-likelihood interval, ``confint(glm)`` (MASS), for every
     non-aliased coefficient.
 
     The signed root r(b) = sign(b - beta) * sqrt(dev(b) - dev) is nearly
     linear in b; starting at the Wald limits, secant steps solve
-    r(b) = +-z with all 2 x (coefficients) constrained fits sharing each pass.
+    r(b) = +-z with all 2 x (coefficients) constrained fits sharing each pass,
+    until the root is met or a step is a millionth of the standard error.  A
+    limit not found within ``iterations`` is None (R: NA).
     """
     z = normal_ppf(0.5 + level / 2)
     se = fit.std_errors()
@@ -378,7 +380,10 @@ def confint_profile(data: DataFrame, fit: LogitFit, level: float = 0.95,
                 continue  # this limit is solved; keep the point it was found at
             (b0, r0), (b1, r1) = pts[(j, s)][-2], pts[(j, s)][-1]
             if abs(r1 - r0) > 1e-12:
-                cur[(j, s)] = b1 + (s * z - r1) * (b1 - b0) / (r1 - r0)
+                step = (s * z - r1) * (b1 - b0) / (r1 - r0)
+                cur[(j, s)] = b1 + step
+                if abs(step) < 1e-6 * se[j]:
+                    continue
             still.append((j, s))
         todo = still
         if not todo:
@@ -388,5 +393,5 @@ def confint_profile(data: DataFrame, fit: LogitFit, level: float = 0.95,
         if j not in beta:
             out.append((name, None, None))
         else:
-            out.append((name, float(cur[(j, -1)]), float(cur[(j, 1)])))
+            out.append((name, *(None if (j, s) in todo else float(cur[(j, s)]) for s in (-1, 1))))
     return out

@@ -224,7 +224,7 @@ def shadow_frame(df: DataFrame, features: Sequence[str], key_cols: Sequence[str]
 
 
 def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Sequence[str],
-           max_runs: int = 20, p_value: float = 0.01, seed: int = 1, num_trees: int = 100,
+           max_runs: int = 100, p_value: float = 0.01, seed: int = 1, num_trees: int = 100,
            runs_per_pass: int = 10, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Boruta all-relevant selection.
 
@@ -233,7 +233,8 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     importance beats the best shadow.  After each pass, undecided features
     are tested with a binomial test (p = 0.5, Bonferroni over the features):
     Confirmed / Rejected, the rest Tentative; rejected features get no
-    shadows in later passes.  Importance is Spark's impurity importance, not
+    shadows in later passes.  ``max_runs`` is the R package's; a number of runs
+    that cannot decide even a feature with a hit in each is an error.  Importance is Spark's impurity importance, not
     the permutation Z-score of the Boruta package (documented difference).
     Returns (history (run, variable, importance, shadow_max), statistics).
     """
@@ -247,6 +248,8 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     history = []
     run = 0
     m = len(features)
+    if 0.5 ** max_runs >= p_value / max(m, 1):
+        raise ValueError(f"{max_runs} runs cannot decide {m} features at {p_value}")
     # blocks of at most BLOCK_ROWS rows (one task's memory) and at least
     # MIN_BLOCK_ROWS (a meaningful permutation), one per core when data is small,
     # so the forests still train in parallel

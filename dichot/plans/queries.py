@@ -1179,7 +1179,7 @@ def q_boruta(spark, d):
     """Boruta decisions and importance statistics (shadow permutations)."""
     df = _model_frame(spark, d).withColumn("nation", F.col("c_nationkey").cast("double"))
     _, stats = selection.boruta(df, ["price", "acctbal", "randpred", "nation"], "y", ["o_orderkey"],
-                                max_runs=12, num_trees=30, runs_per_pass=12, seed=1)
+                                max_runs=100, num_trees=100, seed=1)
     return rnd(stats)
 
 
@@ -1354,7 +1354,7 @@ def q_model_job(spark, d):
     from dichot.plans.jobs import model_job
     df = _model_frame(spark, d)
     out = model_job(spark, df, "y", ["o_orderkey"], ["price", "acctbal", "randpred"],
-                    ["o_orderpriority"], boruta_runs=10)
+                    ["o_orderpriority"])
     rows = [("stepwise_terms", ",".join(out["stepwise_terms"]), None),
             ("boruta_confirmed", ",".join(out["boruta_confirmed"]), None),
             ("selected", ",".join(out["selected"]), None),

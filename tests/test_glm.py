@@ -101,3 +101,12 @@ def test_profile_interval_hits_the_chi_square_cut(spark):
     wald = {n: (a, b) for n, a, b in inference.confint_wald(fit)}
     assert lo < fit.coef[1] < hi
     assert abs(lo - wald["price"][0]) < 0.2 * (hi - lo)
+
+
+def test_profile_limit_is_found_or_missing(spark):
+    df = _frame(spark, SF_SMALL)
+    d = glm.build_design(df, numeric=["price"])
+    data = d.matrix(df, "y")
+    fit = glm.fit_logit_many(data, d, [d.indices(d.sources)], tol=1e-10)[0]
+    assert all(lo is None and hi is None for _, lo, hi in inference.confint_profile(data, fit, iterations=1))
+    assert all(lo < hi for _, lo, hi in inference.confint_profile(data, fit))

@@ -1,10 +1,13 @@
 """Fitted-model operators: signal recovery and algebraic properties."""
+import inspect
+
 import numpy as np
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from dichot.operators import evaluate, glm, models, sampling, selection
-from dichot.plans import frames
+from dichot.plans import frames, jobs
 
 from conftest import SF_MID, SF_SMALL
 
@@ -47,6 +50,14 @@ def test_boruta_confirms_signal(spark):
     assert hist.count() == 30
 
 
+def test_boruta_runs_long_enough_to_decide(spark):
+    df = frames.labeled_features(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        selection.boruta(df, ["price", "acctbal"], "y", ["o_orderkey"], max_runs=3)
+    for f, name in ((selection.boruta, "max_runs"), (jobs.model_job, "boruta_runs")):
+        assert inspect.signature(f).parameters[name].default == 100
+
+
 def test_pca_matches_numpy(spark):
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
         array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
