@@ -7,13 +7,15 @@ held against brute force, round trips or held-out labels in ``tests/llm``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dichot.llm import decontam, html, langid, licenses, near_dup, packing, quality, rollups, substring, toxicity
+from dichot.llm import (decontam, html, langid, licenses, near_dup, packing, quality, repair, rollups, secrets, substring, toxicity,
+                        whitening)
 from dichot.llm.spark import scratch
 from dichot.session import table
 
@@ -201,6 +203,140 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _any_case(pattern: str) -> str:
+    """Key words in either case, ASCII letters only."""
+    key, rest = pattern[1:].split(")", 1)
+    return "(" + re.sub("[a-z]", lambda m: f"[{m.group().upper()}{m.group()}]", key) + ")" + rest.replace("'", "''")
+
+
+def _spans_sql(name: str, kind: str, pattern: str, least: str = "true") -> str:
+    """Matches of a pattern with their places, from the texts between them."""
+    return f"""{name} AS (SELECT row, kind, begins AS start, begins + length(m) AS stop, m FROM (
+  SELECT row, '{kind}' AS kind, m, sum(length(g) + length(coalesce(before, ''))) OVER (PARTITION BY row ORDER BY i) AS begins FROM (
+    SELECT row, i, ms[i] AS m, gs[i] AS g, CASE WHEN i > 1 THEN ms[i - 1] END AS before FROM (
+      SELECT row, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT row, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d)))) WHERE {least})"""
+
+
+_ASSIGN_SQL, _NAMED_SQL = _any_case(secrets.ASSIGN), _any_case(secrets.NAMED)
+_STRONG_SQL = ", ".join(f"'{k}'" for k in secrets.STRONG)
+_RANK_SQL = "CASE kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secrets.KINDS)) + " END"
+_ROLE_SQL = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in secrets.ROLES.items()) + " END"
+_LISTED_SQL = f"string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, {_RANK_SQL})"
+
+
+def _free_of(name: str, of: str, taken: str) -> str:
+    return f"""{name} AS (SELECT * FROM {of} AS w WHERE NOT EXISTS (
+  SELECT 1 FROM {taken} AS s WHERE s.row = w.row AND s.start < w.stop AND w.start < s.stop))"""
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+{_spans_sql("a", "assign", _ASSIGN_SQL, f"length(regexp_extract(m, '{_ASSIGN_SQL}', 2)) >= 6")},
+{_spans_sql("k", "access", secrets.ACCESS)}, {_spans_sql("h", "hex", secrets.HEX)},
+strong AS (SELECT * EXCLUDE (m) FROM (FROM a UNION ALL FROM k UNION ALL FROM h)),
+{_spans_sql("named", "identifier", _NAMED_SQL, f"length(regexp_extract(m, '{_NAMED_SQL}', 2)) >= 3")},
+{_free_of("ids", "named", "strong")},
+taken AS (FROM strong UNION ALL SELECT * EXCLUDE (m) FROM ids),
+{_spans_sql("runs", "token", f"{secrets.TOKEN}{{{secrets.LEAST_TOKEN},}}", "regexp_matches(m, '[0-9@:]')")},
+cut AS (SELECT row, start + length(m) - length(ltrim(m, '.:')) AS start, trim(m, '.:') AS m FROM runs),
+tokens AS (SELECT row, CASE
+    WHEN regexp_full_match(m, '(?:{secrets.URL}|{secrets.ADDRESS}|{secrets.HOST_PORT})') THEN 'endpoint'
+    WHEN regexp_full_match(m, '{secrets.MAIL}') THEN 'identifier'
+    WHEN regexp_full_match(m, '{secrets.OPAQUE}') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')
+         AND regexp_matches(m, '[0-9]') AND len(list_distinct(string_split(m, ''))) >= {secrets.LEAST_DISTINCT} THEN 'secret' END AS kind,
+    start, start + length(m) AS stop FROM cut WHERE length(m) >= {secrets.LEAST_TOKEN}),
+told AS (SELECT * FROM tokens WHERE kind IS NOT NULL),
+{_free_of("free", "told", "taken")},
+parts AS (SELECT row, kind, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, kind IN ({_STRONG_SQL}) AS sure, {_ROLE_SQL} AS role,
+                 {_RANK_SQL} AS rank, len(regexp_extract_all(substr(t, 1, CAST(start AS BIGINT)), '{secrets.BREAK}')) AS scope
+          FROM (FROM taken UNION ALL SELECT row, kind, start, stop FROM free) JOIN d USING (row)),
+near AS (SELECT w.row, w.kind, w.start, w.stop, w.role, bit_or(o.role) AS near, bit_or(CASE WHEN o.sure THEN o.role ELSE 0 END) AS firm
+         FROM parts w JOIN parts o ON o.row = w.row AND o.scope = w.scope AND o.role <> w.role
+          AND CASE WHEN (w.start, w.rank) < (o.start, o.rank) THEN o.start < w.stop + {secrets.REACH} ELSE w.start < o.stop + {secrets.REACH} END
+         WHERE NOT w.sure GROUP BY ALL),
+linked AS (SELECT row, kind, start, stop FROM near WHERE firm > 0 OR near | role = 7),
+base AS (SELECT row, kind, start, stop FROM parts WHERE sure),
+told_base AS (SELECT row, {_LISTED_SQL} AS spans, count(*) FILTER (kind = 'assign') AS n_assign,
+                     count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex FROM base GROUP BY row),
+told_all AS (SELECT row, {_LISTED_SQL} AS spans FROM (FROM base UNION ALL FROM linked) GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b.spans, '')) AS base_sha256, coalesce(e.spans, '') AS spans
+FROM d LEFT JOIN told_base b USING (row) LEFT JOIN told_all e USING (row)""")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document and the parts linked to them."""
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda p: p["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda p: p["kind"].isin(*secrets.STRONG))
+    return out.select("doc_id", *(count(k) for k in secrets.STRONG), F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                      secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query(r"""
+WITH RECURSIVE crc(n, c, k) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM (SELECT unnest(range(256)) AS i) UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY n) AS t FROM crc WHERE k = 8),
+said AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+hit AS (SELECT * EXCLUDE (id, t), xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(id, '')]),
+               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 20 AS hit FROM said, tab),
+damaged AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+                   CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hit, LATERAL (SELECT unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))) WHERE hit <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS before,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again > 1 THEN 'd'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again FROM damaged)),
+step(q, x, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+-- what insertions alone can do between two rows
+hop AS (SELECT q, q AS q2, 0 AS c, '' AS l FROM (SELECT unnest(range(4)) AS q) UNION ALL
+        SELECT q, q2, 2, 'I' FROM step WHERE x <> 's' UNION ALL
+        SELECT a.q, b.q2, 4, 'II' FROM step a JOIN step b ON b.q = a.q2 WHERE a.x <> 's' AND b.x <> 's'),
+edit AS (SELECT conv_id, i, q, q2, CASE WHEN fault = 't' THEN 1 ELSE 0 END + CASE WHEN x = left(role, 1) THEN 0 ELSE 2 END AS c,
+                CASE WHEN x = left(role, 1) THEN 'K' ELSE 'R' END AS l
+         FROM r, step WHERE fault NOT IN ('b', 'd') AND (x = left(role, 1) OR x <> 's')
+         UNION ALL SELECT conv_id, i, q, q, 3, 'D' FROM r, (SELECT unnest(range(4)) AS q)),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+-- lightest (cost, audit) of each state after each row, insertions before it included
+path AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS given FROM ids
+         UNION ALL
+         SELECT conv_id, i, q, cost, audit, given FROM (
+           SELECT p.conv_id, p.i + 1 AS i, e.q2 AS q, p.cost + h.c + e.c AS cost, p.audit || h.l || e.l AS audit, p.given AS given,
+                  row_number() OVER (PARTITION BY p.conv_id, e.q2 ORDER BY p.cost + h.c + e.c, p.audit || h.l || e.l) AS best
+           FROM path p JOIN hop h ON h.q = p.q JOIN edit e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i + 1 AND e.q = h.q2)
+         WHERE best = 1),
+size AS (SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (i > 1 AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+done AS (SELECT p.conv_id, cost + h.c AS cost, audit || h.l AS audit FROM path p LEFT JOIN size s ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+         JOIN hop h ON h.q = p.q AND h.q2 IN (0, 3) WHERE p.i = coalesce(n, 0)
+         QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY cost + h.c, audit || h.l) = 1),
+letter AS (SELECT conv_id, j, l, sum(CASE WHEN l = 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE WHEN l = 'D' THEN 0 ELSE 1 END) OVER w AS o,
+                  sum(CASE WHEN l = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id) AS outs
+           FROM (SELECT conv_id, j, audit[j] AS l FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM done))
+           WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+line AS (SELECT t.conv_id, j, CASE WHEN l = 'K' THEN r.role WHEN (o - outs % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                || CASE WHEN l = 'I' THEN '' ELSE r.text END AS s
+         FROM letter t LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.i = t.i WHERE l <> 'D'),
+whole AS (SELECT conv_id, string_agg(s, chr(10) ORDER BY j) AS s FROM line GROUP BY conv_id)
+SELECT done.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(s, '')) AS repaired_sha256
+FROM done LEFT JOIN size ON size.conv_id IS NOT DISTINCT FROM done.conv_id LEFT JOIN whole ON whole.conv_id IS NOT DISTINCT FROM done.conv_id""")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lightest repair of every damaged conversation."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), texts=False)
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py`` one after another."""
