@@ -192,7 +192,9 @@ def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     if np.all(lengths == width):
         return flat.reshape(len(column), width)
     out = np.zeros((len(column), width), np.int64)
-    out[np.repeat(np.arange(len(column)), lengths), np.concatenate([np.arange(n) for n in lengths]).astype(int)] = flat
+    row, place = np.repeat(np.arange(len(column)), lengths), np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    there = place < width                              # what lies beyond is zero in every vector
+    out[row[there], place[there]] = flat[there]
     return out
 
 
