@@ -43,7 +43,7 @@ def brute_spans(text, reach=secrets.REACH):
 
 def test_base_spans(spark):
     texts = [(1, 'a PASSWORD = "abcdef" b'), (2, "token=abc"), (3, "token=token:abcdefgh"), (4, f"x{KEY} {'0a' * 12}"), (5, None), (6, ""),
-             (7, "ü𝄞 api-key=1 apikey: zzzzzzz"), (7, "paſſword=abcdefg Key"), (None, "secret='q' secret=''qqqqqq")]
+             (7, "ü𝄞 api-key=1 apikey: zzzzzzz"), (8, "paſſword=abcdefg Key"), (None, "secret='q' secret=''qqqqqq")]
     by_id = dict(scanned(spark, texts))
     got = {t: by_id[i] for i, t in texts}
     assert got['a PASSWORD = "abcdef" b'] == [("assign", 2, 20)]
