@@ -30,9 +30,20 @@ def sum_partials(df: DataFrame, partial_fn, length: int) -> np.ndarray:
         if acc is not None:
             yield pd.DataFrame({"v": [acc.astype(np.float64).tolist()]})
 
-    partials = df.mapInPandas(per_partition, "v array<double>")
-    row = partials.select(
-        Summarizer.metrics("sum", "count").summary(array_to_vector("v")).alias("s")).first()
+    return add_vectors(df.mapInPandas(per_partition, "v array<double>"), length)
+
+
+#: groups of partitions whose vectors are added before the last task adds the groups
+ADD_GROUPS = 64
+
+
+def add_vectors(partials: DataFrame, length: int) -> np.ndarray:
+    """The sum of the arrays ``v``, one a partition, in two levels: groups of
+    partitions first, so that the last task adds at most ``ADD_GROUPS`` vectors
+    however many partitions there are."""
+    groups = partials.groupBy((F.spark_partition_id() % ADD_GROUPS).alias("g")).agg(
+        Summarizer.metrics("sum", "count").summary(array_to_vector("v")).alias("s"))
+    row = groups.where("s.count > 0").select(Summarizer.metrics("sum", "count").summary(F.col("s.sum")).alias("s")).first()
     if row is None or row["s"] is None or row["s"]["count"] == 0:
         return np.zeros(length)
     return row["s"]["sum"].toArray()

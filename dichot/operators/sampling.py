@@ -186,16 +186,33 @@ def kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int, seed:
 
 
 def repeated_kfold(df: DataFrame, label_col: str, key_cols: Sequence[str], k: int,
-                   repeats: int, seed: int, checkpoint_every: int = 4) -> DataFrame:
+                   repeats: int, seed: int) -> DataFrame:
     """One fold column per repeat (``fold_1`` ... ``fold_r``), seed + r.
 
-    Every repeat adds a window and a join to the plan; every
-    ``checkpoint_every`` repeats the frame is checkpointed to the session's
-    reliable checkpoint folder so the lineage stays short.
+    All repeats are ranked together: keys and label, once for each repeat, are
+    numbered inside (repeat, class, hash bucket), and the rows of earlier
+    buckets are added from one table of counts.  The folds come back to the
+    rows in one join on the key, so the plan is the same for any number of
+    repeats.  Keys must be unique, as for :func:`kfold`.
     """
-    out = df
-    for r in range(1, repeats + 1):
-        out = kfold(out, label_col, key_cols, k, seed + r, name=f"fold_{r}")
-        if checkpoint_every and r % checkpoint_every == 0 and r < repeats:
-            out = out.checkpoint(eager=True)
-    return out
+    key_cols = list(key_cols)
+    ids = [f"_k{i}" for i in range(len(key_cols))]
+    draws = F.array(*[F.struct(F.lit(r).alias("r"), hash_uniform(seed + r, key_cols).alias("u"),
+                               hash_bucket16(seed + r, key_cols).alias("b")) for r in range(1, repeats + 1)])
+    long = df.select(*[F.col(c).alias(i) for c, i in zip(key_cols, ids)], F.col(label_col).alias("_cls"),
+                     F.explode(draws).alias("_d")).select(*ids, "_cls", "_d.*")
+    counts = long.groupBy("r", "_cls", "b").count()
+    before = Window.partitionBy("r", "_cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("r").alias("_r"), F.col("_cls").alias("_c"), F.col("b").alias("_b"),
+                            F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("_before"))
+    w = Window.partitionBy("r", "_cls", "b").orderBy("u", *ids)
+    ranked = (long.withColumn("_rn", F.row_number().over(w))
+                  .join(offsets, (F.col("r") == F.col("_r")) & F.col("_cls").eqNullSafe(F.col("_c")) & (F.col("b") == F.col("_b")))
+                  .withColumn("_fold", ((F.col("_before") + F.col("_rn") - 1) % k).cast("int")))
+    folds = ranked.groupBy(*ids).agg(*[F.max(F.when(F.col("r") == r, F.col("_fold"))).alias(f"fold_{r}")
+                                       for r in range(1, repeats + 1)])
+    on = None
+    for c, i in zip(key_cols, ids):
+        same = df[c].eqNullSafe(folds[i])
+        on = same if on is None else on & same
+    return df.join(folds, on).drop(*ids)

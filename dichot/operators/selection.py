@@ -180,117 +180,52 @@ def vif_prune(data: DataFrame, design: Design, terms: Sequence[str], limit: floa
 
 # ------------------------------------------------------------------ F06/F07 Boruta
 
-BLOCK_ROWS = 200_000
-MIN_BLOCK_ROWS = 1_000
-
-
-def shadow_frame(df: DataFrame, features: Sequence[str], key_cols: Sequence[str],
-                 runs: Sequence[int], seed: int, num_partitions: int | None = None) -> DataFrame:
-    """Shadow copies of ``features`` for several runs in one shuffle.
-
-    Rows are hash-partitioned on (seed, key) -- so every partition is a
-    random block of rows, independent of the label -- and sorted by key.
-    Inside each block every feature is permuted with a generator seeded by
-    (seed, run, feature, partition), giving ``shadow_<run>_<feature>``: an
-    exchangeable copy of the feature with its link to the label broken.
-    No join, no regrouping, and the result is the same on recomputation.
-    A block is one partition, so ``num_partitions`` must keep it in memory.
-    """
-    features, key_cols, runs = list(features), list(key_cols), list(runs)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = (df.repartition(n, F.xxhash64(F.lit(seed), *[F.col(k) for k in key_cols]))
-                .sortWithinPartitions(*key_cols)
-                .withColumn("_block", F.spark_partition_id()))
-    names = [f"shadow_{r}_{f}" for r in runs for f in features]
-    in_fields = [f for f in blocks.schema.fields if f.name != "_block"]
-    out_schema = T.StructType(in_fields + [T.StructField(nm, T.DoubleType()) for nm in names])
-    cols = [f.name for f in in_fields]
-
-    def permute(batches):
-        parts = [b for b in batches if not b.empty]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        block = int(pdf["_block"].iloc[0])
-        out = pdf[cols].copy()
-        for r in runs:
-            for j, f in enumerate(features):
-                rng = np.random.default_rng([seed, r, j, block])
-                vals = pdf[f].to_numpy(dtype=np.float64)
-                out[f"shadow_{r}_{f}"] = vals[rng.permutation(len(vals))]
-        yield out
-
-    return blocks.mapInPandas(permute, out_schema)
-
-
 def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Sequence[str],
-           max_runs: int = 100, p_value: float = 0.01, seed: int = 1, num_trees: int = 100,
-           runs_per_pass: int = 10, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Boruta all-relevant selection.
-
-    Each run fits a random forest on the real features plus freshly permuted
-    shadows (:func:`shadow_frame`); a feature scores a hit when its
-    importance beats the best shadow.  After each pass, undecided features
-    are tested with a binomial test (p = 0.5, Bonferroni over the features):
-    Confirmed / Rejected, the rest Tentative; rejected features get no
-    shadows in later passes.  ``max_runs`` is the R package's; a number of runs
-    that cannot decide even a feature with a hit in each is an error.  Importance is Spark's impurity importance, not
-    the permutation Z-score of the Boruta package (documented difference).
+           max_runs: int = 100, p_value: float = 0.01, seed: int = 1, num_trees: int = 500,
+           runs_per_pass: int = 10, factors: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Boruta all-relevant selection over numeric ``features`` and ``factors``.
+
+    Each run grows a forest on the real features plus freshly permuted shadows
+    and takes the permutation Z-score of every feature on out-of-bag rows
+    (:class:`dichot.operators.permutation.ForestBlocks`); a feature scores a hit
+    when it beats the best shadow.  After each pass of ``runs_per_pass`` runs,
+    which is one Spark job, undecided features are tested with a binomial test
+    (p = 0.5, Bonferroni over the features): Confirmed / Rejected, the rest
+    Tentative; rejected features and their shadows take no part in later
+    passes.  ``max_runs`` and ``num_trees`` are the R package's; a number of runs
+    that cannot decide even a feature with a hit in each is an error.  The
+    result depends on rows, keys and ``seed`` only, not on cores or partitions.
     Returns (history (run, variable, importance, shadow_max), statistics).
     """
+    from dichot.operators.permutation import ForestBlocks
     spark = df.sparkSession
-    features = list(features)
-    data = df.dropna(subset=features + [label_col]).select(
-        *key_cols, *[F.col(f).cast("double").alias(f) for f in features],
-        F.col(label_col).cast("double").alias("label"))
-    hits = {f: 0 for f in features}
-    decision = {f: "Tentative" for f in features}
-    history = []
-    run = 0
+    features = list(features) + list(factors)
     m = len(features)
     if 0.5 ** max_runs >= p_value / max(m, 1):
         raise ValueError(f"{max_runs} runs cannot decide {m} features at {p_value}")
-    # blocks of at most BLOCK_ROWS rows (one task's memory) and at least
-    # MIN_BLOCK_ROWS (a meaningful permutation), one per core when data is small,
-    # so the forests still train in parallel
-    n_rows = data.count()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    n_blocks = max(math.ceil(n_rows / BLOCK_ROWS), min(cores, n_rows // MIN_BLOCK_ROWS))
-    n_blocks = max(1, min(max(parts, cores), n_blocks))
-    while run < max_runs:
+    blocks = ForestBlocks(df, [f for f in features if f not in set(factors)], factors, label_col, key_cols, seed)
+    hits = dict.fromkeys(features, 0)
+    decision = dict.fromkeys(features, "Tentative")
+    history = []
+    run = 0
+    while run < max_runs and "Tentative" in decision.values():
         live = [f for f in features if decision[f] != "Rejected"]
-        chunk = list(range(run + 1, min(max_runs, run + runs_per_pass) + 1))
-        wide = shadow_frame(data, live, key_cols, chunk, seed, n_blocks).persist(
-            StorageLevel.MEMORY_AND_DISK)
-
-        def fit_run(r, live=live, wide=wide):
-            cols = live + [f"shadow_{r}_{f}" for f in live]
-            frame = VectorAssembler(inputCols=cols, outputCol="features").transform(wide)
-            rf = RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="sqrt",
-                                        seed=seed + r, labelCol="label")
-            imp = rf.fit(frame).featureImportances.toArray()
-            return r, dict(zip(live, imp[:len(live)])), float(imp[len(live):].max())
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(fit_run, chunk))
-        wide.unpersist()
-        for r, imp, smax in results:
-            run = r
-            for f, v in imp.items():
-                history.append((r, f, float(v), smax))
-                if v > smax:
-                    hits[f] += 1
-        adj = p_value / m
+        chunk = range(run + 1, min(max_runs, run + runs_per_pass) + 1)
+        z: dict = {}
+        for r in blocks.importance(chunk, num_trees, seed, live, shadows=True).collect():
+            z.setdefault(r["run"], {})[r["feature"]] = r["z"]
+        for run in chunk:
+            top = max(v for f, v in z[run].items() if f.startswith("shadow_"))
+            for f in live:
+                history.append((run, f, float(z[run][f]), float(top)))
+                hits[f] += z[run][f] > top
         for f in features:
-            if decision[f] != "Tentative":
-                continue
-            if binom_sf(hits[f], run, 0.5) < adj:
-                decision[f] = "Confirmed"
-            elif binom_cdf(hits[f], run, 0.5) < adj:
-                decision[f] = "Rejected"
-        if all(d != "Tentative" for d in decision.values()):
-            break
+            if decision[f] == "Tentative":
+                if binom_sf(hits[f], run, 0.5) < p_value / m:
+                    decision[f] = "Confirmed"
+                elif binom_cdf(hits[f], run, 0.5) < p_value / m:
+                    decision[f] = "Rejected"
+    blocks.unpersist()
     hist = spark.createDataFrame(history, "run long, variable string, importance double, shadow_max double")
     stats = (hist.groupBy("variable")
                  .agg(F.avg("importance").alias("mean_imp"),
@@ -301,6 +236,18 @@ def boruta(df: DataFrame, features: Sequence[str], label_col: str, key_cols: Seq
     return hist, stats.join(dec, "variable").orderBy(F.col("mean_imp").desc())
 
 
+def permutation_importance(df: DataFrame, numeric: Sequence[str], factors: Sequence[str], label_col: str, key_cols: Sequence[str],
+                           num_trees: int = 500, seed: int = 1) -> DataFrame:
+    """mean loss of accuracy of a forest on out-of-bag rows when a term is
+    permuted, and its Z-score: ``variable, importance, z, trees``."""
+    from dichot.operators.permutation import ForestBlocks
+    blocks = ForestBlocks(df, numeric, factors, label_col, key_cols, seed)
+    out = blocks.importance([1], num_trees, seed).collect()
+    blocks.unpersist()
+    return df.sparkSession.createDataFrame([(r["feature"], r["mean"], r["z"], r["trees"]) for r in out],
+                                           "variable string, importance double, z double, trees long")
+
+
 # ------------------------------------------------------------------ F11
 
 def pca(df: DataFrame, vector_col: str, k: int) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ order-insensitive comparison is not disturbed by summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -943,7 +944,7 @@ def q_score(spark, d):
 
 # =================================================================== selection and fitted models (rows-only)
 
-from dichot.operators import models, selection  # noqa: E402
+from dichot.operators import gbm, models, resampling, selection  # noqa: E402
 
 NUMERIC_TERMS = ["price", "acctbal", "randpred"]
 FACTOR_TERMS = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
@@ -1082,53 +1083,186 @@ def q_crplot(spark, d):
     return rnd(inference.component_residuals(df, fit, "y", "price"))
 
 
-def _cv_frame(spark, d, k=3, repeats=1):
+def _resamples(spark, d, columns=None, k=5, repeats=10):
+    """The model frame in ``repeats`` x k-fold blocks (the reference's 5 x 10)."""
     df = _model_frame(spark, d)
-    design = _full_design(df)
-    frame = models.assemble(df, design, "y", keep=["o_orderkey"])
-    frame = sampling.repeated_kfold(frame, "label", ["o_orderkey"], k, repeats, SEED)
-    return frame.persist(), design
+    design = glm.build_design(df, numeric=columns) if columns else _full_design(df)
+    return df, resampling.fold_blocks(df, "y", design, ["o_orderkey"], k, repeats, SEED)
+
+
+def _tuned(spark, d, method, columns=None, **kw):
+    _, data = _resamples(spark, d, columns)
+    out = resampling.train(data, method, **kw)
+    data.unpersist()
+    return out
+
+
+FOLDS = f"""folds AS (
+  SELECT r, price AS x, y, (row_number() OVER (PARTITION BY r, y ORDER BY u, o_orderkey) - 1) % 5 AS fold
+  FROM (SELECT o_orderkey, o_totalprice/1e5 AS price, y, r,
+               {uniform(f"' || ({SEED} + r) || '", 'o_orderkey')} AS u
+        FROM labeled JOIN customer ON o_custkey = c_custkey, (SELECT unnest(range(1, 11)) AS r)))"""
 
 
-def _cv(spark, d, est, grid, k=3, repeats=1):
-    frame, _ = _cv_frame(spark, d, k, repeats)
-    res = models.resample(est, grid, frame, [f"fold_{r}" for r in range(1, repeats + 1)])
-    return rnd(models.tuning_table(spark, est, grid, res))
+@register("glm_cv_price", f"""
+WITH RECURSIVE {LABELED}, {FOLDS},
+fits AS (SELECT DISTINCT r, fold AS f FROM folds),
+it(i, r, f, b0, b1) AS (
+  SELECT 0, r, f, 0.0::DOUBLE, 0.0::DOUBLE FROM fits
+  UNION ALL
+  SELECT i + 1, r, f, b0 + (s11*g0 - s01*g1) / (s00*s11 - s01*s01), b1 + (-s01*g0 + s00*g1) / (s00*s11 - s01*s01)
+  FROM (SELECT it.i, it.r, it.f, it.b0, it.b1, sum(m.mu*(1-m.mu)) s00, sum(m.mu*(1-m.mu)*d.x) s01,
+               sum(m.mu*(1-m.mu)*d.x*d.x) s11, sum(d.y - m.mu) g0, sum((d.y - m.mu)*d.x) g1
+        FROM it JOIN folds d ON d.r = it.r AND d.fold <> it.f, LATERAL (SELECT 1/(1+exp(-(it.b0 + it.b1*d.x))) AS mu) m
+        WHERE it.i < 12 GROUP BY ALL)),
+sc AS (SELECT d.r, d.fold, d.y, b0 + b1*d.x AS s FROM it JOIN folds d ON d.r = it.r AND d.fold = it.f WHERE i = 12),
+ranked AS (SELECT *, rank() OVER (PARTITION BY r, fold ORDER BY s) + (count(*) OVER (PARTITION BY r, fold, s) - 1) / 2.0 AS mid FROM sc),
+per AS (SELECT (sum(mid) FILTER (y = 1) - sum(y)*(sum(y)+1)/2) / (sum(y)*(count(*)-sum(y))) AS roc,
+               count(*) FILTER (y = 1 AND s > 0) / sum(y) AS sens, count(*) FILTER (y = 0 AND s <= 0) / (count(*) - sum(y)) AS spec
+        FROM ranked GROUP BY r, fold),
+long AS (SELECT 'ROC' AS metric, roc AS v FROM per UNION ALL SELECT 'Sens', sens FROM per UNION ALL SELECT 'Spec', spec FROM per)
+SELECT metric, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS sd, CAST(count(*) AS BIGINT) AS resamples FROM long GROUP BY metric""")
+def q_glm_cv_price(spark, d):
+    """glm(y ~ price) over 5 x 10 resamples in shared passes."""
+    return rnd(_tuned(spark, d, "glm", ["price"]).table(spark).select("metric", "mean", "sd", "resamples"))
 
 
 @register("glm_cv")
 def q_glm_cv(spark, d):
-    """Resampled GLM, 5-fold x 2 repeats, ROC."""
-    return _cv(spark, d, models.glm_estimator(), [{}], k=5, repeats=2)
+    """The full logit over 5 x 10 resamples, one pass a Newton step."""
+    return rnd(_tuned(spark, d, "glm").table(spark))
 
 
 @register("glmnet_cv")
 def q_glmnet_cv(spark, d):
-    """Elastic net over (lambda, alpha), 3-fold."""
-    est = models.glmnet_estimator()
-    return _cv(spark, d, est, models.param_grid(est, regParam=[0.001, 0.01], elasticNetParam=[0.0, 1.0]))
+    """Elastic net over tuneLength 5 (five alphas, five lambdas), 5 x 10."""
+    return rnd(_tuned(spark, d, "glmnet").table(spark))
 
 
 @register("gbm_cv")
 def q_gbm_cv(spark, d):
-    """Boosted trees, depth 1 and 5, shrinkage 0.01, 3-fold."""
-    est = models.gbm_estimator().setMaxIter(20)
-    return _cv(spark, d, est, models.param_grid(est, maxDepth=[1, 5]))
+    """Boosted trees, interaction depth 1/5/9, 50 trees, shrinkage 0.01, 5 x 10."""
+    df, data = _resamples(spark, d)
+    out = gbm.train_gbm(data, gbm.bin_edges(df, data.design), depths=(1, 5, 9), trees=50, shrinkage=0.01)
+    data.unpersist()
+    return rnd(out.table(spark))
+
+
+_STUMP_EDGES = f"[{', '.join(f'{i}/{64}.0' for i in range(1, 64))}]"
+
+
+def _long_frame(rows: str, factors: bool = True) -> str:
+    """``name, v, y, o_orderkey`` of every design column of ``rows``."""
+    parts = [f"SELECT '{c}' AS name, {e} AS v, y, o_orderkey FROM {rows}" for c, e in (
+        ("price", "o_totalprice/1e5"), ("acctbal", "c_acctbal/1e3"), ("randpred", uniform(42, "o_orderkey")))]
+    for c in FACTOR_TERMS if factors else ():
+        parts.append(f"SELECT '{c}' || lv, CAST({c} = lv AS INTEGER)::DOUBLE, y, o_orderkey FROM {rows}, "
+                     f"(SELECT DISTINCT {c} AS lv FROM {rows} WHERE {c} > (SELECT min({c}) FROM {rows}))")
+    return " UNION ALL ".join(parts)
+
+
+@register("gbm_first_tree", f"""
+WITH {LABELED}, m AS (SELECT * FROM labeled JOIN customer ON o_custkey = c_custkey),
+long AS ({_long_frame('m')}),
+edges AS (SELECT name, unnest(list_distinct(quantile_cont(v, {_STUMP_EDGES}))) AS e FROM long
+          WHERE name IN ('price', 'acctbal', 'randpred') GROUP BY name
+          UNION ALL SELECT DISTINCT name, 0.5 FROM long WHERE name NOT IN ('price', 'acctbal', 'randpred')),
+base AS (SELECT avg(y) AS p FROM m),
+cut AS (SELECT name, e, count(*) FILTER (v <= e) AS nl, count(*) FILTER (v > e) AS nr, sum(y - p) FILTER (v <= e) AS gl,
+               sum(y - p) FILTER (v > e) AS gr, any_value(p*(1-p)) AS h FROM long JOIN edges USING (name), base GROUP BY name, e),
+best AS (SELECT *, nl*nr/(nl+nr)*pow(gl/nl - gr/nr, 2) AS gain FROM cut WHERE nl >= 10 AND nr >= 10 ORDER BY gain DESC LIMIT 1)
+SELECT name AS column_name, {r6('e')} AS edge, {r6('gain')} AS gain, CAST(nl AS BIGINT) AS rows_left, CAST(nr AS BIGINT) AS rows_right,
+       {r6('0.01*gl/(nl*h)')} AS left_value, {r6('0.01*gr/(nr*h)')} AS right_value FROM best""")
+def q_gbm_first_tree(spark, d):
+    """The first depth-1 tree of the boosted model of all rows."""
+    df, data = _resamples(spark, d, k=2, repeats=1)
+    edges = gbm.bin_edges(df, data.design)
+    model = gbm.train_gbm(data, edges, depths=(1,), trees=1, shrinkage=0.01).model
+    data.unpersist()
+    tree = model.trees[0]
+    j, edge = int(tree.column[0, 0]), float(edges[int(tree.column[0, 0])][int(tree.edge[0, 0])])
+    column = F.lit(0.0) + data.design.exprs()[j]
+    sides = df.agg(F.sum((column <= edge).cast("long")).alias("rows_left"), F.sum((column > edge).cast("long")).alias("rows_right"))
+    return rnd(sides.select(F.lit(data.design.columns[j]).alias("column_name"), F.lit(edge).alias("edge"),
+                            F.lit(float(tree.gain[0, 0])).alias("gain"), "rows_left", "rows_right",
+                            F.lit(float(tree.value[0, 1])).alias("left_value"), F.lit(float(tree.value[0, 2])).alias("right_value")))
 
 
 @register("rf_cv")
 def q_rf_cv(spark, d):
     """Random forest (mtry = sqrt(p)), 3-fold."""
+    df = _model_frame(spark, d)
+    frame = models.assemble(df, _full_design(df), "y", keep=["o_orderkey"], persist=False)
+    frame = sampling.repeated_kfold(frame, "label", ["o_orderkey"], 3, 1, SEED).persist()
     est = models.rf_estimator(num_trees=50)
-    return _cv(spark, d, est, [{}])
+    res = models.resample(est, [{}], frame, ["fold_1"])
+    frame.unpersist()
+    return rnd(models.tuning_table(spark, est, [{}], res))
 
 
 @register("glmboost_cv")
 def q_glmboost_cv(spark, d):
-    """Component-wise boosted logit with centred covariates, mstop grid, 3-fold."""
-    frame, _ = _cv_frame(spark, d, 3, 1)
-    grid, res = models.resample_glmboost([25, 50], frame, ["fold_1"])
-    return rnd(models.tuning_table(spark, None, grid, res))
+    """Component-wise boosted logit with centred covariates, tuneLength 5
+    (50 to 250 steps), 5 x 10: one pass a step."""
+    return rnd(_tuned(spark, d, "glmboost").table(spark))
+
+
+@register("cv_refit")
+def q_cv_refit(spark, d):
+    """What train() returns after tuning: the best point of each
+    method refitted on all rows, as coefficients."""
+    _, data = _resamples(spark, d)
+    rows = []
+    for method, grid in (("glm", None), ("glmnet", None), ("glmboost", [{"mstop": m} for m in (10, 20, 30)])):
+        out = resampling.train(data, method, 3, grid)
+        best = ", ".join(f"{n}={v:.6g}" for n, v in sorted(out.best.items()))
+        rows += [(method, best, term, value) for term, value in out.coef.items()]
+    data.unpersist()
+    return rnd(spark.createDataFrame(rows, "method string, best string, term string, estimate double"))
+
+
+BOOST_STEPS = 3
+
+
+def _boost_sql(train: str, test: str) -> str:
+    """Scores of ``test`` after ``BOOST_STEPS`` boosting steps over the design columns of ``train``."""
+    out = [f"long AS ({_long_frame(train)})",
+           "mom AS (SELECT name, avg(v) AS mean, sum(v*v) - count(*)*avg(v)*avg(v) AS ss FROM long GROUP BY name)",
+           f"f0 AS (SELECT o_orderkey, y, 0.5*ln((SELECT avg(y)/(1-avg(y)) FROM {train})) AS f FROM {train})"]
+    for i in range(1, BOOST_STEPS + 1):
+        out += [f"u{i} AS (SELECT o_orderkey, 2*(2*y-1)/(1+exp(2*(2*y-1)*f)) AS u FROM f{i - 1})",
+                f"""g{i} AS (SELECT name, sum((v-mean)*u) AS xu, any_value(ss) AS ss, any_value(mean) AS mean FROM long JOIN mom USING (name)
+                    JOIN u{i} USING (o_orderkey) GROUP BY name
+                    UNION ALL SELECT '', sum(u), count(*), 0 FROM u{i})""",
+                f"b{i} AS (SELECT name, 0.1*xu/ss AS inc, mean FROM g{i} ORDER BY xu*xu/ss DESC LIMIT 1)",
+                f"""f{i} AS (SELECT o_orderkey, any_value(p.y) AS y, any_value(p.f) + any_value(b.inc*(CASE WHEN b.name = '' THEN 1 ELSE l.v - b.mean END)) AS f
+                    FROM f{i - 1} p JOIN b{i} b ON true JOIN long l USING (o_orderkey) WHERE b.name = '' OR l.name = b.name GROUP BY o_orderkey)"""]
+    steps = " + ".join(f"""(SELECT inc FROM b{i}) * CASE WHEN (SELECT name FROM b{i}) = '' THEN 1
+        ELSE (SELECT t.v FROM tlong t WHERE t.o_orderkey = te.o_orderkey AND t.name = (SELECT name FROM b{i})) - (SELECT mean FROM b{i}) END"""
+                       for i in range(1, BOOST_STEPS + 1))
+    out += [f"tlong AS ({_long_frame(test)})",
+            f"scored AS (SELECT o_orderkey, 1/(1+exp(-2*(0.5*ln((SELECT avg(y)/(1-avg(y)) FROM {train})) + {steps}))) AS p FROM {test} te)"]
+    return ",\n".join(out)
+
+
+@register("score_boosted", f"""
+WITH {LABELED}, {SPLIT}, joined AS (SELECT * FROM split JOIN customer ON o_custkey = c_custkey),
+tr AS (SELECT * FROM joined WHERE in_train), te0 AS (SELECT * FROM joined WHERE NOT in_train),
+{_boost_sql('tr', 'te0')}
+SELECT o_orderkey, {r6('p')} AS probability, CASE WHEN p > 0.5 THEN 'Spend' ELSE 'Reduce' END AS class FROM scored""")
+def q_score_boosted(spark, d):
+    """A boosted logit trained, saved, loaded and applied to the held-out file."""
+    from dichot.plans.jobs import ScoringModel, score_job
+    from dichot.session import ensure_checkpoint_dir
+    df = _model_frame(spark, d)
+    flagged = sampling.stratified_flag(df, "y", ["o_orderkey"], 0.8, SEED, "in_train")
+    train = flagged.filter("in_train")
+    data = resampling.fold_blocks(train, "y", _full_design(train), ["o_orderkey"], 2, 1, SEED)
+    tuned = resampling.train(data, "glmboost", grid=[{"mstop": BOOST_STEPS}])
+    data.unpersist()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/boosted-{uuid.uuid4().hex}"
+    ScoringModel.from_coef(tuned.design, tuned.coef, labels=("Reduce", "Spend")).save(spark, path)
+    return rnd(score_job(spark, ScoringModel.load(spark, path), flagged.filter("NOT in_train"), keep=["o_orderkey"]))
 
 
 def _holdout_models(spark, d):
@@ -1176,13 +1310,18 @@ def q_varimp_rf(spark, d):
 
 @register("boruta")
 def q_boruta(spark, d):
-    """Boruta decisions and importance statistics (shadow permutations)."""
+    """Boruta decisions over all terms by permutation Z-scores on out-of-bag rows."""
     df = _model_frame(spark, d).withColumn("nation", F.col("c_nationkey").cast("double"))
-    _, stats = selection.boruta(df, ["price", "acctbal", "randpred", "nation"], "y", ["o_orderkey"],
-                                max_runs=100, num_trees=100, seed=1)
+    _, stats = selection.boruta(df, [*NUMERIC_TERMS, "nation"], "y", ["o_orderkey"], num_trees=100, seed=1, factors=FACTOR_TERMS)
     return rnd(stats)
 
 
+@register("varimp_permutation")
+def q_varimp_permutation(spark, d):
+    """mean loss of accuracy and Z-score of every term of a forest of 500 trees."""
+    return rnd(selection.permutation_importance(_model_frame(spark, d), NUMERIC_TERMS, FACTOR_TERMS, "y", ["o_orderkey"]))
+
+
 @register("pca")
 def q_pca(spark, d):
     """prcomp (centred, unscaled) of the embedding vectors: sdev and share."""
@@ -1329,13 +1468,9 @@ def q_structure(spark, d):
 
 @register("scaled_glmnet_cv")
 def q_scaled_cv(spark, d):
-    """Centre-and-scale fitted inside each fold, then elastic net, 3-fold."""
-    est = models.glmnet_estimator().setStandardization(False)
-    pipe = models.with_scaling(est)
-    grid = [{pipe.getStages()[1].regParam: v} for v in (0.001, 0.01)]
-    frame, _ = _cv_frame(spark, d, 3, 1)
-    res = models.resample(pipe, grid, frame, ["fold_1"])
-    return rnd(models.tuning_table(spark, pipe, grid, res))
+    """Columns centred and scaled (sample sd) inside each resample, then
+    the elastic net on them as they are; tuneLength 5, 5 x 10."""
+    return rnd(_tuned(spark, d, "glmnet", sample_sd=True).table(spark))
 
 
 @register("two_class_summary")
