@@ -37,13 +37,17 @@ def sum_partials(df: DataFrame, partial_fn, length: int) -> np.ndarray:
 ADD_GROUPS = 64
 
 
-def add_vectors(partials: DataFrame, length: int) -> np.ndarray:
-    """The sum of the arrays ``v``, one a partition, in two levels: groups of
-    partitions first, so that the last task adds at most ``ADD_GROUPS`` vectors
-    however many partitions there are."""
-    groups = partials.groupBy((F.spark_partition_id() % ADD_GROUPS).alias("g")).agg(
-        Summarizer.metrics("sum", "count").summary(array_to_vector("v")).alias("s"))
-    row = groups.where("s.count > 0").select(Summarizer.metrics("sum", "count").summary(F.col("s.sum")).alias("s")).first()
+def add_vectors(partials: DataFrame, length: int, partitions: int | None = None) -> np.ndarray:
+    """The sum of the arrays ``v``, one a partition.  The last task adds at most
+    ``ADD_GROUPS`` vectors however many partitions there are: unless it is known
+    that there are no more, groups of partitions are added first."""
+    def added(column):
+        return Summarizer.metrics("sum", "count").summary(column).alias("s")
+    vectors = partials.select(array_to_vector("v").alias("v"))
+    if partitions is None or partitions > ADD_GROUPS:
+        groups = vectors.groupBy((F.spark_partition_id() % ADD_GROUPS).alias("g")).agg(added(F.col("v")))
+        vectors = groups.where("s.count > 0").select(F.col("s.sum").alias("v"))
+    row = vectors.select(added(F.col("v"))).first()
     if row is None or row["s"] is None or row["s"]["count"] == 0:
         return np.zeros(length)
     return row["s"]["sum"].toArray()

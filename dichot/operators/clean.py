@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dichot.operators.ordered import exact_quantiles
+from dichot.operators.quantiles import select_quantiles
 from dichot.operators.profile import column_stats, melt, nan_to_null, quoted, string_columns
 
 
@@ -49,7 +49,7 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
     """Fitted fill values per column.
 
     ``mean`` is one aggregate.  ``median`` is exact (R's type 7 via
-    distributed ranks) unless ``exact=False`` (``percentile_approx``).
+    two-pass selection) unless ``exact=False`` (``percentile_approx``).
     ``mode`` is the most frequent value, ties to the smallest.
     """
     cols = list(cols)
@@ -57,11 +57,9 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
         row = df.agg(*[F.avg(nan_to_null(F.col(quoted(c)))).alias(c) for c in cols]).collect()[0]
         return {c: row[c] for c in cols}
     if strategy == "median":
-        long = melt(df, cols, "double")
         if exact:
-            q = exact_quantiles(long, "value", [0.5], group_cols=["column_name"])
-            return {r["column_name"]: r["quantile"] for r in q.collect()}
-        q = long.groupBy("column_name").agg(F.percentile_approx("value", 0.5, 10000).alias("m"))
+            return {c: q[0.5] for c, q in select_quantiles(df, cols, [0.5]).items() if q}
+        q = melt(df, cols, "double").groupBy("column_name").agg(F.percentile_approx("value", 0.5, 10000).alias("m"))
         return {r["column_name"]: r["m"] for r in q.collect()}
     if strategy == "mode":
         long = melt(df, cols, "string").filter(F.col("value").isNotNull())

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dichot.functions.stats import t_sf_two_sided
-from dichot.operators.ordered import exact_quantiles, row_index, running_sums
+from dichot.operators.ordered import row_index, running_sums
+from dichot.operators.quantiles import select_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -140,7 +141,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
     """``summary(df)`` for numeric columns plus sd.
 
     Columns: column_name, n, n_na, min, q1, median, mean, q3, max, sd.
-    Quartiles are R's type 7, exact by default (see ``exact_quantiles``).
+    Quartiles are R's type 7, exact by default (see ``select_quantiles``).
     """
     cols = list(cols or numeric_columns(df))
     aggs = []
@@ -159,18 +160,15 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
                  stat(c, "max").alias("max"), stat(c, "mean").alias("mean"),
                  stat(c, "sd").alias("sd")) for c in cols])
     probs = [0.25, 0.5, 0.75]
-    long = melt(df, cols, "double")
     if approx:
-        q = (long.groupBy("column_name")
+        q = (melt(df, cols, "double").groupBy("column_name")
                  .agg(F.percentile_approx("value", probs, accuracy).alias("_q"))
                  .select("column_name", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                          F.col("_q")[2].alias("q3")))
     else:
-        q = (exact_quantiles(long, "value", probs, group_cols=["column_name"])
-             .groupBy("column_name")
-             .agg(F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
-                  F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("median"),
-                  F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q3")))
+        found = select_quantiles(df, cols, probs)
+        q = df.sparkSession.createDataFrame([(c, *(found[c].get(p) for p in probs)) for c in cols],
+                                            "column_name string, q1 double, median double, q3 double")
     return (moments.join(q, "column_name", "left")
                    .select("column_name", "n", "n_na", "min", "q1", "median", "mean", "q3", "max",
                            "sd"))

@@ -41,6 +41,8 @@ from dichot.operators.glm import INTERCEPT, Design
 
 #: rows packed into one block
 BLOCK_ROWS = 4096
+#: rows that one task passes over
+TASK_ROWS = 64 * BLOCK_ROWS
 #: distinct scores of one (fit, fold) that one task merges
 RANGE_ROWS = 200_000
 MAX_STEPS = 25
@@ -57,6 +59,7 @@ class FoldBlocks:
     blocks: DataFrame
     k: int
     repeats: int
+    tasks: int
 
     @property
     def width(self) -> int:
@@ -88,7 +91,10 @@ def fold_blocks(df: DataFrame, label_col: str, design: Design, key_cols: Sequenc
     width = len(design.columns)
     matrix = design.matrix(df, label_col, keep_cols=list(key_cols), persist=False)
     folds = [f"fold_{r}" for r in range(1, repeats + 1)]
-    frame = sampling.repeated_kfold(matrix, "y", list(key_cols), k, repeats, seed).select(*x_cols(width), "y", *folds)
+    frame = sampling.repeated_kfold(matrix, "y", list(key_cols), k, repeats, seed)
+    # every pass runs in this many tasks: all cores on small tables, TASK_ROWS rows each on large ones
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(frame.count() / TASK_ROWS))
+    frame = frame.repartition(tasks, *key_cols).select(*x_cols(width), "y", *folds)
 
     def pack(batches):
         for batch in batches:
@@ -103,7 +109,7 @@ def fold_blocks(df: DataFrame, label_col: str, design: Design, key_cols: Sequenc
                        for v, t in ((x, np.float64), (columns[width], np.float64), (f, np.uint8))], names=["n", "x", "y", "f"])
 
     blocks = frame.mapInArrow(pack, "n long, x binary, y binary, f binary").persist(StorageLevel.MEMORY_AND_DISK)
-    return FoldBlocks(design, blocks, k, repeats)
+    return FoldBlocks(design, blocks, k, repeats, tasks)
 
 
 def sum_blocks(data: FoldBlocks, work: Callable, length: int) -> np.ndarray:
@@ -118,7 +124,7 @@ def sum_blocks(data: FoldBlocks, work: Callable, length: int) -> np.ndarray:
                 total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
-    return add_vectors(data.blocks.mapInArrow(run, "v array<double>"), length)
+    return add_vectors(data.blocks.mapInArrow(run, "v array<double>"), length, data.tasks)
 
 
 @dataclass
