@@ -114,7 +114,7 @@ def _held_out(modulus: int, remainder: int) -> F.Column:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document by a network of the labels not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    told = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").where(~_held_out(3, 1)), "doc_id")
+    told = toxicity.labelled_sample(docs, labels.where(~_held_out(3, 1)))
     return toxicity.score(docs, toxicity.train(told)).select(
         "doc_id", _held_out(3, 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

@@ -7,7 +7,7 @@ Two layers of one kind, trained end to end in numpy:
 * over the words of a window: the character vector and a word embedding (one
   for all words that few sample documents hold) go through a second bidirectional GRU and attention pooling to a logit.
 
-A text is read as overlapping windows of 32 words, 24 apart, all of them; its
+A text is read as overlapping windows of 32 words, 16 apart, all of them; its
 logit is the largest of its windows.  Words are lower-cased and lose punctuation at their ends; one longer than 16
 characters counts as several words of at most 16.
 
@@ -34,16 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dichot.llm.spark import ready
+from dichot.llm.spark import ready, written
 from dichot.llm.text import slices
 
 SAMPLE = 2000
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 CHARS, LETTERS = 16, 96
 CHAR_SIZE, CHAR_UNITS = 8, 8
 WORD_SIZE, WORD_UNITS, WORD_ROWS = 8, 8, 4096
 TURNS, INNER = 6, 3
-COMMON = 8
+COMMON = 3
 CACHE_WORDS = 250_000
 #: characters cut from both ends of a word
 EDGES = ".,;:!?\"'()[]#*$%&|-"
@@ -359,6 +359,17 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Network:
     return net
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, text, toxic`` of at most ``sample`` ids a class that have a text.
+
+    The ids are chosen from ids alone; their texts are then picked out where they
+    lie, by a broadcast of the chosen ids, so no text is shuffled."""
+    told = docs.where(F.col("text").isNotNull()).select("doc_id").join(labels.select("doc_id", "toxic"), "doc_id").distinct()
+    ids = [r for label in (0, 1) for r in told.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    chosen = docs.sparkSession.createDataFrame(ids, told.schema)
+    return written(docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
+
+
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """``doc_id, score`` for every row of ``docs`` (``doc_id``, ``text``)."""
     spark = ready(docs)

@@ -228,7 +228,7 @@ def test_toxicity_gradients_and_edges(spark, docs):
             ends.append((layer.pool(layer.project(table), at, size, True)[0] * out).sum())
         value[spot] = old
         assert abs((ends[0] - ends[1]) / 2e-3 - grads[name][spot]) < 1e-2
-    assert [list(toxicity.windows(n)) for n in (1, 32, 33, 57)] == [[0], [0], [0, 24], [0, 24, 48]]
+    assert [list(toxicity.windows(n)) for n in (1, 32, 33, 57)] == [[0], [0], [0, 16], [0, 16, 32]]
     r = random.Random(5)
     rows = [(i, " ".join(words(i, 40) + (["vile", "vilest"] if i % 2 else []) + words(-i, r.randrange(1, 60))), "en", "a") for i in range(120)]
     told = frame(spark, rows).selectExpr("*", "int(doc_id % 2) toxic")
@@ -273,3 +273,15 @@ def test_parity_bitmaps_never_exceed_the_difference():
         for j in range(len(texts)):
             apart = sum(int(x).bit_count() for x in (bits[i] ^ bits[j]).view(np.uint64))
             assert apart <= len(sets[i] ^ sets[j]) and (apart - len(sets[i] ^ sets[j])) % 2 == 0
+
+
+def test_toxicity_sample_is_bounded_and_chosen_by_id(spark):
+    docs = spark.createDataFrame([(i, f"text {i}" if i % 5 else None, "x") for i in range(60)] + [(7, "again", "x"), (None, "no id", "x")],
+                                 "doc_id long, text string, toxic string").drop("toxic")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(3, 1), (51, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels).collect()
+    assert sorted((r["doc_id"], r["text"], r["toxic"]) for r in got) == sorted(
+        [(i, f"text {i}", i % 2) for i in range(50) if i % 5] + [(7, "again", 1)])
+    few = {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs.repartition(7), labels, 4).collect()}
+    assert few == {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs, labels, 4).collect()} and len(few) == 8
+    assert toxicity.labelled_sample(docs.limit(0), labels).count() == 0
