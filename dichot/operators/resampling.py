@@ -25,6 +25,7 @@ resamples, never from rows.
 from __future__ import annotations
 
 import math
+import uuid
 import warnings
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from dichot.functions.linalg import add_vectors, aliased_columns, x_cols
 from dichot.operators import sampling
 from dichot.operators.glm import INTERCEPT, Design
+from dichot.session import ensure_checkpoint_dir
 
 #: rows packed into one block
 BLOCK_ROWS = 4096
@@ -108,7 +110,15 @@ def fold_blocks(df: DataFrame, label_col: str, design: Design, key_cols: Sequenc
                     + [pa.array([np.ascontiguousarray(v, t).tobytes()], pa.binary())
                        for v, t in ((x, np.float64), (columns[width], np.float64), (f, np.uint8))], names=["n", "x", "y", "f"])
 
-    blocks = frame.mapInArrow(pack, "n long, x binary, y binary, f binary").persist(StorageLevel.MEMORY_AND_DISK)
+    # written once, so that hundreds of passes neither carry nor repeat the lineage of the folds
+    schema, spark = "n long, x binary, y binary, f binary", df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/folds-{uuid.uuid4().hex}"
+    frame.mapInArrow(pack, schema).write.parquet(path)
+    # all passes have the same fixed shape: a session that does not re-plan each of them
+    passes = spark.newSession()
+    passes.conf.set("spark.sql.adaptive.enabled", "false")
+    passes.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    blocks = passes.read.schema(schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
     return FoldBlocks(design, blocks, k, repeats, tasks)
 
 

@@ -1,9 +1,8 @@
 """Variable screening and selection.
 
 Stepwise search fits all candidate models of a step in the same passes
-over one cached design matrix (:func:`fit_logit_many`); Boruta builds its
-shadow columns by permuting features inside random hash blocks (one
-shuffle) and fits forests on them; GVIF works on the fitted
+over one cached design matrix (:func:`fit_logit_many`); Boruta compares
+permutation Z-scores with those of shadow copies; GVIF works on the fitted
 coefficient covariance.  Selections return their log as a DataFrame instead
 of being typed in by hand after reading printed output.
 """
@@ -12,28 +11,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from itertools import count
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dichot.functions.linalg import cov_to_corr, logdet
+from dichot.functions.linalg import cov_to_corr, logdet, stack_rows, sum_partials
 from dichot.functions.stats import binom_cdf, binom_sf
 from dichot.operators.glm import Design, LogitFit, fit_logit_many, full_gram
 
 # ------------------------------------------------------------------ F01-F03
 
 def stepwise(data: DataFrame, design: Design, direction: str = "both",
-             start: Sequence[str] | None = None, k: float = 2.0,
-             max_steps: int = 100) -> tuple[list[str], list[tuple], LogitFit]:
+             start: Sequence[str] | None = None, k: float = 2.0) -> tuple[list[str], list[tuple], LogitFit]:
     """``step(..., direction=)`` by AIC with whole terms (a factor's dummies move together).
 
     Returns (final terms, path rows (step, action, term, df, deviance, aic), final fit).
@@ -54,7 +51,7 @@ def stepwise(data: DataFrame, design: Design, direction: str = "both",
     fit = fit_logit_many(data, design, [design.indices(current)], gram=gram)[0]
     best = crit(fit)
     path = [(0, "start", None, fit.rank, fit.deviance, best)]
-    for step in range(1, max_steps + 1):
+    for step in count(1):           # every step lowers the criterion, so this ends
         cands = []
         if direction in ("both", "forward"):
             cands += [("+", t, current + [t]) for t in terms if t not in current]
@@ -250,32 +247,92 @@ def permutation_importance(df: DataFrame, numeric: Sequence[str], factors: Seque
 
 # ------------------------------------------------------------------ F11
 
-def pca(df: DataFrame, vector_col: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """``prcomp(x)`` (centred, unscaled): loadings and standard deviations.
+#: columns of one block of the covariance; a partial sum is at most a square of it
+PCA_BLOCK = 256
 
-    Spark's ``explainedVariance`` is a share; sdev comes from it times the
-    total variance (trace of the covariance).  Returns
-    (loadings (component, variable, loading), sdev (component, sdev, proportion)).
-    Loadings are defined up to sign.
+
+def _plain_vector(df: DataFrame, vector_col: str) -> DataFrame:
+    kind = df.schema[vector_col].dataType
+    v = F.col(vector_col).cast("array<double>") if isinstance(kind, T.ArrayType) else vector_to_array(F.col(vector_col))
+    return df.where(F.col(vector_col).isNotNull()).withColumn("_v", v)
+
+
+def _centre(plain: DataFrame, width: int) -> tuple[int, np.ndarray]:
+    def partial(pdf):
+        x = stack_rows(pdf["_v"], width)
+        return np.append(x.sum(axis=0), len(x))
+    got = sum_partials(plain.select("_v"), partial, width + 1)
+    return int(got[-1]), got[:-1] / max(got[-1], 1)
+
+
+def pca(df: DataFrame, vector_col: str, k: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``prcomp(x)`` (centred, unscaled): loadings and standard deviations
+    of the first ``k`` components (default: all).
+
+    The exact mean is subtracted before rows are multiplied.  The covariance is
+    summed in square blocks of column pairs, each its own row of a grouped sum,
+    so wide vectors make more groups and not larger ones; the driver holds one
+    (width x width) matrix.  A loading vector's largest entry is positive.
+    Returns (loadings (component, variable, loading), sdev (component, sdev,
+    proportion)).
     """
     spark = df.sparkSession
-    centred = StandardScaler(inputCol=vector_col, outputCol="_c", withMean=True, withStd=False) \
-        .fit(df).transform(df)
-    model = PCA(k=k, inputCol="_c", outputCol="scores").fit(centred)
-    var = df.select(Summarizer.variance(F.col(vector_col)).alias("v")).first()["v"].toArray()
-    total = float(var.sum())
-    ev = model.explainedVariance.toArray()
-    pc = model.pc.toArray()
-    load = [(int(c + 1), int(j), float(pc[j, c])) for c in range(pc.shape[1]) for j in range(pc.shape[0])]
-    sd = [(int(c + 1), math.sqrt(ev[c] * total), float(ev[c])) for c in range(len(ev))]
+    plain = _plain_vector(df, vector_col).select("_v")
+    width = (plain.agg(F.max(F.size("_v"))).first()[0] or 0)
+    n, mean = _centre(plain, width)
+    if n < 2 or not width:
+        return (spark.createDataFrame([], "component long, variable long, loading double"),
+                spark.createDataFrame([], "component long, sdev double, proportion double"))
+    cuts = list(range(0, width, PCA_BLOCK)) + [width]
+
+    def partials(batches):
+        total: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = stack_rows(pdf["_v"], width) - mean
+            for i in range(len(cuts) - 1):
+                for j in range(i, len(cuts) - 1):
+                    part = x[:, cuts[i]:cuts[i + 1]].T @ x[:, cuts[j]:cuts[j + 1]]
+                    total[i, j] = total[i, j] + part if (i, j) in total else part
+        if total:
+            yield pd.DataFrame({"i": [i for i, _ in total], "j": [j for _, j in total], "v": [m.ravel().tolist() for m in total.values()]})
+
+    sums = plain.mapInPandas(partials, "i int, j int, v array<double>").groupBy("i", "j").agg(
+        Summarizer.metrics("sum").summary(array_to_vector("v")).alias("s"))
+    cov = np.zeros((width, width))
+    for r in sums.select("i", "j", "s.sum").collect():
+        at, to = slice(cuts[r["i"]], cuts[r["i"] + 1]), slice(cuts[r["j"]], cuts[r["j"] + 1])
+        block = r["sum"].toArray().reshape(at.stop - at.start, to.stop - to.start) / (n - 1)
+        cov[at, to], cov[to, at] = block, block.T
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+    vectors = vectors * np.sign(vectors[np.argmax(np.abs(vectors), axis=0), np.arange(width)])
+    k, share = min(k or width, width), values / max(values.sum(), 1e-300)
+    load = [(c + 1, j, float(vectors[j, c])) for c in range(k) for j in range(width)]
+    sd = [(c + 1, float(math.sqrt(values[c])), float(share[c])) for c in range(k)]
     return (spark.createDataFrame(load, "component long, variable long, loading double"),
             spark.createDataFrame(sd, "component long, sdev double, proportion double"))
 
 
-def pca_scores(df: DataFrame, vector_col: str, k: int) -> DataFrame:
-    centred = StandardScaler(inputCol=vector_col, outputCol="_c", withMean=True, withStd=False) \
-        .fit(df).transform(df)
-    return PCA(k=k, inputCol="_c", outputCol="scores").fit(centred).transform(centred).drop("_c")
+def pca_scores(df: DataFrame, key_cols: Sequence[str], vector_col: str, k: int | None = None) -> DataFrame:
+    """``prcomp(x)$x``: key columns and the array ``scores`` of every row
+    on the first ``k`` components."""
+    load, _ = pca(df, vector_col, k)
+    rows = load.collect()
+    plain = _plain_vector(df, vector_col)
+    if not rows:
+        return plain.select(*key_cols, F.lit(None).cast("array<double>").alias("scores"))
+    axes = np.zeros((max(r["variable"] for r in rows) + 1, max(r["component"] for r in rows)))
+    for r in rows:
+        axes[r["variable"], r["component"] - 1] = r["loading"]
+    _, mean = _centre(plain.select("_v"), len(axes))
+
+    @F.pandas_udf("array<double>")
+    def project(v: pd.Series) -> pd.Series:
+        return pd.Series(list((stack_rows(v, len(axes)) - mean) @ axes))
+
+    return plain.select(*key_cols, project("_v").alias("scores"))
 
 
 # ------------------------------------------------------------------ F12

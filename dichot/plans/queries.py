@@ -832,12 +832,13 @@ WITH RECURSIVE {HOLDOUT},
 lv AS (SELECT p AS score, sum(y) AS pos, sum(1 - y) AS neg FROM te GROUP BY p),
 tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM lv)
 SELECT {r6('score')} AS threshold, {r6('sum(neg) OVER (ORDER BY score DESC) / N')} AS fpr,
-       {r6('sum(pos) OVER (ORDER BY score DESC) / P')} AS tpr FROM lv, tot""")
+       {r6('sum(pos) OVER (ORDER BY score DESC) / P')} AS tpr FROM lv, tot
+UNION ALL SELECT 'Infinity'::DOUBLE, 0.0, 0.0""")
 def q_roc(spark, d):
-    """ROC points at every distinct held-out score (exact, distributed)."""
+    """ROC points at every distinct held-out score (exact, distributed) and
+    the anchor (0, 0) above all scores."""
     te, _ = _holdout(spark, d)
-    pts = evaluate.roc_points(te, "y", "p")
-    return rnd(pts.filter(~F.isnan("threshold") & (F.abs("threshold") != float("inf"))))
+    return rnd(evaluate.roc_points(te, "y", "p"))
 
 
 def _auc_sql(table_: str, score: str) -> str:
@@ -1322,13 +1323,38 @@ def q_varimp_permutation(spark, d):
     return rnd(selection.permutation_importance(_model_frame(spark, d), NUMERIC_TERMS, FACTOR_TERMS, "y", ["o_orderkey"]))
 
 
+def _embedded(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+
+
 @register("pca")
 def q_pca(spark, d):
-    """prcomp (centred, unscaled) of the embedding vectors: sdev and share."""
-    emb = table(spark, d, "embeddings").select(
-        "vec_id", array_to_vector_(F.col("embedding").cast("array<double>")).alias("v"))
-    _, sdev = selection.pca(emb, "v", 5)
-    return rnd(sdev)
+    """prcomp (centred, unscaled) of the embedding vectors: sdev and share of all components."""
+    return rnd(selection.pca(_embedded(spark, d), "v")[1])
+
+
+@register("pca_variance", f"""
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS j FROM embeddings WHERE embedding IS NOT NULL),
+v AS (SELECT j, var_samp(x) AS s FROM e GROUP BY j)
+SELECT CAST(count(*) AS BIGINT) AS components, {r6('sum(s)')} AS total_variance, {r6('1')} AS proportion FROM v""")
+def q_pca_variance(spark, d):
+    """the squared sdev of all components add up to the total variance."""
+    sdev = selection.pca(_embedded(spark, d), "v")[1]
+    return rnd(sdev.agg(F.count("component").alias("components"), F.sum(F.col("sdev") * F.col("sdev")).alias("total_variance"),
+                        F.sum("proportion").alias("proportion")))
+
+
+@register("pca_loadings")
+def q_pca_loadings(spark, d):
+    """loadings of all components (the largest entry of each is positive)."""
+    return rnd(selection.pca(_embedded(spark, d), "v")[0])
+
+
+@register("pca_scores")
+def q_pca_scores(spark, d):
+    """scores of every row on the first five components."""
+    scores = selection.pca_scores(_embedded(spark, d), ["vec_id"], "v", 5)
+    return rnd(scores.select("vec_id", *[F.col("scores")[i].alias(f"pc{i + 1}") for i in range(5)]))
 
 
 def array_to_vector_(c):
