@@ -47,10 +47,9 @@ def add_vectors(partials: DataFrame, length: int, partitions: int | None = None)
     if partitions is None or partitions > ADD_GROUPS:
         groups = vectors.groupBy((F.spark_partition_id() % ADD_GROUPS).alias("g")).agg(added(F.col("v")))
         vectors = groups.where("s.count > 0").select(F.col("s.sum").alias("v"))
-    row = vectors.select(added(F.col("v"))).first()
-    if row is None or row["s"] is None or row["s"]["count"] == 0:
-        return np.zeros(length)
-    return row["s"]["sum"].toArray()
+    # grouped by a constant: no vectors give no row, where a plain sum would fail
+    row = vectors.groupBy(F.lit(0).alias("all")).agg(added(F.col("v"))).first()
+    return row["s"]["sum"].toArray() if row is not None else np.zeros(length)
 
 
 def stack_rows(series: pd.Series, width: int) -> np.ndarray:

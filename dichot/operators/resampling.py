@@ -43,8 +43,8 @@ from dichot.session import ensure_checkpoint_dir
 
 #: rows packed into one block
 BLOCK_ROWS = 4096
-#: rows that one task passes over
-TASK_ROWS = 64 * BLOCK_ROWS
+#: rows that one task passes over, and rows worth a task of their own
+TASK_ROWS, LEAST_ROWS = 64 * BLOCK_ROWS, 1024
 #: distinct scores of one (fit, fold) that one task merges
 RANGE_ROWS = 200_000
 MAX_STEPS = 25
@@ -94,8 +94,9 @@ def fold_blocks(df: DataFrame, label_col: str, design: Design, key_cols: Sequenc
     matrix = design.matrix(df, label_col, keep_cols=list(key_cols), persist=False)
     folds = [f"fold_{r}" for r in range(1, repeats + 1)]
     frame = sampling.repeated_kfold(matrix, "y", list(key_cols), k, repeats, seed)
-    # every pass runs in this many tasks: all cores on small tables, TASK_ROWS rows each on large ones
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(frame.count() / TASK_ROWS))
+    # every pass runs in this many tasks: all cores where each has LEAST_ROWS rows, TASK_ROWS rows each on large tables
+    rows = frame.count()
+    tasks = max(1, math.ceil(rows / TASK_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / LEAST_ROWS)))
     frame = frame.repartition(tasks, *key_cols).select(*x_cols(width), "y", *folds)
 
     def pack(batches):

@@ -101,3 +101,12 @@ def test_glmboost_path_equals_refit(spark):
     cut = full.at(12)
     assert np.allclose(cut.coefficients, short.coefficients, atol=1e-12)
     assert abs(cut.intercept - short.intercept) < 1e-12
+
+
+def test_model_job_compares_four_models(spark):
+    df = frames.labeled_features(spark, SF_SMALL)
+    out = jobs.model_job(spark, df, "y", ["o_orderkey"], ["price", "acctbal"], ["o_orderpriority"],
+                         boruta_trees=20, repeats=1, tune_length=1, gbm_trees=3)
+    assert "price" in out["boruta_confirmed"] and "price" in out["selected"]
+    assert {n for n, _ in out["leaderboard"]} == {"glm", "glmboost", "glmnet", "gbm"}
+    assert all(0.6 < v < 1 for _, v in out["leaderboard"]) and out["auc"] > 0.6
