@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dichot.llm.spark import written
+from dichot.llm.spark import freed, written
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -28,8 +28,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         step = large.where("hi <> lo").union(loops).distinct()
         least = step.groupBy("hi").agg(F.min("lo").alias("m"))
         small = step.join(least, "hi")
+        before = edges
         edges = written(small.select("hi", F.col("m").alias("lo"))
                         .union(small.select(F.col("lo"), F.col("m"))).distinct(), "links")
+        freed(before)
         # a forest of stars: every node points at its root, and no root at another
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:

@@ -13,8 +13,8 @@ as one shingle).  Two documents are linked when ``100 * |A and B| >= percent *
    their ``coordinates - match + 1`` rarest pairs, so only this prefix of each
    signature is kept in the lists.
 3. Members of one list are compared by two-bit signatures (a count of equal
-   coordinates), set sizes and parity bitmaps; pairs at or above the match
-   threshold are confirmed on the full sets.  A parity bitmap has one bit per
+   coordinates) and set sizes; each pair that passes in some list is then looked
+   at once, by parity bitmaps, and confirmed on the full sets.  A parity bitmap has one bit per
    hash bin, set when an odd number of shingles falls there.  Bins where two
    bitmaps differ each hold a shingle that only one of the sets has, so their
    count never exceeds the symmetric difference, and a pair whose count is
@@ -25,13 +25,16 @@ as one shingle).  Two documents are linked when ``100 * |A and B| >= percent *
    with it and that are outside the largest component of the list or have been
    hubs before.  A pair that stays unconnected has therefore been tested when
    the later of the two was a hub, so no link between components is lost, and
-   a group of n mutual copies costs about n comparisons.
+   a group of n mutual copies costs about n comparisons.  Lists hold slim rows,
+   a list leaves once its members are connected or were all hubs, and the files
+   of a round are deleted when the next has written its own.
 
 With 64 coordinates and a threshold of 32, a pair at similarity 0.8 misses the
 threshold with probability 2e-7; higher similarities with less.
 
 Defined results: a text without words (or null) has an empty set and is linked
-with nothing; rows that repeat a ``doc_id`` share its component; a null
+with nothing; rows that repeat a ``doc_id``, also with other texts, are one
+document, whose classes are linked, and are returned one by one; a null
 ``doc_id`` is kept, forms its own component with a null id, and does not take
 part in links; no rows give no rows; further columns are ignored.
 """
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dichot.llm.components import components
-from dichot.llm.spark import checked_broadcast, ready, written
+from dichot.llm.spark import checked_broadcast, freed, ready, written
 from dichot.llm.text import Words, binary, mix, slices
 
 COORDINATES = 64
@@ -56,6 +59,9 @@ LOW_BITS_MATCH = 38
 BITMAP_WORDS = 8
 _BITMAP = [f"b{k}" for k in range(BITMAP_WORDS)]
 BROADCAST_IDS = 1 << 21
+#: a class of so many rows, and of a 2^-20 share of all, is joined by broadcast (at most 2^20 classes are)
+HOT_ROWS = 1000
+_DIGEST = ["one", "two", "n_shingles"]
 _U = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)) | _U(1)
 
@@ -84,6 +90,12 @@ def _sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
+def _digests(value: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two 64-bit sums of each set (sets begin at ``begin``) and the mixed values of the second."""
+    mixed = mix(value ^ _U(0x5851F42D4C957F2D))
+    return np.add.reduceat(mix(value), begin), np.add.reduceat(mixed, begin), mixed
+
+
 def _signatures(n: int):
     """Per document: set size, a 128-bit digest of the set, the signature, and
     the parity bitmap."""
@@ -98,9 +110,7 @@ def _signatures(n: int):
                 sig = np.zeros((len(size), COORDINATES), dtype=np.uint32)
                 bitmap = np.zeros((BITMAP_WORDS, len(size)), dtype=np.uint64)
                 if len(full):
-                    one[full] = np.add.reduceat(mix(value), begin)
-                    mixed = mix(value ^ _U(0x5851F42D4C957F2D))
-                    two[full] = np.add.reduceat(mixed, begin)
+                    one[full], two[full], mixed = _digests(value, begin)
                     bit, word = _U(1) << (mixed & _U(63)), (mixed >> _U(6)) % _U(BITMAP_WORDS)
                     for k in range(BITMAP_WORDS):
                         bitmap[k, full] = np.bitwise_xor.reduceat(np.where(word == _U(k), bit, _U(0)), begin)
@@ -118,12 +128,22 @@ def _signatures(n: int):
 
 
 def _full_sets(n: int):
+    """The sets of the rows whose text is that of the class they were looked up for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 value, first = _sets(part.column("text"), n)
-                rows = [value[first[i]:first[i + 1]].tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), binary(rows)], names=["rep", "elements"])
+                size = np.diff(first)
+                one, two = part.column("one").to_numpy().view(np.uint64), part.column("two").to_numpy().view(np.uint64)
+                full = np.flatnonzero(size)
+                same = np.zeros(len(size), dtype=bool)
+                if len(full):
+                    x, y, _ = _digests(value, first[:-1][full])
+                    same[full] = (x == one[full]) & (y == two[full])
+                rows = np.flatnonzero(same)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rep").take(pa.array(rows)), binary([value[first[i]:first[i + 1]].tobytes() for i in rows])],
+                    names=["rep", "elements"])
     return run
 
 
@@ -164,18 +184,18 @@ def _equal_coordinates() -> F.Column:
 
 
 def _near_enough(percent: int) -> F.Column:
-    """Whether the parity bitmaps of two postings allow the similarity: linked
-    sets differ in at most ``(100 - percent) / (100 + percent)`` of their summed sizes."""
+    """Whether the parity bitmaps of a pair allow the similarity: linked sets
+    differ in at most ``(100 - percent) / (100 + percent)`` of their summed sizes."""
     apart = F.lit(0)
     for b in _BITMAP:
-        apart = apart + F.bit_count(F.col(f"h.{b}").bitwiseXOR(F.col(f"m.{b}")))
-    return apart * (100 + percent) <= (F.col("h.n") + F.col("m.n")) * (100 - percent)
+        apart = apart + F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}")))
+    return apart * (100 + percent) <= (F.col("x.n_shingles") + F.col("y.n_shingles")) * (100 - percent)
 
 
-def _postings(reps: DataFrame) -> DataFrame:
-    """``key, rep, n, s1, s2, b0.., weight``: the prefix lists; ``weight`` is how many
+def _postings(classes: DataFrame) -> DataFrame:
+    """``key, rep, n, s1, s2, weight``: the prefix lists; ``weight`` is how many
     postings share a pair with the member, so an original outweighs its copies."""
-    tokens = reps.select("rep", F.posexplode("signature").alias("coordinate", "value")).select(
+    tokens = classes.select("rep", F.posexplode("signature").alias("coordinate", "value")).select(
         F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(
             F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("key"), "rep")
     held = tokens.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
@@ -185,62 +205,70 @@ def _postings(reps: DataFrame) -> DataFrame:
               .withColumn("alone", F.lit(COORDINATES) - F.count("*").over(mine))
               .withColumn("weight", F.sum("held").over(mine))
               .where(F.col("place") + F.col("alone") <= COORDINATES - MATCH + 1).select("key", "rep", "weight"))
-    facts = reps.select("rep", "n", _two_bits(0).alias("s1"), _two_bits(1).alias("s2"), *_BITMAP)
-    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", *_BITMAP, "weight")
+    facts = classes.select("rep", F.col("n_shingles").alias("n"), _two_bits(0).alias("s1"), _two_bits(1).alias("s2"))
+    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", "weight")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-    mine = texts.join(checked_broadcast(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi")
-    sets = mine.mapInArrow(_full_sets(n), "rep long, elements binary").dropDuplicates(["rep"])
-    sets = written(sets, "near-sets")
-    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("left")), "a")
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, repeated: bool, n: int, percent: int) -> DataFrame:
+    """The links among candidate pairs of classes: by bitmaps, then on full sets."""
+    facts = classes.select("rep", "n_shingles", *_BITMAP)
+    close = (pairs.join(facts.alias("x"), F.col("a") == F.col("x.rep")).join(facts.alias("y"), F.col("b") == F.col("y.rep"))
+             .where(_near_enough(percent)).select("a", "b"))
+    close = written(close, "near-close")
+    ids = close.select(F.col("a").alias("rep")).union(close.select("b")).distinct()
+    wanted = written(classes.select("rep", F.col("lowest").alias("doc_id"), "one", "two").join(ids, "rep"), "near-wanted")
+    mine = texts.join(checked_broadcast(wanted, wanted.count(), BROADCAST_IDS), "doc_id")
+    sets = mine.select("rep", "one", "two", "text").mapInArrow(_full_sets(n), "rep long, elements binary")
+    sets = written(sets.dropDuplicates(["rep"]) if repeated else sets, "near-sets")
+    both = (close.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("left")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("right")), "b"))
-    return both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long")
+    links = written(both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long"), "near-links")
+    freed(close, wanted, sets)
+    return links
 
 
-def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id, n_links, kept`` for every row
-    of ``docs`` (``doc_id`` integer, ``text``).  ``class_id`` is the smallest
-    document with an equal set; ``n_links`` counts the confirmed links of the
-    class that joined components (not all pairs of a group)."""
-    if n < 1 or not 50 <= percent <= 100:
-        raise ValueError("n must be positive and percent from 50 to 100")
-    spark = ready(docs)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(docs.mapInArrow(
-        _signatures(n), "doc_id long, n_shingles long, one long, two long, signature array<int>"
-        + "".join(f", {b} long" for b in _BITMAP)), "near-signatures")
-    real = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = (real.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    member = real.select("doc_id", "one", "two", "n_shingles").join(classes, ["one", "two", "n_shingles"]) \
-                 .select("doc_id", "rep").distinct()
-    member = written(member, "near-members")
-    first = member.groupBy("rep").agg(F.lit(1).alias("any"))
-    reps = (real.join(first, real.doc_id == first.rep).select("rep", F.col("n_shingles").alias("n"), "signature", *_BITMAP)
-            .dropDuplicates(["rep"]))
-    lists = written(_postings(written(reps, "near-reps")), "near-lists")
-    texts = docs.where("doc_id is not null")
-
-    roots = None
+def _one_document(real: DataFrame, classes: DataFrame) -> tuple[DataFrame | None, bool]:
+    """Links ``a, b`` between the classes of ids that repeat with several texts,
+    and whether any id repeats at all."""
+    digest = F.struct(*_DIGEST)
+    ids = real.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min(digest).alias("low"), F.max(digest).alias("high"))
+    ids = written(ids.where("rows > 1"), "near-repeated")
+    many = ids.where("low <> high").select("doc_id", "low")
+    if many.isEmpty():
+        return None, not ids.isEmpty()
+    pairs = real.join(many, "doc_id").select(*_DIGEST, "low").distinct()
+    key = classes.select("rep", *_DIGEST)
+    low = key.select(F.col("rep").alias("a"), digest.alias("low"))
+    return written(pairs.join(low, "low").join(key, _DIGEST).where("a <> rep").select("a", F.col("rep").alias("b")), "near-same"), True
+
+
+def _all_links(classes: DataFrame, lists: DataFrame, texts: DataFrame, same: DataFrame | None, repeated: bool, n: int,
+               percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """The confirmed links that join components, and ``rep, root``."""
     links = None
+    roots = None if same is None else written(components(same, "a", "b").withColumnRenamed("node", "rep"), "near-roots")
     low, high = 0, 0
+    # lists up to this size have had all their pairs tested
+    tested = 1
     rounds = 0
     while True:
-        now = lists if roots is None else (
+        now = lists.withColumn("root", F.col("rep")) if roots is None else (
             lists.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
-        now = now if roots is not None else now.withColumn("root", F.col("rep"))
         share = now.groupBy("key", "root").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("rep")).alias("less"))).alias("head"))
         # the largest component of each list, its size, its most central member
         heads = share.groupBy("key").agg(
             F.sum("c").alias("size"), F.count("*").alias("parts"), F.max(F.struct("c", "root")).alias("top"),
-            F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > low))
-        open_lists = now.join(heads, "key").select(
-            "key", "rep", "n", "s1", "s2", *_BITMAP, "root", "size", (-F.col("head.less")).alias("centre"), F.col("top.root").alias("giant"),
-            F.col("top.c").alias("giant_size"))
-        open_lists = written(open_lists, "near-open")
+            F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > tested))
+        open_lists = written(now.join(heads, "key").select(
+            "key", "rep", "n", "s1", "s2", "weight", "root", "size", (-F.col("head.less")).alias("centre"),
+            F.col("top.root").alias("giant"), F.col("top.c").alias("giant_size")), "near-open")
+        # lists that are closed now stay closed: components only grow
+        freed(lists)
+        lists = open_lists.select("key", "rep", "n", "s1", "s2", "weight")
+        lists.written_to = open_lists.written_to
         if open_lists.isEmpty():
-            break
+            freed(lists)
+            return links, roots
         place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) * F.col("size") / F.lit(float(1 << 30))
         if rounds == 0:
             hubs = open_lists.where("rep = centre")
@@ -252,25 +280,70 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
         pair = hubs.alias("h").join(rest.alias("m"), (F.col("h.key") == F.col("m.key")) & (F.col("h.root") != F.col("m.root"))
                                     & (F.col("h.n") * 100 >= F.col("m.n") * percent)
                                     & (F.col("m.n") * 100 >= F.col("h.n") * percent)
-                                    & (_equal_coordinates() >= LOW_BITS_MATCH) & _near_enough(percent))
+                                    & (_equal_coordinates() >= LOW_BITS_MATCH))
         pairs = written(pair.select(F.least("h.rep", "m.rep").alias("a"), F.greatest("h.rep", "m.rep").alias("b")).distinct(),
                         "near-pairs")
         if not pairs.isEmpty():
-            fresh = written(_verified(pairs, texts, n, percent), "near-links")
+            fresh = _verified(pairs, classes, texts, repeated, n, percent)
             links = fresh if links is None else links.union(fresh)
             edges = fresh
             if roots is not None:
                 edges = fresh.union(roots.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+            before = roots
             roots = written(components(edges, "a", "b").withColumnRenamed("node", "rep"), "near-roots")
+            freed(before)
+        freed(pairs)
+        # the centre's round has tested lists of two, and pairs of hubs those of up to ``high``
+        tested = 2 if rounds == 0 else high
         low, high = (0, 4) if rounds == 0 else (high, high * 8)
         rounds += 1
-    out = signed.select("doc_id", "n_shingles").join(member, "doc_id", "left")
+
+
+def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_id, n_links, kept`` for every row
+    of ``docs`` (``doc_id`` integer, ``text``).  ``class_id`` is the smallest
+    document with an equal set; ``n_links`` counts the confirmed links of the
+    class that joined components (not all pairs of a group).  ``percent`` is 80
+    or more: the match threshold is set for that."""
+    if n < 1 or not 80 <= percent <= 100:
+        raise ValueError("n must be positive and percent from 80 to 100")
+    ready(docs)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed = written(docs.mapInArrow(
+        _signatures(n), "doc_id long, n_shingles long, one long, two long, signature array<int>"
+        + "".join(f", {b} long" for b in _BITMAP)), "near-signatures")
+    real = signed.where("n_shingles > 0 and doc_id is not null")
+    classes = real.groupBy(*_DIGEST).agg(F.min("doc_id").alias("lowest"), F.count("*").alias("members"),
+                                         *(F.any_value(c).alias(c) for c in ("signature", *_BITMAP)))
+    # a number of its own for every class: one document may be the smallest of several
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    same, repeated = _one_document(real, classes)
+    lists = written(_postings(classes), "near-lists")
+    links, roots = _all_links(classes, lists, docs.where("doc_id is not null"), same, repeated, n, percent)
+
+    told = classes.select(*_DIGEST, "rep", "lowest", "members")
     if roots is not None:
+        told = told.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        smallest = written(told.groupBy("root").agg(F.min("lowest").alias("component")), "near-components")
+        told = told.join(checked_broadcast(smallest, smallest.count(), BROADCAST_IDS), "root")
+    else:
+        told = told.withColumn("component", F.col("lowest"))
+    if links is not None:
         degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-        out = out.join(roots, "rep", "left").join(degree, "rep", "left")
+        told = told.join(degree, "rep", "left")
     else:
-        out = out.withColumn("root", F.lit(None).cast("long")).withColumn("n_links", F.lit(0).cast("long"))
-    component = F.coalesce("root", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id"),
+        told = told.withColumn("n_links", F.lit(0).cast("long"))
+    told = written(told.drop("root", "rep"), "near-told")
+    rows = signed.select("doc_id", *_DIGEST)
+    # exact copies of one text are joined where they lie, not in one task
+    least = max(HOT_ROWS, (told.agg(F.sum("members")).first()[0] or 0) >> 20)
+    hot = F.broadcast(told.where(F.col("members") >= least))
+    met = F.col("doc_id").isNotNull()
+    facts = ["doc_id", "n_shingles", "lowest", "component", "n_links"]
+    out = (rows.where(met).join(hot, _DIGEST).select(facts)
+           .union(rows.where(met).join(hot, _DIGEST, "left_anti").join(told.where(F.col("members") < least), _DIGEST, "left").select(facts))
+           .union(rows.where(~met).select("doc_id", "n_shingles", *(F.lit(None).cast("long") for _ in range(3)))))
+    component = F.coalesce("component", "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce("lowest", "doc_id").alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -28,7 +28,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     and read it back.  The files survive the loss of any executor."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def freed(*tables: DataFrame | None) -> None:
+    """Delete the files of :func:`written` tables that no later plan reads."""
+    for df in tables:
+        if df is not None:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

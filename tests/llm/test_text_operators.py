@@ -69,6 +69,51 @@ def test_near_duplicates(docs):
     assert near_dup.near_duplicates(docs.limit(0), n=2).count() == 0
 
 
+def test_near_duplicates_equal_brute_force(spark):
+    """Repeated ids with other texts, ties, exact and near copies, a group with a hub, and short texts."""
+    r = random.Random(11)
+    rows = [(7, "a b c d e"), (7, "p q r s t u"), (3, "a b c d e"), (9, "p q r s t u"), (None, "a b c d e"), (20, ""), (21, None), (22, "one")]
+    for i in range(12):
+        base = words(200 + i, r.randrange(5, 80))
+        for j in range(r.randrange(1, 9)):
+            copy = list(base)
+            for _ in range(r.randrange(0, 5)):
+                copy[r.randrange(len(copy))] = f"z{r.randrange(50)}"
+            rows.append((100 + 10 * i + j, " ".join(copy)))
+    rows += [(400 + i, "same text in many rows here") for i in range(1200)]
+    table = frame(spark, [(i, t, "en", "a") for i, t in rows])
+
+    def grams(t):
+        w = (t or "").lower().split()
+        return frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset(map(tuple, [w] if w else []))
+    sets = {}
+    for i, t in rows:
+        if i is not None and grams(t):
+            sets.setdefault(grams(t), set()).add(i)
+    root = {i: i for ids in sets.values() for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    def join(a, b):
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    for x, ids in sets.items():
+        for i in ids:
+            join(min(ids), i)
+        for y, others in sets.items():
+            if 100 * len(x & y) >= 80 * len(x | y):
+                join(min(ids), min(others))
+    want = sorted(((i, len(grams(t)), find(i) if i in root else i) for i, t in rows), key=repr)
+    got = near_dup.near_duplicates(table, n=2).collect()
+    assert sorted(((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got), key=repr) == want
+    assert all(x["kept"] == (x["doc_id"] == x["component_id"]) for x in got)
+    with pytest.raises(ValueError):
+        near_dup.near_duplicates(table, n=2, percent=79)
+
+
 def test_decontamination(spark, docs):
     base = words(1, 120)
     items = spark.createDataFrame([(1, " ".join(base[30:60])), (2, None), (3, ""), (4, "too short"), (None, " ".join(base)),
