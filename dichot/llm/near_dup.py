@@ -13,8 +13,8 @@ as one shingle).  Two documents are linked when ``100 * |A and B| >= percent *
    their ``coordinates - match + 1`` rarest pairs, so only this prefix of each
    signature is kept in the lists.
 3. Members of one list are compared by two-bit signatures (a count of equal
-   coordinates) and set sizes; each pair that passes in some list is then looked
-   at once, by parity bitmaps, and confirmed on the full sets.  A parity bitmap has one bit per
+   coordinates), set sizes and parity bitmaps; pairs at or above the match
+   threshold are confirmed on the full sets.  A parity bitmap has one bit per
    hash bin, set when an odd number of shingles falls there.  Bins where two
    bitmaps differ each hold a shingle that only one of the sets has, so their
    count never exceeds the symmetric difference, and a pair whose count is
@@ -59,8 +59,13 @@ LOW_BITS_MATCH = 38
 BITMAP_WORDS = 8
 _BITMAP = [f"b{k}" for k in range(BITMAP_WORDS)]
 BROADCAST_IDS = 1 << 21
+#: hubs, heads and roots of a round are broadcast up to so many rows, and shuffled beyond
+BROADCAST_ROUND = 1 << 16
+#: from round to round, how much the share of hubs grows
+GROWTH = 16
 #: a class of so many rows, and of a 2^-20 share of all, is joined by broadcast (at most 2^20 classes are)
 HOT_ROWS = 1000
+_POSTED = ["n", "s1", "s2", *_BITMAP, "weight"]
 _DIGEST = ["one", "two", "n_shingles"]
 _U = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)) | _U(1)
@@ -184,16 +189,16 @@ def _equal_coordinates() -> F.Column:
 
 
 def _near_enough(percent: int) -> F.Column:
-    """Whether the parity bitmaps of a pair allow the similarity: linked sets
-    differ in at most ``(100 - percent) / (100 + percent)`` of their summed sizes."""
+    """Whether the parity bitmaps of two postings allow the similarity: linked
+    sets differ in at most ``(100 - percent) / (100 + percent)`` of their summed sizes."""
     apart = F.lit(0)
     for b in _BITMAP:
-        apart = apart + F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}")))
-    return apart * (100 + percent) <= (F.col("x.n_shingles") + F.col("y.n_shingles")) * (100 - percent)
+        apart = apart + F.bit_count(F.col(f"h.{b}").bitwiseXOR(F.col(f"m.{b}")))
+    return apart * (100 + percent) <= (F.col("h.n") + F.col("m.n")) * (100 - percent)
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """``key, rep, n, s1, s2, weight``: the prefix lists; ``weight`` is how many
+    """``key, rep, n, s1, s2, b0.., weight``: the prefix lists; ``weight`` is how many
     postings share a pair with the member, so an original outweighs its copies."""
     tokens = classes.select("rep", F.posexplode("signature").alias("coordinate", "value")).select(
         F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(
@@ -205,25 +210,22 @@ def _postings(classes: DataFrame) -> DataFrame:
               .withColumn("alone", F.lit(COORDINATES) - F.count("*").over(mine))
               .withColumn("weight", F.sum("held").over(mine))
               .where(F.col("place") + F.col("alone") <= COORDINATES - MATCH + 1).select("key", "rep", "weight"))
-    facts = classes.select("rep", F.col("n_shingles").alias("n"), _two_bits(0).alias("s1"), _two_bits(1).alias("s2"))
-    return prefix.join(facts, "rep").select("key", "rep", "n", "s1", "s2", "weight")
+    facts = classes.select("rep", F.col("n_shingles").alias("n"), _two_bits(0).alias("s1"), _two_bits(1).alias("s2"), *_BITMAP)
+    return prefix.join(facts, "rep").select("key", "rep", *_POSTED)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, repeated: bool, n: int, percent: int) -> DataFrame:
-    """The links among candidate pairs of classes: by bitmaps, then on full sets."""
-    facts = classes.select("rep", "n_shingles", *_BITMAP)
-    close = (pairs.join(facts.alias("x"), F.col("a") == F.col("x.rep")).join(facts.alias("y"), F.col("b") == F.col("y.rep"))
-             .where(_near_enough(percent)).select("a", "b"))
-    close = written(close, "near-close")
-    ids = close.select(F.col("a").alias("rep")).union(close.select("b")).distinct()
-    wanted = written(classes.select("rep", F.col("lowest").alias("doc_id"), "one", "two").join(ids, "rep"), "near-wanted")
+    """The links among candidate pairs of classes, on full sets."""
+    ids = written(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "near-ids")
+    wanted = written(classes.select("rep", F.col("lowest").alias("doc_id"), "one", "two")
+                     .join(checked_broadcast(ids, ids.count(), BROADCAST_IDS), "rep"), "near-wanted")
     mine = texts.join(checked_broadcast(wanted, wanted.count(), BROADCAST_IDS), "doc_id")
     sets = mine.select("rep", "one", "two", "text").mapInArrow(_full_sets(n), "rep long, elements binary")
     sets = written(sets.dropDuplicates(["rep"]) if repeated else sets, "near-sets")
-    both = (close.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("left")), "a")
+    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("left")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("right")), "b"))
     links = written(both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long"), "near-links")
-    freed(close, wanted, sets)
+    freed(ids, wanted, sets)
     return links
 
 
@@ -253,22 +255,24 @@ def _all_links(classes: DataFrame, lists: DataFrame, texts: DataFrame, same: Dat
     rounds = 0
     while True:
         now = lists.withColumn("root", F.col("rep")) if roots is None else (
-            lists.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+            lists.join(checked_broadcast(roots, roots.count(), BROADCAST_ROUND), "rep", "left")
+            .withColumn("root", F.coalesce("root", "rep")))
         share = now.groupBy("key", "root").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("rep")).alias("less"))).alias("head"))
         # the largest component of each list, its size, its most central member
-        heads = share.groupBy("key").agg(
+        heads = written(share.groupBy("key").agg(
             F.sum("c").alias("size"), F.count("*").alias("parts"), F.max(F.struct("c", "root")).alias("top"),
-            F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > tested))
-        open_lists = written(now.join(heads, "key").select(
-            "key", "rep", "n", "s1", "s2", "weight", "root", "size", (-F.col("head.less")).alias("centre"),
+            F.max("head").alias("head")).where((F.col("parts") > 1) & (F.col("size") > tested)), "near-heads")
+        n_heads = heads.count()
+        if not n_heads:
+            freed(heads, lists)
+            return links, roots
+        open_lists = written(now.join(checked_broadcast(heads, n_heads, BROADCAST_ROUND), "key").select(
+            "key", "rep", *_POSTED, "root", "size", (-F.col("head.less")).alias("centre"),
             F.col("top.root").alias("giant"), F.col("top.c").alias("giant_size")), "near-open")
         # lists that are closed now stay closed: components only grow
-        freed(lists)
-        lists = open_lists.select("key", "rep", "n", "s1", "s2", "weight")
+        freed(heads, lists)
+        lists = open_lists.select("key", "rep", *_POSTED)
         lists.written_to = open_lists.written_to
-        if open_lists.isEmpty():
-            freed(lists)
-            return links, roots
         place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) * F.col("size") / F.lit(float(1 << 30))
         if rounds == 0:
             hubs = open_lists.where("rep = centre")
@@ -277,10 +281,11 @@ def _all_links(classes: DataFrame, lists: DataFrame, texts: DataFrame, same: Dat
         # members of the largest component wait until they have been hubs themselves; while
         # every component is one class there is no largest one
         rest = open_lists.where((F.col("giant_size") == 1) | (F.col("root") != F.col("giant")) | (place < high))
+        hubs = checked_broadcast(hubs, hubs.count(), BROADCAST_ROUND)
         pair = hubs.alias("h").join(rest.alias("m"), (F.col("h.key") == F.col("m.key")) & (F.col("h.root") != F.col("m.root"))
                                     & (F.col("h.n") * 100 >= F.col("m.n") * percent)
                                     & (F.col("m.n") * 100 >= F.col("h.n") * percent)
-                                    & (_equal_coordinates() >= LOW_BITS_MATCH))
+                                    & (_equal_coordinates() >= LOW_BITS_MATCH) & _near_enough(percent))
         pairs = written(pair.select(F.least("h.rep", "m.rep").alias("a"), F.greatest("h.rep", "m.rep").alias("b")).distinct(),
                         "near-pairs")
         if not pairs.isEmpty():
@@ -295,7 +300,7 @@ def _all_links(classes: DataFrame, lists: DataFrame, texts: DataFrame, same: Dat
         freed(pairs)
         # the centre's round has tested lists of two, and pairs of hubs those of up to ``high``
         tested = 2 if rounds == 0 else high
-        low, high = (0, 4) if rounds == 0 else (high, high * 8)
+        low, high = (0, GROWTH) if rounds == 0 else (high, high * GROWTH)
         rounds += 1
 
 
