@@ -4,6 +4,10 @@ Texts are lower-cased and cut into words at everything but letters and digits;
 shingles are ``n`` consecutive words.  A document is contaminated by an item
 when it holds at least ``percent`` of the item's distinct shingles.
 
+An item with fewer than ``n`` words is one shingle of its own length (its whole
+word sequence), in a size partition of its own per length; documents are probed
+by windows of such a length only where some item has it.
+
 Items are partitioned by set size (powers of two).  An item with ``m`` shingles
 may miss ``m - need`` of them, ``need`` being the smallest allowed hit count,
 so its MinHash sketch holds its ``m - need + 1`` smallest hash values: any
@@ -18,8 +22,8 @@ a fixed number of entries, one search per block, so its size per search is
 bounded however many items there are; the hot passage that many documents hold
 only makes rows in its own documents.
 
-Defined results: null or empty texts, and items or documents with fewer than
-``n`` words, have no shingles and are in no pair; rows that repeat a
+Defined results: null or empty texts, and texts without a letter or digit, have
+no shingles and are in no pair; a document shorter than an item does not hold it; rows that repeat a
 ``doc_id`` or an ``item_id`` are judged together by their best pair; null ids
 are in no pair; an empty table gives no rows; further columns are ignored.
 """
@@ -38,22 +42,42 @@ PERCENT = 80
 BLOCK_ENTRIES = 1 << 20
 
 
-def shingle_sets(df: DataFrame, key: str, n: int) -> DataFrame:
-    """``key, shingles``: the distinct shingle hashes of every text (null where it
-    has none).  The words are bound to a lambda variable, so they are computed
-    once per text wherever the optimizer moves the expression."""
+def shingle_sets(df: DataFrame, key: str, n: int, lengths: list[int], whole: bool = False) -> DataFrame:
+    """``key, shingles``: the distinct hashes of every text's windows of ``n`` words
+    (null where it has none).  With ``whole``, a shorter text is one window of its
+    own length; otherwise windows of the given shorter ``lengths`` are added.  The
+    words are bound to a lambda variable, so they are computed once per text
+    wherever the optimizer moves the expression."""
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
-    def shingles(w):
+    def windows(w, k):
         def one(i):
-            return F.xxhash64(*(F.get(w, i + k) for k in range(n)))
-        return F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - n), one)))
+            # windows of other lengths are told apart by their length
+            return F.xxhash64(*([] if k == n else [F.lit(k)]), *(F.get(w, i + j) for j in range(k)))
+        return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), one))
+
+    def shingles(w):
+        own = windows(w, n)
+        if whole:
+            for k in range(1, n):
+                own = F.when(F.size(w) == k, windows(w, k)).otherwise(own)
+        elif lengths:
+            none = F.array().cast("array<bigint>")
+            own = F.concat(*(F.coalesce(windows(w, k), none) for k in (n, *lengths)))
+        return F.array_distinct(own)
     return df.select(F.col(key).cast("long").alias(key), F.get(F.transform(F.array(words), shingles), F.lit(0)).alias("shingles"))
 
 
+def short_lengths(items: DataFrame, n: int) -> list[int]:
+    """The word counts below ``n`` that items have (at most ``n - 1`` numbers)."""
+    count = F.size(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    few = items.where("item_id is not null and text is not null").select(count.alias("k")).where(F.col("k").between(1, n - 1))
+    return sorted(r["k"] for r in few.distinct().collect())
+
+
 def sketches(items: DataFrame, n: int, percent: int) -> DataFrame:
     """``item_id, item_set, need, partition, value``: one row per sketch entry."""
-    sets = written(shingle_sets(items, "item_id", n), "decontam-items").where("item_id is not null and shingles is not null")
+    sets = written(shingle_sets(items, "item_id", n, [], whole=True), "decontam-items").where("item_id is not null and size(shingles) > 0")
     need = F.expr(f"({percent} * size(shingles) + 99) div 100")
     return (sets.withColumn("need", need)
             .withColumn("partition", F.floor(F.log2(F.size("shingles"))).cast("int"))
@@ -71,7 +95,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = SHINGLE, percent: i
     index = written(sketches(items, n, percent), "decontam-sketches")
     entries = index.count()
     blocks = max(1, -(-entries // block))
-    sets = shingle_sets(docs.select("doc_id", "text"), "doc_id", n)
+    sets = shingle_sets(docs.select("doc_id", "text"), "doc_id", n, short_lengths(items, n))
     probes = sets.select("doc_id", "shingles", F.explode_outer("shingles").alias("value"))
     found = []
     for b in range(blocks):

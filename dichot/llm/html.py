@@ -7,25 +7,27 @@ with digits generalised (``html/body/div.post-#``).
 
 1. Each page scores its containers: the characters of the blocks below a
    container, less those in links twice.  Boilerplate containers (by tag, role,
-   class or id) and what is below them score nothing.
-2. The pages of a host vote in Spark: the scores of equal paths, as shares of
-   the page, are summed, and the deepest path with the largest sum wins.  So a
-   container wins over the one around it only if no page of the host has text
-   between the two.  Votes are combined map-side, so a hot host is a few rows
-   per task.
+   class or id) and what is below them score nothing, and so does a block that
+   recurs: one that at least half of the different pages of its host hold, and
+   two at least.  Pages with equal blocks are one page here, so copies of an
+   article do not make it recur.
+2. The pages of a host vote in Spark: each page has one vote, for the deepest of
+   its containers with the highest score, and the path with most votes wins.
+   Votes are combined map-side, so a hot host is a few rows per task.
 3. Every page is extracted again with the winning path of its host.  A page
    that lacks the path uses its own best container.
 
 Defined results: a null or empty html, or one without text, gives an empty
 text; a null url is a host of its own (no name); rows that repeat a
-``page_id`` vote and are extracted one by one; ties go to the deepest path, then
-to the first by name; no rows give no rows; further columns are ignored.
+``page_id`` vote and are extracted one by one; ties of votes go to the path nearer
+to the root, then to the first by name; no rows give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -36,8 +38,6 @@ from dichot.llm.spark import checked_broadcast, ready, written
 from dichot.llm.text import slices
 
 BROADCAST_HOSTS = 1 << 17
-#: the votes of a page for a path that holds all of its text
-FULL = 10**9
 
 # fixed values: HTML elements
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr mspace".split())
@@ -156,8 +156,9 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             continue
         said = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(more)} \
             if more and _TELLING.search(more) else {}
-        skip = tag in _SKIP or "hidden" in said or said.get("aria-hidden") == "true" or said.get("role") in _ROLES \
-            or tag not in ("html", "body", "main", "article") and any(_BOILER.search(said[k]) for k in ("class", "id") if said.get(k))
+        own = tag == "header" and any(e.tag == "article" for e in stack)
+        skip = tag in _SKIP and not own or "hidden" in said or said.get("aria-hidden") == "true" or said.get("role") in _ROLES \
+            or tag not in ("html", "body", "main", "article") and not own and any(_BOILER.search(said[k]) for k in ("class", "id") if said.get(k))
         path = top.path
         if tag in _CONTAINER:
             name = ".".join([tag, *sorted((said.get("class") or "").split())])
@@ -174,12 +175,17 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def scores(found: list[tuple[str, str, int]]) -> dict[str, int]:
-    """The score of every container that holds a block with text outside links."""
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def scores(found: list[tuple[str, str, int]], recurring: frozenset[int] = frozenset()) -> dict[str, int]:
+    """The score of every container that holds a block with text outside links
+    other than the recurring ones (by hash)."""
     held: dict[str, int] = {}
     for path, block, linked in found:
         good = len(block) - 2 * linked
-        if good > 0:
+        if good > 0 and not (recurring and _hash(block) in recurring):
             steps = path.split("/")
             for i in range(1, len(steps)):
                 name = "/".join(steps[:i + 1])
@@ -187,18 +193,36 @@ def scores(found: list[tuple[str, str, int]]) -> dict[str, int]:
     return held
 
 
-def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def best(held: dict[str, int]) -> str:
+    """The deepest container with the highest score."""
+    return min(held, key=lambda k: (-held[k], -k.count("/"), k))
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct block hashes of every page, under a hash of the whole page."""
     for batch in batches:
-        host, path, score = [], [], []
+        host, page, block = [], [], []
         for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            found = scores(blocks(html)) if html else {}
-            best = max(found.values(), default=0)
-            for k, v in found.items():
+            told = [text for _, text, _ in blocks(html)] if html else []
+            whole = _hash("\n".join(told))
+            for h in {_hash(t) for t in told}:
+                host.append(name)
+                page.append(whole)
+                block.append(h)
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(block, pa.int64())],
+                                         names=["host", "page", "block"])
+
+
+def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        host, path = [], []
+        for name, html, known in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "recurring"))):
+            found = blocks(html) if html else []
+            held = scores(found, frozenset(known or ())) or scores(found)
+            if held:
                 host.append(name)
-                path.append(k)
-                score.append(FULL * v // best)
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(score, pa.int64())],
-                                         names=["host", "path", "score"])
+                path.append(best(held))
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string())], names=["host", "path"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +234,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = _below(found, path)
                 if not mine and found:
                     own = scores(found)
-                    mine = _below(found, min(own, key=lambda k: (-own[k], -k.count("/"), k))) if own else [block for _, block, _ in found]
+                    mine = _below(found, best(own)) if own else [block for _, block, _ in found]
                 texts.append("\n".join(mine))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
@@ -226,14 +250,30 @@ def host_of(url: str) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def recurring(told: DataFrame) -> DataFrame:
+    """``of_host, recurring``: hashes of the blocks that at least half of a host's
+    different pages hold (two at least); their number per host is at most twice
+    the blocks of an average page.  ``told`` holds ``host, html``."""
+    seen = told.mapInArrow(_seen, "host string, page long, block long").distinct()
+    pages = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    held = seen.groupBy("host", "block").agg(F.count("*").alias("held")).where("held > 1")
+    held = written(held, "html-blocks")
+    pages = written(pages, "html-pages").withColumnRenamed("host", "of_host")
+    pages = checked_broadcast(pages, pages.count(), BROADCAST_HOSTS)
+    often = held.join(pages, F.col("host") == F.col("of_host")).where("2 * held >= pages")
+    return often.groupBy("of_host").agg(F.collect_list("block").alias("recurring"))
+
+
 def consensus(pages: DataFrame) -> DataFrame:
     """``host, path``: the winning path of every host of ``pages`` (``url, html``)."""
     ready(pages)
-    votes = pages.select(host_of("url").alias("host"), "html").mapInArrow(_votes, "host string, path string, score long")
-    sums = votes.groupBy("host", "path").agg(F.sum("score").alias("score"))
-    best = sums.groupBy("host").agg(F.max("score").alias("score"))
-    first = F.struct(F.expr("length(replace(path, '/')) - length(path)").alias("above"), "path")
-    return sums.join(best, ["host", "score"]).groupBy("host").agg(F.min(first)["path"].alias("path"))
+    told = pages.select(host_of("url").alias("host"), "html")
+    known = written(recurring(told), "html-recurring")
+    joined = told.join(checked_broadcast(known, known.count(), BROADCAST_HOSTS), F.col("host") == F.col("of_host"), "left")
+    votes = joined.select("host", "html", "recurring").mapInArrow(_votes, "host string, path string")
+    counts = votes.groupBy("host", "path").agg(F.count("*").alias("n"))
+    above = F.expr("length(path) - length(replace(path, '/'))")
+    return counts.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("less"), above.alias("above"), "path"))["path"].alias("path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -55,8 +55,8 @@ def _pieces(path: str, ranks: str | None, capacity: int):
                         crc.append(crc32(ids[4 * at:4 * (at + size)]))
                         at, size, number = at + size, capacity, number + 1
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(row, pa.int64())),
-                     *(pa.array(x, pa.int64()) for x in (piece, start, length, crc))],
+                    [part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
+                     *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: in
         raise ValueError("capacity must be positive")
     ready(docs)
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _pieces(tokenizer, ranks, capacity), "doc_id long, piece long, start long, length long, ids_crc32 long")
+        _pieces(tokenizer, ranks, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = written(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts))), "packing-pieces")
     cells = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     cells = cells.select("length", "salt", "n", (F.sum("n").over(
@@ -154,4 +154,4 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: in
               .join(F.broadcast(cells.drop("n")), ["length", "salt"]).withColumn("rank", F.col("place") + F.col("before")))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         _place(plan(counts, capacity)),
-        "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

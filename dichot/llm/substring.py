@@ -31,6 +31,7 @@ input are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from itertools import compress
 
@@ -45,6 +46,7 @@ from dichot.llm.text import Words, binary, pack_deltas, slices, spread, unpack_d
 WIDTH = 20
 BATCH_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20
+_SPACED = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 _CHECK = 0xA0761D6478BD642F | 1
 
 
@@ -104,14 +106,14 @@ def _probes(width: int, ranges: int, table: pa.Table) -> pa.Table:
     keys = keys[new]
     block = np.unique(b.key[b.fits & (b.start % (width // 2) == 0)])
     batch = table.column("batch")[0].as_py()
-    edges = np.arange(ranges + 1, dtype=np.uint64) << np.uint64(32)
-    cut = [np.searchsorted(x, edges[:-1]).tolist() + [len(x)] for x in (keys, again, block)]
-    rows = [r for r in range(ranges) if cut[0][r + 1] > cut[0][r]]
+    # only ranges that the batch holds: their number is bounded by its words
+    rows = np.unique(keys >> np.uint64(32))
+    cut = [[np.searchsorted(x, (rows + np.uint64(more)) << np.uint64(32)) for more in (0, 1)] for x in (keys, again, block)]
 
     def packed(x, c):
-        return binary([pack_deltas(x[c[r]:c[r + 1]].astype(np.uint32)) for r in rows])
+        return binary([pack_deltas(x[lo:hi].astype(np.uint32)) for lo, hi in zip(*c)])
 
-    return pa.table({"range": pa.array(rows, pa.int64()), "batch": pa.array([batch] * len(rows), pa.int64()),
+    return pa.table({"range": pa.array(rows.astype(np.int64)), "batch": pa.array([batch] * len(rows), pa.int64()),
                      "probes": packed(keys, cut[0]), "twice": packed(again, cut[1]), "blocks": packed(block, cut[2])})
 
 
@@ -179,15 +181,15 @@ def _windows(width: int, ranges: int, docs: pa.Table, hits: pa.Table) -> pa.Tabl
     part = key[first] % np.uint64(ranges)
     first = first[np.argsort(part, kind="stable")]
     part = np.sort(part)
-    cut = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64)).tolist()
-    rows = [r for r in range(ranges) if cut[r + 1] > cut[r]]
+    rows, cut = np.unique(part, return_index=True)
+    cut = [*cut.tolist(), len(part)]
     batch = docs.column("batch")[0].as_py()
     ids = doc.view(np.uint64)
 
     def packed(values, kind):
-        return binary([values[first[cut[r]:cut[r + 1]]].astype(kind).tobytes() for r in rows])
+        return binary([values[first[lo:hi]].astype(kind).tobytes() for lo, hi in zip(cut, cut[1:])])
 
-    return pa.table({"range": pa.array(rows, pa.int64()), "batch": pa.array([batch] * len(rows), pa.int64()),
+    return pa.table({"range": pa.array(rows.astype(np.int64)), "batch": pa.array([batch] * len(rows), pa.int64()),
                      "keys": packed(key, "<u8"), "checks": packed(check, "<u2"),
                      "low": packed(ids & np.uint64(0xFFFFFFFF), "<u4"), "high": packed(ids >> np.uint64(32), "<u4")})
 
@@ -217,8 +219,9 @@ def _later(table: pa.Table) -> pa.Table:
                      "later": binary([key[hit[cut[i]:cut[i + 1]]].astype("<u8").tobytes() for i in keep])})
 
 
-def _strip(width: int, ranges: int, docs: pa.Table, later: pa.Table) -> pa.Table:
-    """Remove the words under hit windows from the documents of a batch."""
+def _strip(width: int, ranges: int, spaced: bool, docs: pa.Table, later: pa.Table) -> pa.Table:
+    """Remove the words under hit windows from the documents of a batch; with
+    ``spaced``, each kept word keeps the white space after it."""
     docs = _ordered(docs)
     b = _Batch(docs, width, ranges, blocks=False, full=True)
     hit = np.zeros(len(b.doc), dtype=bool)
@@ -233,22 +236,25 @@ def _strip(width: int, ranges: int, docs: pa.Table, later: pa.Table) -> pa.Table
     gone = spread(hit, width)
     n_words, n_removed, kept, row = [], [], [], 0
     for text in docs.column("text"):
-        words = (text.as_py() or "").encode().split()
+        raw = (text.as_py() or "").encode()
+        words = _SPACED.findall(raw) if spaced else raw.split()
         mask = gone[row:row + len(words)]
         row += len(words)
         n_words.append(len(words))
         n_removed.append(int(mask.sum()))
-        kept.append(b" ".join(compress(words, (~mask).tolist()) if n_removed[-1] else words))
+        left = compress(words, (~mask).tolist()) if n_removed[-1] else words
+        kept.append(b"".join(left).rstrip() if spaced else b" ".join(left))
     more = {c: docs.column(c) for c in docs.column_names if c.startswith("carry_")}
     return pa.table({"doc_id": docs.column("doc_id"), **more, "n_words": pa.array(n_words, pa.int64()),
                      "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
 
 def strip_repeats(docs: DataFrame, width: int = WIDTH, batch_bytes: int = BATCH_BYTES,
-                  range_bytes: int = RANGE_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+                  range_bytes: int = RANGE_BYTES, carry: Sequence[str] = (), spaced: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` for every row of ``docs``
     (``doc_id`` integer, ``text``); see the module for the rules.  Columns named
-    in ``carry`` come along as ``carry_0``, ``carry_1``, ..."""
+    in ``carry`` come along as ``carry_0``, ``carry_1``, ...  Kept words are joined by
+one space or, with ``spaced``, by the white space that followed each in the text."""
     if width < 4:
         raise ValueError("width must be at least 4")
     spark = ready(docs)
@@ -266,4 +272,4 @@ def strip_repeats(docs: DataFrame, width: int = WIDTH, batch_bytes: int = BATCH_
     later = windows.groupBy("range").applyInArrow(per_group(_later), "batch long, later binary")
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name.startswith("carry_"))
     return by_batch.cogroup(later.groupBy("batch")).applyInArrow(
-        per_pair(_strip, width, ranges), f"doc_id long{kinds}, n_words long, n_removed long, kept_text string")
+        per_pair(_strip, width, ranges, spaced), f"doc_id long{kinds}, n_words long, n_removed long, kept_text string")

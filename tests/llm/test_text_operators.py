@@ -59,6 +59,11 @@ def test_substring(docs):
     got = sorted(map(tuple, substring.strip_repeats(docs).collect()), key=repr)
     assert got == sorted(brute_strip([(r["doc_id"], r["text"]) for r in docs.collect()]), key=repr)
     assert substring.strip_repeats(docs.limit(0)).count() == 0
+    small = sorted(map(tuple, substring.strip_repeats(docs, batch_bytes=3000, range_bytes=10).collect()), key=repr)
+    assert small == got
+    spaced = {r["doc_id"]: r["kept_text"] for r in substring.strip_repeats(docs, spaced=True).collect()}
+    whole = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert spaced[10] == whole[10].rstrip(" ") and "\n\n" in spaced[10] and spaced[4] == "" and spaced[7] == "one"
 
 
 def test_near_duplicates(docs):
@@ -116,10 +121,10 @@ def test_near_duplicates_equal_brute_force(spark):
 
 def test_decontamination(spark, docs):
     base = words(1, 120)
-    items = spark.createDataFrame([(1, " ".join(base[30:60])), (2, None), (3, ""), (4, "too short"), (None, " ".join(base)),
+    items = spark.createDataFrame([(1, " ".join(base[30:60])), (2, None), (3, ""), (4, "too short"), (6, "One?"), (7, "... !"), (8, f"{base[3]}, {base[4]} {base[5]}"), (None, " ".join(base)),
                                    (5, " ".join(words(99, 20)))], "item_id long, text string")
     got = sorted((r["doc_id"], r["item_id"], r["shared"]) for r in decontam.contaminated(docs, items).collect())
-    assert got == [(1, 1, 26), (2, 1, 26), (3, 1, 26), (11, 1, 26)]
+    assert got == [(1, 1, 26), (1, 8, 1), (2, 1, 26), (2, 8, 1), (3, 1, 26), (3, 8, 1), (6, 6, 1), (7, 6, 1), (11, 1, 26)]
     small_blocks = decontam.contaminated(docs, items, block=1)
     assert sorted((r["doc_id"], r["item_id"], r["shared"]) for r in small_blocks.collect()) == got
     assert decontam.contaminated(docs.limit(0), items).count() == 0
@@ -228,6 +233,26 @@ def test_html_keeps_all_article_text(spark):
                    5: "all the text is here"}
 
 
+def test_html_hosts_vote_unknown_boilerplate_out(spark):
+    """A strap of no telling name on all pages, a stray strip on one, an article's own header, and copies of one page."""
+    def article(i, more=""):
+        return f"<article><header class=entry-header><h1>Head {i}</h1></header><p>{' '.join(words(i, 30))}</p>{more}</article>"
+    strap = "<div class=line>Quality since 1920</div>"
+    pages = [(i, "http://a.org/x", f"<body>{strap}{article(i)}</body>") for i in range(10)]
+    pages += [(20 + i, "http://b.org/x", f"<body>{'<div class=strip>Today only</div>' if i == 3 else ''}{article(i)}</body>") for i in range(11)]
+    pages += [(40 + i, "http://c.org/x", f"<body>{article(7)}</body>") for i in range(5)]
+    pages += [(50, "http://d.org/x", f"<body>{strap}{article(1)}</body>")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
+
+    def text(i):
+        return f"Head {i}\n{' '.join(words(i, 30))}"
+    assert all(got[i] == text(i) for i in range(10)) and all(got[20 + i] == text(i) for i in range(11))
+    assert all(got[40 + i] == text(7) for i in range(5))
+    # one page alone cannot tell its strap from its text
+    assert got[50] == "Quality since 1920\n" + text(1)
+
+
 def test_rollups(spark, docs, tmp_path):
     tk = Tokenizer.from_file(PATH)
     rows = [(1, "one two", "en", "a"), (2, "three", None, "a"), (3, None, "en", "a"), (None, "no id", "en", "a")]
