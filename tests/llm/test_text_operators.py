@@ -329,6 +329,34 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
     assert [len(r["text"].split()) for r in docs.where("doc_id = 40").collect()] == [80]
 
 
+def test_pipeline_decides_row_by_row(spark, tmp_path):
+    """Null and repeated ids, a clashing key column, and line breaks beside a passage that goes."""
+    import corpus_pipeline
+    clean = [" ".join(words(500 + i, 60)) for i in range(6)]
+    item, passage = words(77, 12), " ".join(words(78, 30))
+    rows = [(None, clean[0]), (None, clean[0]), (None, "short"), (5, clean[1]), (5, "bad"), (6, clean[1]), (7, f"{clean[2]}\n\n{' '.join(item)}"),
+            (7, clean[3]), (8, f"{clean[4]}\n\n{passage}"), (9, f"{clean[5]}\n\nnew line\n{passage}\nlast words"), (None, None), (None, "")]
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or ""), "x") for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, row_key string")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, df):
+        out = stages[name](spark, df, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        kept = out.collect()
+        return spark.createDataFrame(kept, out.schema), sorted(((r["doc_id"], r["text"]) for r in kept), key=repr)
+    docs1, got = after("quality rules", docs)
+    assert got == sorted([r for r in rows if r[1] not in ("short", "bad", "", None)], key=repr)
+    docs2, got = after("minhash near-dedup", docs1)
+    assert got == sorted([r for r in rows if r[1] not in ("short", "bad", "", None) and r[0] != 6][1:], key=repr)
+    docs3, got = after("substring dedup", docs2)
+    assert dict(got)[9] == f"{clean[5]}\n\nnew line\nlast words" and dict(got)[8] == rows[8][1]
+    _, got = after("benchmark decontamination", docs3)
+    assert (7, clean[3]) in got and len(got) == 5
+    assert all(after(name, docs.limit(0))[1] == [] for name in list(stages)[:-1])
+
+
 def test_parity_bitmaps_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(60)]
