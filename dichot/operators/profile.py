@@ -327,23 +327,28 @@ def with_rank_columns(df: DataFrame, cols: Sequence[str], prefix: str = "r_") ->
 def spearman_long(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str] = ()) -> DataFrame:
     """Spearman correlations with n, t and two-sided p (``corr.test``).
 
-    Pairwise-complete: ranks are recomputed on the complete pairs of a pair
-    of columns only when one of them has nulls.
+    Pairwise-complete: a value is ranked among the rows where its partner is
+    present too.  Partners with the same role need the same ranks, so a column
+    has one rank for itself and one per other column with nulls; all of them
+    come from one melted count and one running sum, and all pairs from one
+    aggregate.  The number of jobs does not depend on the number of pairs.
     """
     cols = list(cols)
-    nulls = {r["column_name"]: r["n_null"] for r in missing_profile(df, cols).collect()}
-    complete = [c for c in cols if nulls[c] == 0]
+    holes = {r["column_name"] for r in missing_profile(df, cols).collect() if r["n_null"]}
+
+    def given(a, b):
+        """``a`` where ``b`` is present."""
+        return (a, b) if b in holes else (a, None)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    wanted = sorted({v for a, b in pairs for v in (given(a, b), given(b, a))}, key=str)
+    name = {v: f"v{k}" for k, v in enumerate(wanted)}
+    views = df.select(*(
+        (F.col(a) if m is None else F.when(F.col(m).isNotNull(), F.col(a))).cast("double").alias(name[a, m]) for a, m in wanted))
     rows = []
-    if complete:
-        ranked = with_rank_columns(df.select(*complete), complete)
-        rows += _pair_corr_rows(ranked, [(a, b) for i, a in enumerate(complete)
-                                         for b in complete[i + 1:]], prefix="r_")
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            if nulls[a] == 0 and nulls[b] == 0:
-                continue
-            sub = df.select(a, b).dropna(subset=[a, b])
-            rows += _pair_corr_rows(with_rank_columns(sub, [a, b]), [(a, b)], prefix="r_")
+    if pairs:
+        found = _pair_corr_rows(with_rank_columns(views, list(name.values())),
+                                [(name[given(a, b)], name[given(b, a)]) for a, b in pairs], prefix="r_")
+        rows = [(a, b, r, n) for (a, b), (_, _, r, n) in zip(pairs, found)]
     out = []
     for a, b, r, n in rows:
         df_ = n - 2

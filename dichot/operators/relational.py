@@ -128,29 +128,73 @@ def nonzero(df: DataFrame, col: str) -> DataFrame:
 
 # ------------------------------------------------------------------ joins
 
+#: rows of one key beyond which ``merge`` splits it
+HOT_KEY_ROWS = 1_000_000
+#: hot keys that are broadcast at most; beyond it their join shuffles
+BROADCAST_HOT_KEYS = 1 << 17
+
+
+def _same_key(by: Sequence[str], null_safe: bool, a: str = "_x", b: str = "_y"):
+    cond = F.lit(True)
+    for k in by:
+        x, y = F.col(f"{a}.`{k}`"), F.col(f"{b}.`{k}`")
+        cond = cond & (x.eqNullSafe(y) if null_safe else x == y)
+    return cond
+
+
 def merge(x: DataFrame, y: DataFrame, by: Sequence[str], suffixes=(".x", ".y"),
-          null_safe: bool = False, how: str = "inner") -> DataFrame:
+          null_safe: bool = False, how: str = "inner", hot_rows: int | None = None) -> DataFrame:
     """``merge(x, y, by=...)``: equi-join, clashing non-key columns suffixed.
 
     The strategy (broadcast hash or sort-merge) is left to Catalyst and AQE,
     which decide from the measured size of each side.  ``null_safe`` matches
     NA keys to NA keys as R's merge does.
+
+    With ``hot_rows`` (``inner`` and ``left`` only) the keys, composite or NA
+    too, are counted in ``x`` first.  A key with more rows is dealt by a hash of
+    the row into parts of about that many, and the rows of ``y`` with this key are
+    repeated for each part, so no task holds a whole hot key.  ``y`` should hold
+    few rows a key, as a lookup table does.
     """
     by = list(by)
     clash = (set(x.columns) & set(y.columns)) - set(by)
-    xs = x.select(*[F.col(c).alias(c + suffixes[0]) if c in clash else F.col(c) for c in x.columns])
-    ys = y.select(*[F.col(c).alias(c + suffixes[1]) if c in clash else F.col(c) for c in y.columns])
+    xs = x.select(*[F.col(f"`{c}`").alias(c + suffixes[0]) if c in clash else F.col(f"`{c}`") for c in x.columns])
+    ys = y.select(*[F.col(f"`{c}`").alias(c + suffixes[1]) if c in clash else F.col(f"`{c}`") for c in y.columns])
+    on = list(by)
+    if hot_rows is not None:
+        if how not in ("inner", "left") or hot_rows < 1:
+            raise ValueError("hot keys are split in inner and left merges, into parts of one row or more")
+        xs, ys, salt = _salted(xs, ys, by, hot_rows)
+        on.append(salt)
     if not null_safe:
-        return xs.join(ys, by, how)
-    xa, ya = xs.alias("_x"), ys.alias("_y")
-    cond = None
-    for k in by:
-        t = F.col(f"_x.{k}").eqNullSafe(F.col(f"_y.{k}"))
-        cond = t if cond is None else cond & t
-    cols = [F.col(f"_x.{k}").alias(k) for k in by]
-    cols += [F.col(f"_x.{c}") for c in xs.columns if c not in by]
-    cols += [F.col(f"_y.{c}") for c in ys.columns if c not in by]
-    return xa.join(ya, cond, how).select(*cols)
+        out = xs.join(ys, on, how)
+        return out.drop(salt) if hot_rows is not None else out
+    cond = _same_key(on, True)
+    cols = [F.col(f"_x.`{c}`") for c in (*by, *(c for c in xs.columns if c not in on))]
+    cols += [F.col(f"_y.`{c}`") for c in ys.columns if c not in on]
+    return xs.alias("_x").join(ys.alias("_y"), cond, how).select(*cols)
+
+
+def _salted(xs: DataFrame, ys: DataFrame, by: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame, str]:
+    """Both sides with a salt column: parts of hot keys in ``xs``, one copy of a
+    row of ``ys`` for every part of its key."""
+    salt = "_salt"
+    while salt in xs.columns or salt in ys.columns:
+        salt += "_"
+    # a key has more than hot_rows rows, so there are at most rows / hot_rows of them
+    hot = xs.groupBy(*(F.col(f"`{k}`") for k in by)).agg(F.count(F.lit(1)).alias(salt)).where(F.col(salt) > hot_rows)
+    hot = hot.withColumn(salt, F.ceil(F.col(salt) / F.lit(hot_rows)).cast("long"))
+    if hot.count() <= BROADCAST_HOT_KEYS:
+        hot = F.broadcast(hot)
+
+    def parts(side):
+        met = side.alias("_s").join(hot.alias("_h"), _same_key(by, True, "_s", "_h"), "left")
+        return met, F.coalesce(F.col(f"_h.{salt}"), F.lit(1).cast("long")), [F.col(f"_s.`{c}`") for c in side.columns]
+    met, n, cols = parts(xs)
+    dealt = met.select(*cols, F.pmod(F.xxhash64(*cols), n).alias(salt))
+    met, n, cols = parts(ys)
+    copies = met.select(*cols, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias(salt))
+    return dealt, copies, salt
 
 
 def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

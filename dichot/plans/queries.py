@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dichot.operators import clean, ordered, profile, relational, sampling, schema
 from dichot.plans import frames
-from dichot.plans.sqltext import DEFECT_COLUMNS, DEFECTS, LABELED, r6, uniform
+from dichot.plans.sqltext import DEFECT_COLUMNS, DEFECTS, LABELED, chi2_sf, norm_sf2, r6, uniform
 from dichot.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,23 +189,26 @@ def _spearman_sql():
     ranks = ", ".join(
         f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r_{c}"
         for c in CORR_COLS)
+    # with thousands of rows, Student's t is normal after this change of scale, far beyond six digits
+    p = norm_sf2("t * (1 - 1 / (4.0 * (n - 2))) / sqrt(1 + t * t / (2.0 * (n - 2)))")
     parts = []
     for i, a in enumerate(CORR_COLS):
         for b in CORR_COLS:
             if a == b:
                 continue
             r = f"corr(r_{a}, r_{b})"
-            parts.append(f"SELECT '{a}' AS var1, '{b}' AS var2, {r6(r)} AS rho, CAST(count(*) AS BIGINT)"
-                         f" AS n, {r6(f'{r} * sqrt((count(*) - 2) / (1 - {r}*{r}))')} AS t FROM rk")
-    return f"WITH rk AS (SELECT {key}, {ranks} FROM lineitem)\n" + "\nUNION ALL\n".join(parts)
+            parts.append(f"SELECT '{a}' AS var1, '{b}' AS var2, {r} AS rho, CAST(count(*) AS BIGINT)"
+                         f" AS n, {r} * sqrt((count(*) - 2) / (1 - {r}*{r})) AS t FROM rk")
+    return (f"WITH rk AS (SELECT {key}, {ranks} FROM lineitem),\nfound AS (" + "\nUNION ALL\n".join(parts)
+            + f")\nSELECT var1, var2, {r6('rho')} AS rho, n, {r6('t')} AS t, {r6(p)} AS p_value FROM found")
 
 
 @register("spearman_long", _spearman_sql())
 def q_spearman(spark, d):
-    """Spearman rho from distributed mid-ranks, with n and t."""
+    """Spearman rho from distributed mid-ranks, with n, t and p."""
     li = table(spark, d, "lineitem")
     out = profile.spearman_long(li, CORR_COLS, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    return rnd(out.select("var1", "var2", "rho", "n", "t"))
+    return rnd(out.select("var1", "var2", "rho", "n", "t", "p_value"))
 
 
 def _hist_sql():
@@ -274,6 +277,21 @@ def q_merge(spark, d):
     return relational.merge(c, s, ["nationkey"])
 
 
+@register("merge_composite", f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_returnflag AS flag, nullif(l_linestatus, 'F') AS status, l_discount AS discount FROM lineitem),
+y AS (SELECT flag, status, avg(discount) AS discount, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY flag, status)
+SELECT x.flag, x.status, x.l_orderkey, x.l_linenumber, x.discount AS "discount.x", {r6('y.discount')} AS "discount.y", y.n
+FROM x JOIN y ON x.flag = y.flag AND x.status IS NOT DISTINCT FROM y.status""")
+def q_merge_composite(spark, d):
+    """Merge on a composite key with NA, unique on one side; every key is hot
+    on the other, so its rows are dealt to several tasks."""
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"),
+                                           F.nullif(F.col("l_linestatus"), F.lit("F")).alias("status"), F.col("l_discount").alias("discount"))
+    y = x.groupBy("flag", "status").agg(F.avg("discount").alias("discount"), F.count(F.lit(1)).alias("n"))
+    out = relational.merge(x, y, ["flag", "status"], null_safe=True, hot_rows=relational.HOT_KEY_ROWS)
+    return out.withColumn("discount.y", F.round("`discount.y`", 6))
+
+
 @register("semi_keys", """
 SELECT c_custkey, c_name FROM customer
 WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
@@ -517,7 +535,6 @@ def q_rkfold(spark, d):
 
 from dichot.functions.stats import normal_ppf  # noqa: E402
 from dichot.operators import evaluate, glm, inference  # noqa: E402
-from dichot.plans.sqltext import chi2_sf, norm_sf2  # noqa: E402
 
 Z975 = repr(normal_ppf(0.975))
 TOL = 1e-10

@@ -107,6 +107,56 @@ def test_missing_scores_have_no_class_and_no_rank(spark):
         evaluate.confusion_stats(spark.createDataFrame([(1.0, 2.0), (0.0, 1.0)], "y double, c double"), "y", "c")
 
 
+def test_merge_splits_hot_composite_keys(spark):
+    """Hot, NA and cold composite keys, rows of a kind and a clashing column, against a merge without parts."""
+    from dichot.operators import relational
+    x = spark.createDataFrame([("a", None, i % 7, "l") for i in range(500)] + [("b", i % 9, i, "l") for i in range(90)] + [(None, 1, 5, "l")],
+                              "k string, j int, v int, _salt string")
+    y = spark.createDataFrame([("a", None, 1), ("b", 3, 2), ("b", 3, 3), (None, 1, 4), ("c", 1, 5)], "k string, j int, v int")
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+    for null_safe in (False, True):
+        for how in ("inner", "left"):
+            plain = relational.merge(x, y, ["k", "j"], null_safe=null_safe, how=how)
+            split = relational.merge(x, y, ["k", "j"], null_safe=null_safe, how=how, hot_rows=9)
+            assert split.columns == plain.columns == ["k", "j", "v.x", "_salt", "v.y"]
+            assert rows(split) == rows(plain)
+    assert relational.merge(x, y, ["k", "j"], null_safe=True, hot_rows=9).count() == 500 + 20 + 1
+    dealt, copies, salt = relational._salted(x, y, ["k", "j"], 100)
+    assert copies.where("k = 'a'").count() == 5 and dealt.where("k = 'a'").select(salt).distinct().count() > 1
+    assert rows(relational.merge(x.limit(0), y, ["k", "j"], hot_rows=9)) == []
+    with pytest.raises(ValueError):
+        relational.merge(x, y, ["k", "j"], how="full", hot_rows=9)
+
+
+def test_spearman_of_several_columns_with_nulls(spark):
+    """Two columns with nulls in different rows, ties, and a pair without a complete row."""
+    import numpy as np
+    import pandas as pd
+    from dichot.operators import profile
+    r = np.random.default_rng(3)
+    pdf = pd.DataFrame(r.integers(0, 12, (200, 4)).astype(float), columns=["a", "b", "c", "d"])
+    pdf["a"] += pdf["b"]
+    pdf.loc[pdf.index % 3 == 0, "b"] = np.nan
+    pdf.loc[pdf.index % 4 == 1, "c"] = np.nan
+    pdf.loc[pdf.index % 4 != 1, "d"] = np.nan
+    df = spark.createDataFrame([tuple(None if pd.isna(v) else float(v) for v in row) for row in pdf.values], "a double, b double, c double, d double")
+    got = {(x["var1"], x["var2"]): x for x in profile.spearman_long(df, list(pdf.columns)).collect()}
+    assert len(got) == 12
+    for a in pdf.columns:
+        for b in pdf.columns:
+            if a == b:
+                continue
+            sub = pdf[[a, b]].dropna()
+            assert got[a, b]["n"] == len(sub)
+            if not len(sub):
+                assert got[a, b]["rho"] is None and got[a, b]["p_value"] is None
+                continue
+            rho = sub.rank().corr().iloc[0, 1]
+            assert math.isclose(got[a, b]["rho"], rho, rel_tol=1e-9, abs_tol=1e-12) and 0 <= got[a, b]["p_value"] <= 1
+
+
 def test_spearman_pairwise_complete_matches_pandas(spark):
     from dichot.operators import profile
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
