@@ -170,3 +170,21 @@ def test_spearman_pairwise_complete_matches_pandas(spark):
         ref = sub.rank().corr().iloc[0, 1]  # ranks on the complete pairs, ties averaged
         assert math.isclose(got[(a, b)]["rho"], ref, rel_tol=1e-9, abs_tol=1e-12)
         assert got[(a, b)]["n"] == len(sub)
+
+
+def test_merge_deals_a_key_with_many_rows_on_both_sides(spark):
+    from dichot.operators import relational
+    a = spark.createDataFrame([(None if i % 13 == 0 else i % 3, i, i % 5) for i in range(300)], "k int, i int, v int")
+    b = spark.createDataFrame([(None if j % 7 == 0 else j % 4, j, j % 5) for j in range(80)], "k int, j int, v int")
+    for how in ("inner", "left"):
+        for null_safe in (False, True):
+            plain = relational.merge(a, b, ["k"], null_safe=null_safe, how=how)
+            dealt = relational.merge(a, b, ["k"], null_safe=null_safe, how=how, part_rows=100)
+            assert dealt.columns == plain.columns
+            assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    dealt = relational.merge(a, b, ["k"], part_rows=100)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    # three keys make the rows: undealt, no more than three tasks would make them
+    assert len(sizes) > 10 and max(sizes) < sum(sizes) / 4
+    with pytest.raises(ValueError):
+        relational.merge(a, b, ["k"], how="full", part_rows=100)
