@@ -152,3 +152,55 @@ def test_repeated_folds_do_not_depend_on_partitioning(spark):
     for r in (1, 2, 3):
         one = sampling.kfold(o, "y", ["o_orderkey"], 4, 7 + r, "fold")
         assert {tuple(x) for x in one.select("o_orderkey", "fold").collect()} == {tuple(x) for x in a.select("o_orderkey", f"fold_{r}").collect()}
+
+
+def test_packed_folds_are_those_of_repeated_kfold(spark):
+    """Also for null and repeated keys, over several hash ranges, without ranking each repeat by a window."""
+    rows = [(None if i % 50 == 0 else i - (i % 9 == 0), float(i % 3 == 0), float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, y double, v double")
+    design = glm.build_design(df, numeric=["v"])
+    want = {r["v"]: [r[f"fold_{i}"] for i in (1, 2, 3)] for r in sampling.repeated_kfold(df, "y", ["id"], 4, 3, 7).collect()}
+    keep, ranges = sampling.repeated_kfold, resampling.RANGE_ROWS
+    sampling.repeated_kfold, resampling.RANGE_ROWS = None, 700
+    try:
+        data = resampling.fold_blocks(df, "y", design, ["id"], 4, 3, seed=7)
+    finally:
+        sampling.repeated_kfold, resampling.RANGE_ROWS = keep, ranges
+    got = {}
+    for r in data.blocks.collect():
+        folds = np.frombuffer(r["f"], np.uint8).reshape(r["n"], 3).tolist()
+        got.update(zip(np.frombuffer(r["x"]).tolist(), folds))
+    assert len(got) == 3000 and got == want
+    data.unpersist()
+
+
+def test_resamples_start_from_the_fit_of_all_rows(small, monkeypatch):
+    """The fits of all resamples take a few passes each; those from afar are made for all rows only."""
+    _, _, data, *_ = small
+    fits, passes = [], resampling._working_sums
+
+    def counted(data, beta, rep, fold):
+        fits.append(len(rep))
+        return passes(data, beta, rep, fold)
+
+    monkeypatch.setattr(resampling, "_working_sums", counted)
+    resampling.fit_logits(data)
+    assert fits[0] == 1
+    fits.clear()
+    grid = [(a, v) for a in (0.1, 1.0) for v in (0.1, 0.01, 0.001)]
+    resampling.fit_elastic_nets(data, grid)
+    assert fits[0] == 2 and fits.count(12) >= 3
+
+
+def test_scores_sent_in_several_lots(small, monkeypatch):
+    """Scores that a task sends in several lots, ties over lots and ranges, give the brute-force AUC."""
+    _, _, data, x, y, f = small
+    beta = np.zeros((2, 7, data.width + 1))
+    beta[0, :, 1], beta[1, :, 4] = 1.0, 2.0              # a number, and a factor's column: many ties
+    monkeypatch.setattr(resampling, "HELD_SCORES", 1)
+    monkeypatch.setattr(resampling, "RANGE_ROWS", 100)
+    for r in resampling.held_out(data, beta, resampling.moments(data)):
+        out = f[:, r["repeat"] - 1] == r["fold"]
+        s = x[out] @ beta[r["grid_index"], 0, 1:]
+        assert r["ROC"] == pytest.approx(brute_auc(y[out], s), abs=1e-12)
+        assert r["Sens"] == pytest.approx((s[y[out] > 0.5] > 0).mean()) and r["Spec"] == pytest.approx((s[y[out] < 0.5] <= 0).mean())
