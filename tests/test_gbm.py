@@ -89,3 +89,22 @@ def test_columns_without_splits(spark):
     assert np.isclose(got.models[0].start, got.models[0].margins(np.ones((1, 1)))[0])
     assert all(r["ROC"] == 0.5 for r in got.results)
     data.unpersist()
+
+
+def test_margins_travel_by_size_and_paths_find_nodes():
+    """A pass reads one margin column a size, and a node's rows by the splits above it only."""
+    r = np.random.default_rng(4)
+    tree = gbm.Trees(np.array([[0, 0], [1, 2], [4, gbm.NO_NODE]], np.uint8), r.integers(0, 3, (3, 2)), r.integers(1, 6, (3, 2)), None, None)
+    code = r.integers(0, 8, (500, 3)).astype(np.uint8)
+    for node in range(7):
+        for member in (0, 1):
+            if node > 4 and member:
+                continue
+            keep = np.ones((500, 1), bool)
+            for column, edge, right in tree.path(np.array([member]), np.array([node])):
+                keep &= (code[:, column] > edge) == right
+            inside = [node]                                   # the node and all below it
+            for s in range(3):
+                if tree.parent[s, member] in inside:
+                    inside += [2 * s + 1, 2 * s + 2]
+            assert (keep[:, 0] == np.isin(tree.nodes(code)[:, member], inside)).all()
