@@ -44,7 +44,7 @@ from dichot.llm.spark import parts, per_group, per_pair, ready, text_bytes
 from dichot.llm.text import Words, binary, pack_deltas, slices, spread, unpack_deltas
 
 WIDTH = 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 RANGE_BYTES = 16 << 20
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 _CHECK = 0xA0761D6478BD642F | 1
@@ -89,8 +89,7 @@ class _Batch:
         self.start, self.doc = join(start, np.int64), join(doc, np.int64)
         if blocks:
             self.probe, self.fits = join(probe, np.uint64), join(fits, bool)
-            self.range = (self.probe >> np.uint64(32)) % np.uint64(ranges)
-            self.key = (self.range << np.uint64(32)) | (self.probe & np.uint64(0xFFFFFFFF))
+            self.key = ((self.probe >> np.uint64(32)) % np.uint64(ranges) << np.uint64(32)) | (self.probe & np.uint64(0xFFFFFFFF))
         if full:
             self.whole, self.covers, self.check = join(whole, np.uint64), join(covers, bool), join(check, np.uint16)
 

@@ -145,23 +145,31 @@ def spread(flags: np.ndarray, width: int) -> np.ndarray:
 
 
 def pack_deltas(values: np.ndarray) -> bytes:
-    """Ascending uint32 values as uint16 steps; 65535 stands for a step of that
-    size without a value."""
+    """Ascending uint32 values as steps of 2, 3 or 4 bytes, whichever takes
+    least, after one byte that tells which; the largest number of that many bytes
+    stands for a step of that size without a value.  Few values far apart take
+    4 bytes each, never a run of empty steps."""
     if not len(values):
         return b""
     steps = np.diff(values.astype(np.int64), prepend=0)
-    jumps, rest = np.divmod(steps, 65535)
-    if not jumps.any():
-        return rest.astype("<u2").tobytes()
-    out = np.full(len(values) + int(jumps.sum()), 65535, dtype="<u2")
+    size = min((2, 3, 4), key=lambda k: k * (len(steps) + int((steps // ((1 << 8 * k) - 1)).sum())))
+    top = (1 << 8 * size) - 1
+    jumps, rest = np.divmod(steps, top)
+    out = np.full(len(values) + int(jumps.sum()), top, dtype="<u4")
     out[np.cumsum(jumps + 1) - 1] = rest
-    return out.tobytes()
+    return bytes([size]) + out.view(np.uint8).reshape(-1, 4)[:, :size].tobytes()
 
 
 def unpack_deltas(data: bytes) -> np.ndarray:
     """The inverse of :func:`pack_deltas`."""
-    steps = np.frombuffer(data, dtype="<u2")
-    return np.cumsum(steps.astype(np.int64))[steps != 65535].astype(np.uint32)
+    if not data:
+        return np.zeros(0, dtype=np.uint32)
+    size = data[0]
+    packed = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(-1, size)
+    steps = np.zeros((len(packed), 4), dtype=np.uint8)
+    steps[:, :size] = packed
+    steps = steps.view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.int64)[steps != (1 << 8 * size) - 1].astype(np.uint32)
 
 
 def binary(rows: list[bytes]) -> pa.Array:

@@ -383,3 +383,14 @@ def test_toxicity_sample_is_bounded_and_chosen_by_id(spark):
     few = {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs.repartition(7), labels, 4).collect()}
     assert few == {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs, labels, 4).collect()} and len(few) == 8
     assert toxicity.labelled_sample(docs.limit(0), labels).count() == 0
+
+
+def test_packed_steps_take_no_more_than_the_values():
+    from dichot.llm.text import pack_deltas, unpack_deltas
+    r = np.random.default_rng(5)
+    for values in ([], [0], [65535], [(1 << 32) - 1], [0, (1 << 24) - 1, (1 << 32) - 1], *(
+            np.unique(r.integers(0, 1 << 32, n)) for n in (3, 200, 30_000, 300_000))):
+        values = np.array(values, dtype=np.uint32)
+        data = pack_deltas(values)
+        assert (unpack_deltas(data) == values).all()
+        assert len(data) <= 4 * len(values) + 5                                # 200 values took 131 KB of empty steps
