@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dichot.llm.components import components
-from dichot.llm.spark import checked_broadcast, freed, ready, written
+from dichot.llm.spark import TEXT_ROWS, checked_broadcast, freed, ready, written
 from dichot.llm.text import Words, binary, mix, slices
 
 COORDINATES = 64
@@ -221,10 +221,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, repeated:
                      .join(checked_broadcast(ids, ids.count(), BROADCAST_IDS), "rep"), "near-wanted")
     mine = texts.join(checked_broadcast(wanted, wanted.count(), BROADCAST_IDS), "doc_id")
     sets = mine.select("rep", "one", "two", "text").mapInArrow(_full_sets(n), "rep long, elements binary")
-    sets = written(sets.dropDuplicates(["rep"]) if repeated else sets, "near-sets")
+    sets = written(sets.dropDuplicates(["rep"]) if repeated else sets, "near-sets", TEXT_ROWS)
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("left")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("right")), "b"))
-    links = written(both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long"), "near-links")
+    links = written(both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long"), "near-links", TEXT_ROWS)
     freed(ids, wanted, sets)
     return links
 
@@ -316,7 +316,7 @@ def near_duplicates(docs: DataFrame, n: int, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(docs.mapInArrow(
         _signatures(n), "doc_id long, n_shingles long, one long, two long, signature array<int>"
-        + "".join(f", {b} long" for b in _BITMAP)), "near-signatures")
+        + "".join(f", {b} long" for b in _BITMAP)), "near-signatures", TEXT_ROWS)
     real = signed.where("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy(*_DIGEST).agg(F.min("doc_id").alias("lowest"), F.count("*").alias("members"),
                                          *(F.any_value(c).alias(c) for c in ("signature", *_BITMAP)))

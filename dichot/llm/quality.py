@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dichot.llm.spark import checked_broadcast, ready, written
+from dichot.llm.spark import TEXT_ROWS, checked_broadcast, ready, written
 from dichot.llm.text import SPACE, Words, slices, spread
 
 SYMBOLS = "[#*$%&|<>]"
@@ -145,7 +145,7 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def judge(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The measures of every row with ``base_failed`` and ``kept``."""
-    measured = written(measure(docs), "quality-measures")
+    measured = written(measure(docs), "quality-measures", TEXT_ROWS)
     limits = written(thresholds(sketches(measured), min_docs), "quality-limits")
     limits = limits.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *(
         F.col(k).alias(f"most_{k}") for k in FLOORS))

@@ -23,12 +23,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: rows of whole texts that are handed to a Python worker at once
+TEXT_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder as Parquet
-    and read it back.  The files survive the loss of any executor."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    and read it back.  The files survive the loss of any executor.  Python
+    workers get at most ``batch_rows`` rows at once, where given: of whole texts,
+    the session's 10,000 hold tens of MB in the JVM and again in each worker."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_BATCH)
+    if batch_rows is not None and not 0 < int(before) <= batch_rows:
+        spark.conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        if spark.conf.get(_BATCH) != before:
+            spark.conf.set(_BATCH, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
 

@@ -394,3 +394,23 @@ def test_packed_steps_take_no_more_than_the_values():
         data = pack_deltas(values)
         assert (unpack_deltas(data) == values).all()
         assert len(data) <= 4 * len(values) + 5                                # 200 values took 131 KB of empty steps
+
+
+def test_texts_are_handed_over_in_small_batches(spark, monkeypatch):
+    from dichot.llm import spark as helpers
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, out = spark.conf.get(key), {}
+    told = helpers.written
+
+    def largest(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    rows = spark.range(0, 3000, 1, 1).mapInArrow(largest, "n long")
+    assert max(r["n"] for r in told(rows, "batches", 100).collect()) == 100 and spark.conf.get(key) == before
+    monkeypatch.setattr(near_dup, "written", lambda df, name, batch_rows=None: out.update({name: batch_rows}) or told(df, name, batch_rows))
+    monkeypatch.setattr(quality, "written", near_dup.written)
+    docs = spark.createDataFrame([(i, f"one two three four five six {i // 2}", "en", "s") for i in range(4)],
+                                 "doc_id long, text string, lang string, source string")
+    assert near_dup.near_duplicates(docs, 2).count() == quality.judge(docs).count() == 4
+    assert out["near-signatures"] == out["quality-measures"] == helpers.TEXT_ROWS
