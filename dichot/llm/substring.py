@@ -44,7 +44,7 @@ from dichot.llm.spark import parts, per_group, per_pair, ready, text_bytes
 from dichot.llm.text import Words, binary, pack_deltas, slices, spread, unpack_deltas
 
 WIDTH = 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 RANGE_BYTES = 16 << 20
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 _CHECK = 0xA0761D6478BD642F | 1
@@ -79,14 +79,16 @@ class _Batch:
                 whole.append(h)
                 covers.append(ok)
                 check.append((words.windows(hashes, width, _CHECK)[0] >> np.uint64(48)).astype(np.uint16))
-            start.append(np.arange(len(words)) - np.repeat(words.first[:-1], words.counts))
+            start.append((np.arange(len(words)) - np.repeat(words.first[:-1], words.counts)).astype(np.int32))
             doc.append(ids[row + words.text_of])
             row += part.num_rows
 
         def join(x, kind):
-            return np.concatenate(x) if x else np.zeros(0, dtype=kind)
+            out = np.concatenate(x) if x else np.zeros(0, dtype=kind)
+            x.clear()                   # the pieces go at once, not after the last array
+            return out
 
-        self.start, self.doc = join(start, np.int64), join(doc, np.int64)
+        self.start, self.doc = join(start, np.int32), join(doc, np.int64)
         if blocks:
             self.probe, self.fits = join(probe, np.uint64), join(fits, bool)
             self.key = ((self.probe >> np.uint64(32)) % np.uint64(ranges) << np.uint64(32)) | (self.probe & np.uint64(0xFFFFFFFF))
@@ -218,9 +220,10 @@ def _later(table: pa.Table) -> pa.Table:
                      "later": binary([key[hit[cut[i]:cut[i + 1]]].astype("<u8").tobytes() for i in keep])})
 
 
-def _strip(width: int, ranges: int, spaced: bool, docs: pa.Table, later: pa.Table) -> pa.Table:
+def _strip(width: int, ranges: int, spaced: bool, carried: list[str], docs: pa.Table, later: pa.Table) -> pa.Table:
     """Remove the words under hit windows from the documents of a batch; with
-    ``spaced``, each kept word keeps the white space after it."""
+    ``spaced``, each kept word keeps the white space after it.  The columns
+    ``carried`` come along."""
     docs = _ordered(docs)
     b = _Batch(docs, width, ranges, blocks=False, full=True)
     hit = np.zeros(len(b.doc), dtype=bool)
@@ -243,7 +246,7 @@ def _strip(width: int, ranges: int, spaced: bool, docs: pa.Table, later: pa.Tabl
         n_removed.append(int(mask.sum()))
         left = compress(words, (~mask).tolist()) if n_removed[-1] else words
         kept.append(b"".join(left).rstrip() if spaced else b" ".join(left))
-    more = {c: docs.column(c) for c in docs.column_names if c.startswith("carry_")}
+    more = {f"carry_{i}": docs.column(c) for i, c in enumerate(carried)}
     return pa.table({"doc_id": docs.column("doc_id"), **more, "n_words": pa.array(n_words, pa.int64()),
                      "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
@@ -257,7 +260,10 @@ one space or, with ``spaced``, by the white space that followed each in the text
     if width < 4:
         raise ValueError("width must be at least 4")
     spark = ready(docs)
-    more = [docs[c].alias(f"carry_{i}") for i, c in enumerate(carry)]
+    kinds = "".join(f", carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    # the text travels once, also where it is carried
+    carried = ["text" if c == "text" else f"carry_{i}" for i, c in enumerate(carry)]
+    more = [docs[c].alias(name) for c, name in zip(carry, carried) if c != "text"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
     size = text_bytes(docs)
     batches, ranges = parts(spark, size, batch_bytes), parts(spark, size, range_bytes)
@@ -269,6 +275,5 @@ one space or, with ``spaced``, by the white space that followed each in the text
     windows = by_batch.cogroup(hits.groupBy("batch")).applyInArrow(
         per_pair(_windows, width, ranges), "range long, batch long, keys binary, checks binary, low binary, high binary")
     later = windows.groupBy("range").applyInArrow(per_group(_later), "batch long, later binary")
-    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name.startswith("carry_"))
     return by_batch.cogroup(later.groupBy("batch")).applyInArrow(
-        per_pair(_strip, width, ranges, spaced), f"doc_id long{kinds}, n_words long, n_removed long, kept_text string")
+        per_pair(_strip, width, ranges, spaced, carried), f"doc_id long{kinds}, n_words long, n_removed long, kept_text string")

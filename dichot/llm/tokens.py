@@ -8,6 +8,8 @@ itself.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 
@@ -40,8 +42,7 @@ def _plain_spaces(texts: pa.Array) -> np.ndarray:
 
 class TokenIds:
     def __init__(self, path: str, ranks: str | None = None) -> None:
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.fast = None
         if ranks:
             import base64
@@ -53,6 +54,13 @@ class TokenIds:
             self.fast, self.full = (tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=table, special_tokens={}).encode_ordinary
                                     for p in (_SINGLE_SPACES, public_tokenizers.PATTERN))
 
+    @cached_property
+    def tokenizer(self):
+        """The tokenizer itself, read when a text first needs it: with ranks few do,
+        and a worker that lives on keeps its memory."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; none for a null or empty one."""
         plain = _plain_spaces(texts)

@@ -414,3 +414,33 @@ def test_texts_are_handed_over_in_small_batches(spark, monkeypatch):
                                  "doc_id long, text string, lang string, source string")
     assert near_dup.near_duplicates(docs, 2).count() == quality.judge(docs).count() == 4
     assert out["near-signatures"] == out["quality-measures"] == helpers.TEXT_ROWS
+
+
+def test_carried_text_travels_once(docs):
+    out = substring.strip_repeats(docs, carry=["lang", "text"], spaced=True)
+    dealt = out._jdf.queryExecution().analyzed().toString()
+    assert "AS carry_0" in dealt and "AS carry_1" not in dealt                  # the text itself, no second copy beside it
+    plain = {r["doc_id"]: r["kept_text"] for r in substring.strip_repeats(docs, spaced=True).collect()}
+    whole = {r["doc_id"]: (r["lang"], r["text"]) for r in docs.collect()}
+    got = out.collect()
+    assert {r["doc_id"]: (r["carry_0"], r["carry_1"]) for r in got} == whole
+    assert {r["doc_id"]: r["kept_text"] for r in got} == plain
+
+
+def test_worker_reads_the_tokenizer_only_for_texts_that_need_it():
+    ids = tokens.TokenIds(PATH, RANKS)
+    ids.ids(pa.array(["plain words", "two  spaces", None]))
+    assert "tokenizer" not in vars(ids)
+    assert ids.ids(pa.array(["<|endoftext|>"]))[0].tolist() == ids.tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids
+
+
+def test_substring_batch_needs_few_bytes_a_word():
+    import tracemalloc
+    n = 400_000
+    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "text": [" ".join(f"w{i % 997}x{j}" for j in range(n // 400)) for i in range(400)]})
+    substring._Batch(table.slice(0, 4), 20, 8, blocks=False, full=True)            # powers and imports
+    tracemalloc.start()
+    substring._Batch(table, 20, 8, blocks=False, full=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * n
