@@ -108,3 +108,20 @@ def test_margins_travel_by_size_and_paths_find_nodes():
                 if tree.parent[s, member] in inside:
                     inside += [2 * s + 1, 2 * s + 2]
             assert (keep[:, 0] == np.isin(tree.nodes(code)[:, member], inside)).all()
+
+
+def test_a_tree_takes_fewer_passes_than_splits(run, monkeypatch):
+    """A pass takes all leaves that may be split next, not one split; the tree is that of one split at a time."""
+    _, _, data, edges, x, y, _ = run
+    passes, add = [], gbm.add_vectors
+    monkeypatch.setattr(gbm, "add_vectors", lambda *a: passes.append(1) or add(*a))
+    got = gbm.train_gbm(data, edges, depths=(9,), trees=1, shrinkage=0.3, least=5)
+    assert len(passes) < 9
+    assert np.allclose(got.models[0].margins(x), brute(x, y, edges, 9, 1, 0.3, 5), atol=1e-9)
+
+
+def test_columns_of_few_bins_are_counted_together():
+    joint = gbm._joint([64, 2, 2, 200, 1])
+    assert sorted(j for js, _, _ in joint for j in js) == [0, 1, 2, 3, 4] and len(joint) == 2
+    for js, strides, size in joint:
+        assert size <= gbm.JOINT_BINS and [s for s in strides][0] == 1
