@@ -2,6 +2,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,18 @@ def test_bucket_count_adapts_to_size(spark, monkeypatch):
     monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 100)
     _, nb = ordered._bucketed(o, ["o_orderkey"], False, 16)
     assert nb == 15  # ceil(1500 rows / 100), below the 16 partitions
+
+
+def test_few_small_vectors_are_added_in_one_stage(spark):
+    """A pass of few tasks takes no shuffle; many or large vectors are still added by Spark."""
+    from dichot.functions import linalg
+    rows = spark.range(0, 40, 1, 4).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([[float(b.num_rows), 2.0, -1.0]], pa.list_(pa.float64()))], names=["v"])
+                         for b in batches), "v array<double>")
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("few-vectors", "test")
+    got = linalg.add_vectors(rows, 3, 4)
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup("few-vectors") for i in tracker.getJobInfo(j).stageIds]
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) == 1 and got.tolist() == [40.0, 8.0, -4.0] == linalg.add_vectors(rows, 3).tolist()
+    assert linalg.add_vectors(rows.where("size(v) = 0"), 3, 4).tolist() == [0.0] * 3
