@@ -110,3 +110,25 @@ def test_model_job_compares_four_models(spark):
     assert "price" in out["boruta_confirmed"] and "price" in out["selected"]
     assert {n for n, _ in out["leaderboard"]} == {"glm", "glmboost", "glmnet", "gbm"}
     assert all(0.6 < v < 1 for _, v in out["leaderboard"]) and out["auc"] > 0.6
+
+
+def test_forest_query_runs_the_whole_job(spark, tmp_path, monkeypatch):
+    """rf_cv fits 500 trees for each of five values of mtry and all of 5 x 10 resamples."""
+    from dichot.plans.queries import QUERIES
+    spark.range(400).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "1000D * id AS o_totalprice", "concat('p', id % 5) AS o_orderpriority",
+        "substr('FOP', cast(id % 3 AS int) + 1, 1) AS o_orderstatus").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(7).selectExpr("id AS c_custkey", "id AS c_nationkey", "cast(id AS double) AS c_acctbal",
+                              "concat('s', id % 5) AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    seen = {}
+
+    def resample(est, grid, frame, fold_cols):
+        seen.update(trees=est.getNumTrees(), mtry=[list(p.values())[0] for p in grid],
+                    folds=[frame.select(c).distinct().count() for c in fold_cols], rows=frame.count())
+        return [{"fold_col": c, "fold": f, "grid_index": g, "metric": 0.5} for c in fold_cols for f in range(5) for g in range(len(grid))]
+
+    monkeypatch.setattr(models, "resample", resample)
+    out = QUERIES["rf_cv"](spark, str(tmp_path)).collect()
+    assert seen == {"trees": 500, "mtry": ["2", "4", "7", "10", "13"], "folds": [5] * 10, "rows": 400}
+    assert len(out) == 5 and all(r["resamples"] == 50 for r in out)
+    assert models.mtry_values(3, 5) == ["2", "3"] and models.mtry_values(1, 5) == ["1"]
