@@ -188,3 +188,17 @@ def test_merge_deals_a_key_with_many_rows_on_both_sides(spark):
     assert len(sizes) > 10 and max(sizes) < sum(sizes) / 4
     with pytest.raises(ValueError):
         relational.merge(a, b, ["k"], how="full", part_rows=100)
+
+
+def test_merge_with_a_small_side_repeats_no_rows(spark, monkeypatch):
+    """A bounded right side is held by every executor; what is shuffled does not grow with the parts. A larger one is dealt as before."""
+    from dichot.operators import relational
+    a = spark.createDataFrame([(i % 3, i) for i in range(300)], "k int, i int")
+    b = spark.createDataFrame([(j % 4, f"s{j}") for j in range(80)], "k int, j string")
+    want = sorted(map(tuple, a.join(b, "k").collect()))
+    dealt = relational.merge(a, b, ["k"], part_rows=100)
+    plan = dealt._jdf.queryExecution().toString()
+    assert "explode" not in plan and "BroadcastHashJoin" in plan and sorted(map(tuple, dealt.collect())) == want
+    monkeypatch.setattr(relational, "BROADCAST_BYTES", 100)
+    dealt = relational.merge(a, b, ["k"], part_rows=100)
+    assert "explode" in dealt._jdf.queryExecution().toString() and sorted(map(tuple, dealt.collect())) == want
