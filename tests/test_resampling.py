@@ -204,3 +204,36 @@ def test_scores_sent_in_several_lots(small, monkeypatch):
         s = x[out] @ beta[r["grid_index"], 0, 1:]
         assert r["ROC"] == pytest.approx(brute_auc(y[out], s), abs=1e-12)
         assert r["Sens"] == pytest.approx((s[y[out] > 0.5] > 0).mean()) and r["Spec"] == pytest.approx((s[y[out] < 0.5] <= 0).mean())
+
+
+def test_blocks_are_packed_without_loss_and_leave_no_other_folder(spark):
+    """Columns of zeros and ones take a bit a row, and the rows that the folds were numbered from are deleted."""
+    import os
+    df = spark.createDataFrame([(i, float(i % 2), float(i % 3 == 0), i * 0.1) for i in range(5000)], "id long, y double, flag double, v double")
+    design = glm.build_design(df, numeric=["flag", "v"])
+    kept = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(kept))
+    data = resampling.fold_blocks(df, "y", design, ["id"], 3, 2, seed=5)
+    new = set(os.listdir(kept)) - before
+    assert len(new) == 1 and new.pop().startswith("folds-")
+    assert sum(len(r["x"]) for r in data.packed.collect()) < 9 * 5000
+    rows = np.vstack([np.frombuffer(r["x"]).reshape(r["n"], 2) for r in data.blocks.collect()])
+    assert sorted(map(tuple, rows)) == sorted((float(i % 3 == 0), i * 0.1) for i in range(5000))
+    data.unpersist()
+    assert set(os.listdir(kept)) == before
+    v = np.array([-(1 << 63), 0, (1 << 63) - 1])
+    assert (resampling._unpacked_ints(resampling._packed_ints(v)) == v).all()
+    assert (resampling._unpacked_ints(resampling._packed_ints(v[:0])) == v[:0]).all()
+
+
+def test_held_out_figures_come_in_lots(small, monkeypatch):
+    """Scores of large tables are sent in lots of repeats, or of grid points of one repeat, with the same figures."""
+    _, _, data, *_ = small
+    mom, sent, lot = resampling.moments(data), [], resampling._lot
+    beta = np.stack([resampling.fit_logits(data) * s for s in (1, 0.5, -1)])
+    want = resampling.held_out(data, beta, mom)
+    monkeypatch.setattr(resampling, "_lot", lambda *a: sent.append(a[2:4]) or lot(*a))
+    for share, lots in ((3, 2), (2, 4), (0, 6)):
+        monkeypatch.setattr(resampling, "LOT_SCORES", share * mom.n[-1])
+        assert resampling.held_out(data, beta, mom) == want and len(sent) == lots
+        sent.clear()
